@@ -15,12 +15,11 @@ Java's ``\\w``/``\\s`` are ASCII-only, so the classes are spelled out.
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from dimforge.functions import _py
+from dimforge.functions._py import LATIN_EXTRA  # noqa: F401  (re-exported fixed table)
 from dimforge.functions._util import as_col
 
 # Python-compatible character classes (Java regex syntax).
@@ -31,16 +30,6 @@ ASCII_SPACE_CHARS = r"\t\n\x0b\x0c\r\x1c-\x1f "
 # Fixed value: a source URL is kept only when it starts like this.
 URL_PATTERN = r"^(http|https)://.*"
 
-# Transliterations for Latin letters that have no Unicode
-# decomposition (NFKD leaves them intact), plus common typographic marks.
-LATIN_EXTRA = {
-    "ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE",
-    "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D",
-    "ð": "d", "Ð": "D", "þ": "th", "Þ": "Th", "ı": "i", "ħ": "h", "Ħ": "H",
-    " ": " ", "‘": "'", "’": "'", "“": '"', "”": '"',
-    "–": "-", "—": "--", "…": "...",
-}
-_LATIN_TABLE = str.maketrans(LATIN_EXTRA)
 
 
 def _strip(c: Column, space: str = SPACE_CHARS) -> Column:
@@ -62,19 +51,8 @@ def repair_mojibake(c) -> Column:
     return F.when(c.rlike(r"^[\x00-\xFF]*$"), F.coalesce(fixed, c)).otherwise(c)
 
 
-@F.pandas_udf("string")
-def _nfkd_ascii(s: pd.Series) -> pd.Series:
-    # compatibility decomposition, drop what is not ASCII, strip blanks
-    return s.map(lambda v: unicodedata.normalize("NFKD", v)
-                 .encode("ascii", "ignore").decode("ascii").strip(),
-                 na_action="ignore")
-
-
-@F.pandas_udf("string")
-def _transliterate(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: unicodedata.normalize("NFKD", v.translate(_LATIN_TABLE))
-                 .encode("ascii", "ignore").decode("ascii"),
-                 na_action="ignore")
+_nfkd_ascii = F.pandas_udf(_py.nfkd_ascii, "string")
+_transliterate = F.pandas_udf(_py.transliterate, "string")
 
 
 def clean_text(c) -> Column:
