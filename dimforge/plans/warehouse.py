@@ -51,8 +51,9 @@ def _company_keys(company: DataFrame, mode: str, with_type: bool) -> DataFrame:
 
 
 # ---------------------------------------------------------------- T1 company
-def transform_company(df: DataFrame, mode: str = "compat") -> Built:
-    _check_mode(mode)
+def company_deduped(df: DataFrame, mode: str = "compat") -> DataFrame:
+    """Cleaned, projected, filled and deduplicated companies (before the
+    coordinate filter)."""
     d = blank_to_null(df)
     d = d.select(
         F.col("office_id").alias("company_id"),
@@ -72,15 +73,20 @@ def transform_company(df: DataFrame, mode: str = "compat") -> Built:
     d = fill_defaults(d, {c: "Unknown" for c in (
         "description", "address", "region", "city", "zip_code", "state_code", "country_code")})
     keys = ["company_object_id"] if mode == "compat" else ["company_entity_type", "company_object_id"]
-    d = keep_one(d, keys, prefer=[F.col("updated_at"), F.col("company_id")])
+    return keep_one(d, keys, prefer=[F.col("updated_at"), F.col("company_id")])
+
+
+def transform_company(df: DataFrame, mode: str = "compat") -> Built:
+    _check_mode(mode)
+    d = company_deduped(df, mode)
     # dedupe first, then the coordinate filter (a survivor with 0/NULL coordinates drops the key)
     d = d.where((F.col("latitude") != 0) & (F.col("longitude") != 0))
     return Built("dim_company", d, key="company_id")
 
 
 # ---------------------------------------------------------------- T2 people
-def transform_people(df: DataFrame, company: DataFrame | None = None, mode: str = "compat") -> Built:
-    _check_mode(mode)
+def people_deduped(df: DataFrame) -> DataFrame:
+    """Cleaned and deduplicated people (before the unknown-name filter)."""
     d = blank_to_null(df)
     d = d.select(
         "people_id",
@@ -91,8 +97,13 @@ def transform_people(df: DataFrame, company: DataFrame | None = None, mode: str
         X.clean_alpha_text("affiliation_name").alias("affiliation_name"),
     )
     d = fill_defaults(d, {"full_name": "Unknown", "birthplace": "Unknown", "affiliation_name": "Unknown"})
-    d = keep_one(d, ["people_entity_type", "people_object_id"],
-                 prefer=[F.col("people_id").try_cast("bigint"), F.col("people_id")])
+    return keep_one(d, ["people_entity_type", "people_object_id"],
+                    prefer=[F.col("people_id").try_cast("bigint"), F.col("people_id")])
+
+
+def transform_people(df: DataFrame, company: DataFrame | None = None, mode: str = "compat") -> Built:
+    _check_mode(mode)
+    d = people_deduped(df)
     d = d.where(F.col("full_name") != "Unknown")
     if company is None:
         return Built("dim_people", d, key="people_id")
@@ -106,8 +117,8 @@ def transform_people(df: DataFrame, company: DataFrame | None = None, mode: str
 
 
 # ---------------------------------------------------------------- T3 milestones
-def transform_milestones(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
-    _check_mode(mode)
+def milestones_prepared(df: DataFrame) -> DataFrame:
+    """Cleaned milestones, one per entity, with a non-NULL id (before the company check)."""
     d = blank_to_null(df, "", "NaN")
     d = d.select(
         "milestone_id",
@@ -125,7 +136,12 @@ def transform_milestones(df: DataFrame, company: DataFrame, mode: str = "compat"
     prefer = [F.col("updated_at"), F.col("milestone_id")]
     d = keep_one(d, ["milestone_id"], prefer)
     d = keep_one(d, ["milestone_entity_type", "milestone_object_id"], prefer)  # one milestone per entity
-    d = d.where(F.col("milestone_object_id").isNotNull())
+    return d.where(F.col("milestone_object_id").isNotNull())
+
+
+def transform_milestones(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
+    _check_mode(mode)
+    d = milestones_prepared(df)
     on = ["milestone_object_id"] if mode == "compat" else ["milestone_entity_type", "milestone_object_id"]
     flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
     valid, bad = split(flagged, "in_company")
@@ -222,9 +238,8 @@ def transform_funding_rounds(df: DataFrame, company: DataFrame, people: DataFram
 
 
 # ---------------------------------------------------------------- T6 relationship
-def transform_relationship(df: DataFrame, company: DataFrame, people: DataFrame,
-                           mode: str = "compat") -> Built:
-    _check_mode(mode)
+def relationship_prepared(df: DataFrame) -> DataFrame:
+    """Cleaned relationships, one per relationship_id (before the checks)."""
     d = blank_to_null(df)
     d = d.select(
         "relationship_id",
@@ -239,7 +254,13 @@ def transform_relationship(df: DataFrame, company: DataFrame, people: DataFrame,
         X.parse_timestamp("updated_at").alias("updated_at"),
     )
     d = fill_defaults(d, {"title": "Unknown"})
-    d = keep_one(d, ["relationship_id"], [F.col("updated_at")])
+    return keep_one(d, ["relationship_id"], [F.col("updated_at")])
+
+
+def transform_relationship(df: DataFrame, company: DataFrame, people: DataFrame,
+                           mode: str = "compat") -> Built:
+    _check_mode(mode)
+    d = relationship_prepared(df)
     if mode == "compat":
         p_keys, p_on = key_set(people, "people_object_id"), ["people_object_id"]
         c_keys, c_on = key_set(company, "company_object_id"), ["relationship_object_id"]
@@ -262,8 +283,8 @@ def transform_relationship(df: DataFrame, company: DataFrame, people: DataFrame,
 
 
 # ---------------------------------------------------------------- T7 ipo
-def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
-    _check_mode(mode)
+def ipo_prepared(df: DataFrame) -> DataFrame:
+    """Cleaned, filled, deduplicated IPOs (before the company filter and check)."""
     d = blank_to_null(df)
     d = d.select(
         "ipo_id",
@@ -283,7 +304,12 @@ def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat") -> Bu
     d = fill_defaults(d, {"valuation_amount": 0, "valuation_currency": "USD", "raised_amount": 0,
                           "raised_currency": "USD", "stock_market": "N/A", "stock_symbol": "N/A",
                           "source_url": "Unknown", "source_description": "Unknown"})
-    d = keep_one(d, ["ipo_id"], [F.col("updated_at")])
+    return keep_one(d, ["ipo_id"], [F.col("updated_at")])
+
+
+def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
+    _check_mode(mode)
+    d = ipo_prepared(df)
     is_company = F.coalesce(F.col("ipo_entity_type") == "c", F.lit(False))
     on = ["ipo_object_id"] if mode == "compat" else ["ipo_entity_type", "ipo_object_id"]
     flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
@@ -294,9 +320,8 @@ def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat") -> Bu
 
 
 # ---------------------------------------------------------------- T8 investments
-def transform_investments(df: DataFrame, company: DataFrame, people: DataFrame, rounds: DataFrame,
-                          mode: str = "compat") -> Built:
-    _check_mode(mode)
+def investments_prepared(df: DataFrame) -> DataFrame:
+    """Deduplicated investments with parsed keys (before the checks)."""
     d = blank_to_null(df)
     d = keep_one(d, ["investment_id"], [X.parse_timestamp(F.col("updated_at"))])
     d = d.select(
@@ -307,17 +332,31 @@ def transform_investments(df: DataFrame, company: DataFrame, people: DataFrame,
         X.entity_prefix("investor_object_id").alias("investor_entity_type"),
         X.entity_id("investor_object_id").alias("investor_object_id"),
     )
+    return d
+
+
+def resolve_funded_type(d: DataFrame, company: DataFrame, people: DataFrame) -> DataFrame:
+    """Compat rule for the funded side: look the bare id up in companies and
+    people; a company match wins.  Adds ``funded_entity_type`` (NULL when
+    neither matches) — one join against the combined key set."""
+    typed = typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
+    by_id = typed.groupBy("object_id").agg(
+        F.max(F.col("entity_type") == "c").alias("has_c"),
+        F.max(F.col("entity_type") == "p").alias("has_p"))
+    d = lookup(d, by_id, ["funded_object_id"], ["has_c", "has_p"])
+    return (d.withColumn("funded_entity_type",
+                         F.when(F.col("has_c"), F.lit("c")).when(F.col("has_p"), F.lit("p")))
+             .drop("has_c", "has_p"))
+
+
+def transform_investments(df: DataFrame, company: DataFrame, people: DataFrame, rounds: DataFrame,
+                          mode: str = "compat") -> Built:
+    _check_mode(mode)
+    d = investments_prepared(df)
     typed = typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
     if mode == "compat":
-        # the funded id is looked up without its prefix; a company match wins over a person
-        by_id = typed.groupBy("object_id").agg(
-            F.max(F.col("entity_type") == "c").alias("has_c"),
-            F.max(F.col("entity_type") == "p").alias("has_p"))
-        d = lookup(d, by_id, ["funded_object_id"], ["has_c", "has_p"])
-        d = (d.withColumn("funded_entity_type",
-                          F.when(F.col("has_c"), F.lit("c")).when(F.col("has_p"), F.lit("p")))
-              .withColumn("funded_ok", F.col("funded_entity_type").isNotNull())
-              .drop("has_c", "has_p"))
+        d = resolve_funded_type(d, company, people)
+        d = d.withColumn("funded_ok", F.col("funded_entity_type").isNotNull())
     else:
         d = d.withColumn("funded_entity_type", F.col("funded_prefix"))
         d = flag_matches(d, typed, ["funded_entity_type", "funded_object_id"], "funded_ok")

@@ -129,12 +129,13 @@ SELECT people_id, {prefix(nz('object_id'))} AS people_entity_type, {ident(nz('ob
   COALESCE({fix_enc(nz('birthplace'))}, 'Unknown') AS birthplace,
   COALESCE({clean_alpha(nz('affiliation_name'))}, 'Unknown') AS affiliation_name
 FROM st_people""")
-cte("dim_people", ("dim_people_pre",), f"""
-SELECT * FROM (SELECT * FROM dim_people_pre
-  {survivor('people_entity_type, people_object_id',
-            desc('TRY_CAST(people_id AS BIGINT)', 'people_id', 'people_id', 'full_name', 'birthplace',
-                 'affiliation_name'))})
-WHERE full_name <> 'Unknown'""")
+cte("people_dedup", ("dim_people_pre",), f"""
+SELECT * FROM dim_people_pre
+{survivor('people_entity_type, people_object_id',
+          desc('TRY_CAST(people_id AS BIGINT)', 'people_id', 'people_id', 'full_name', 'birthplace',
+               'affiliation_name'))}""")
+cte("dim_people", ("people_dedup",), """
+SELECT * FROM people_dedup WHERE full_name <> 'Unknown'""")
 
 # T3 milestones
 cte("milestones_pre", ("st_milestones",), f"""
@@ -250,11 +251,13 @@ SELECT relationship_id,
 FROM st_relationship""")
 _rel_rest = ("people_entity_type", "people_object_id", "relationship_entity_type", "relationship_object_id",
              "start_at", "end_at", "title", "created_at", "updated_at")
-cte("relationship_checked", ("relationship_pre", "dim_company", "dim_people"), f"""
+cte("relationship_dedup", ("relationship_pre",), f"""
+SELECT * FROM relationship_pre {survivor('relationship_id', desc('updated_at', *_rel_rest))}""")
+cte("relationship_checked", ("relationship_dedup", "dim_company", "dim_people"), """
 SELECT r.*,
   EXISTS (SELECT 1 FROM dim_people p WHERE p.people_object_id = r.people_object_id) AS person_ok,
   EXISTS (SELECT 1 FROM dim_company c WHERE c.company_object_id = r.relationship_object_id) AS company_ok
-FROM (SELECT * FROM relationship_pre {survivor('relationship_id', desc('updated_at', *_rel_rest))}) r""")
+FROM relationship_dedup r""")
 cte("fact_relationship", ("relationship_checked",), """
 SELECT people_object_id, relationship_id, people_entity_type, relationship_entity_type, relationship_object_id,
   start_at, end_at, title, created_at, updated_at

@@ -11,3 +11,7 @@ for _t in ("dim_company", "dim_people", "dim_milestones", "fact_acquisition", "d
     ORACLE[_t] = table(_t)
 for _q in ("milestones", "acquisition", "funding_rounds", "relationship", "ipo", "investments"):
     ORACLE[f"quarantine_{_q}"] = table(f"quarantine_{_q}")
+
+from oracle.ops import OPS  # noqa: E402
+
+ORACLE.update(OPS)
