@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from dimforge.functions import _py
 from dimforge.functions._py import LATIN_EXTRA  # noqa: F401  (re-exported fixed table)
@@ -51,8 +52,8 @@ def repair_mojibake(c) -> Column:
     return F.when(c.rlike(r"^[\x00-\xFF]*$"), F.coalesce(fixed, c)).otherwise(c)
 
 
-_nfkd_ascii = F.pandas_udf(_py.nfkd_ascii, "string")
-_transliterate = F.pandas_udf(_py.transliterate, "string")
+_nfkd_ascii = F.pandas_udf(_py.nfkd_ascii, StringType())
+_transliterate = F.pandas_udf(_py.transliterate, StringType())
 
 
 def clean_text(c) -> Column:

@@ -54,7 +54,8 @@ def _q(name: str) -> str:
 
 
 def column_stats(df: DataFrame) -> DataFrame:
-    """Pass 1: one row per column with n_rows, null_count, min_value, max_value."""
+    """Pass 1: one row per column with ordinal, column_name, data_type,
+    is_date, n_rows, null_count, min_value, max_value."""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i, f in enumerate(fields):
@@ -65,9 +66,11 @@ def column_stats(df: DataFrame) -> DataFrame:
         else:
             aggs += [F.lit(None).cast("string").alias(f"lo{i}"), F.lit(None).cast("string").alias(f"hi{i}")]
     per_col = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ordinal"), F.col(f"n{i}").alias("null_count"),
+        F.struct(F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                 F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.lit(_is_datetime(f.dataType)).alias("is_date"), F.col(f"n{i}").alias("null_count"),
                  F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"))
-        for i in range(len(fields))]))
+        for i, f in enumerate(fields)]))
     return df.agg(*aggs).select("n_rows", per_col.alias("s")).select("n_rows", "s.*")
 
 
@@ -96,27 +99,36 @@ def distinct_values(df: DataFrame) -> DataFrame:
     return _typed_values(df).distinct()
 
 
-def profile(df: DataFrame, table_name: str, exact: bool = True) -> DataFrame:
-    """One row per column (see ``PROFILE_COLUMNS``)."""
+def profile(df: DataFrame, table_name: str, exact: bool = True, sample_k: int = 0) -> DataFrame:
+    """One row per column (see ``PROFILE_COLUMNS``).  With ``sample_k > 0``
+    a ``sample_values`` array (the k smallest distinct values, in order) is
+    added; it comes from the same distinct set as ``unique_count``, so the
+    plan shuffles the values once."""
     fields = df.schema.fields
-    meta = df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString(), _is_datetime(f.dataType)) for i, f in enumerate(fields)],
-        "ordinal int, column_name string, data_type string, is_date boolean")
     stats = column_stats(df)
-    if exact:
-        uniq = distinct_values(df).groupBy("ordinal").agg(F.count(F.lit(1)).alias("unique_count"))
-    else:
-        uniq = _approx_unique(df)
-    out = (meta.join(stats, "ordinal").join(uniq, "ordinal", "left")
-           .select(
-               F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type", "n_rows",
-               F.lit(len(fields)).alias("n_cols"), "null_count",
-               F.coalesce(F.col("unique_count"), F.lit(0)).cast("long").alias("unique_count"),
-               pct("null_count", "n_rows").alias("percentage_missing_value"),
-               "min_value", "max_value",
-               F.when(F.col("is_date"), pct("n_rows - null_count", "n_rows"))
-                .alias("percentage_valid_date")))
-    return out
+    dv = distinct_values(df) if (exact or sample_k) else None
+    uniq = dv.groupBy("ordinal").agg(F.count(F.lit(1)).alias("unique_count")) if exact else _approx_unique(df)
+    out = stats.join(uniq, "ordinal", "left")
+    cols = [F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type", "n_rows",
+            F.lit(len(fields)).alias("n_cols"), "null_count",
+            F.coalesce(F.col("unique_count"), F.lit(0)).cast("long").alias("unique_count"),
+            pct("null_count", "n_rows").alias("percentage_missing_value"),
+            "min_value", "max_value",
+            F.when(F.col("is_date"), pct("n_rows - null_count", "n_rows")).alias("percentage_valid_date")]
+    if sample_k:
+        top = (_ranked(dv, sample_k).groupBy("ordinal")
+               .agg(F.sort_array(F.collect_list(F.struct("sample_rank", "text"))).alias("s"))
+               .select("ordinal", F.col("s.text").alias("sample_values")))
+        out = out.join(top, "ordinal", "left")
+        cols.append("sample_values")
+    return out.select(*cols)
+
+
+def _ranked(dv: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("ordinal").orderBy("v", "text")
+    return (dv.where(F.col("text").isNotNull())
+              .withColumn("sample_rank", F.row_number().over(w))
+              .where(F.col("sample_rank") <= k))
 
 
 def _approx_unique(df: DataFrame) -> DataFrame:
@@ -131,13 +143,8 @@ def _approx_unique(df: DataFrame) -> DataFrame:
 def samples(df: DataFrame, table_name: str, k: int = 5) -> DataFrame:
     """The ``k`` smallest distinct non-NULL values per column, long format:
     ``(table_name, column_name, sample_rank, sample_value)``."""
-    fields = df.schema.fields
-    names = F.array(*[F.lit(f.name) for f in fields])
-    w = Window.partitionBy("ordinal").orderBy("v", "text")
-    return (distinct_values(df)
-            .where(F.col("text").isNotNull())
-            .withColumn("sample_rank", F.row_number().over(w))
-            .where(F.col("sample_rank") <= k)
+    names = F.array(*[F.lit(f.name) for f in df.schema.fields])
+    return (_ranked(distinct_values(df), k)
             .select(F.lit(table_name).alias("table_name"),
                     F.element_at(names, F.col("ordinal") + 1).alias("column_name"),
                     F.col("sample_rank").cast("int").alias("sample_rank"),

@@ -465,3 +465,38 @@ def q_upsert_versioned(spark, d):
     T.upsert(W.transform_funds(fixture(spark, d, "funds")).valid, path, "fund_id")
     T.upsert(_funds_incoming(spark, d), path, "fund_id")
     return T.read_table(spark, path)
+
+
+# ------------------------------------------------------------------ T10-T12 jobs
+@query("stage_all")
+def q_stage_all(spark, d):
+    from dimforge.plans.jobs import stage_all
+    root = _scratch(spark, "stage_job")
+    stage_all(spark, d, root)
+    return extract_counts(spark, root)
+
+
+def extract_counts(spark, root) -> DataFrame:
+    out = None
+    for name in STAGED:
+        part = spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("profile_job")
+def q_profile_job(spark, d):
+    from dimforge.plans.jobs import profile_all, stage_all
+    root = _scratch(spark, "profile_job")
+    stage_all(spark, d, f"{root}/staging")
+    return profile_all(spark, f"{root}/staging", f"{root}/data_profiling").drop("sample_values")
+
+
+@query("warehouse_counts")
+def q_warehouse_counts(spark, d):
+    from dimforge.plans.jobs import build_warehouse, stage_all, warehouse_table_counts
+    root = _scratch(spark, "warehouse_job")
+    stage_all(spark, d, f"{root}/staging")
+    build_warehouse(spark, f"{root}/staging", f"{root}/warehouse")
+    return warehouse_table_counts(spark, f"{root}/warehouse")

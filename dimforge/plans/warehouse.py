@@ -15,6 +15,7 @@ record id, then the remaining columns (see ``operators.dedupe``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,16 +24,31 @@ from pyspark.sql import functions as F
 from dimforge import functions as X
 from dimforge.operators.cleaning import blank_to_null, drop_null_rows, fill_defaults
 from dimforge.operators.dedupe import keep_one
-from dimforge.operators.refcheck import (flag_matches, key_set, lookup, quarantine, split,
-                                         typed_key_set)
+from dimforge.operators.refcheck import flag_matches, key_set, lookup, quarantine, typed_key_set
+
+
+def _same(df: DataFrame) -> DataFrame:
+    return df
 
 
 @dataclass
 class Built:
+    """A transform's result.  ``classified`` holds every cleaned row with its
+    check flags; ``valid`` and ``quarantine`` are projections of it, so a job
+    can write ``classified`` once and split the written rows."""
     table: str
-    valid: DataFrame
-    quarantine: DataFrame | None = None
-    key: str | None = None
+    classified: DataFrame
+    key: str
+    to_valid: Callable[[DataFrame], DataFrame] = _same
+    to_quarantine: Callable[[DataFrame], DataFrame] | None = None
+
+    @property
+    def valid(self) -> DataFrame:
+        return self.to_valid(self.classified)
+
+    @property
+    def quarantine(self) -> DataFrame | None:
+        return None if self.to_quarantine is None else self.to_quarantine(self.classified)
 
 
 def _check_mode(mode: str) -> None:
@@ -81,7 +97,7 @@ def transform_company(df: DataFrame, mode: str = "compat") -> Built:
     d = company_deduped(df, mode)
     # dedupe first, then the coordinate filter (a survivor with 0/NULL coordinates drops the key)
     d = d.where((F.col("latitude") != 0) & (F.col("longitude") != 0))
-    return Built("dim_company", d, key="company_id")
+    return Built("dim_company", d, "company_id")
 
 
 # ---------------------------------------------------------------- T2 people
@@ -106,14 +122,14 @@ def transform_people(df: DataFrame, company: DataFrame | None = None, mode: str
     d = people_deduped(df)
     d = d.where(F.col("full_name") != "Unknown")
     if company is None:
-        return Built("dim_people", d, key="people_id")
+        return Built("dim_people", d, "people_id")
     # optional: people must also be known companies (by id)
     on = ["people_object_id"] if mode == "compat" else ["people_entity_type", "people_object_id"]
     flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
-    valid, bad = split(flagged, "in_company")
-    q = quarantine(bad, "people", "people_id", "people_entity_type", "people_object_id",
-                   reason="no match in dim_company")
-    return Built("dim_people", valid.drop("in_company"), q, key="people_id")
+    return Built("dim_people", flagged, "people_id",
+                 lambda c: c.where("in_company").drop("in_company"),
+                 lambda c: quarantine(c.where(~F.col("in_company")), "people", "people_id", "people_entity_type",
+                                      "people_object_id", reason="no match in dim_company"))
 
 
 # ---------------------------------------------------------------- T3 milestones
@@ -144,10 +160,11 @@ def transform_milestones(df: DataFrame, company: DataFrame, mode: str = "compat"
     d = milestones_prepared(df)
     on = ["milestone_object_id"] if mode == "compat" else ["milestone_entity_type", "milestone_object_id"]
     flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
-    valid, bad = split(flagged, "in_company")
-    q = quarantine(bad, "milestones", "milestone_id", "milestone_entity_type", "milestone_object_id",
-                   reason="no match in dim_company")
-    return Built("dim_milestones", valid.drop("in_company"), q, key="milestone_id")
+    return Built("dim_milestones", flagged, "milestone_id",
+                 lambda c: c.where("in_company").drop("in_company"),
+                 lambda c: quarantine(c.where(~F.col("in_company")), "milestones", "milestone_id",
+                                      "milestone_entity_type", "milestone_object_id",
+                                      reason="no match in dim_company"))
 
 
 # ---------------------------------------------------------------- T4 acquisition
@@ -182,17 +199,22 @@ def transform_acquisition(df: DataFrame, company: DataFrame, mode: str = "compat
         on_a = ["acquiring_entity_type", "acquiring_object_id"]
         on_b = ["acquired_entity_type", "acquired_object_id"]
     flagged = flag_matches(flag_matches(d, keys, on_a, "acquiring_ok"), keys, on_b, "acquired_ok")
-    valid, bad = split(flagged, F.col("acquiring_ok") & F.col("acquired_ok"))
-    valid = valid.select(
-        "acquisition_id", "acquiring_entity_type", "acquired_entity_type", "price_amount",
-        "price_currency_code", "acquired_at", "source_url", "created_at", "updated_at",
-        "acquiring_object_id", "acquired_object_id")
-    reason = (F.when(~F.col("acquiring_ok") & ~F.col("acquired_ok"), "no match in dim_company: both sides")
-               .when(~F.col("acquiring_ok"), "no match in dim_company: acquiring")
-               .otherwise("no match in dim_company: acquired"))
-    q = quarantine(bad, "acquisition", "acquisition_id", "acquiring_entity_type", "acquiring_object_id",
-                   "acquired_entity_type", "acquired_object_id", reason)
-    return Built("fact_acquisition", valid, q, key="acquisition_id")
+    ok = F.col("acquiring_ok") & F.col("acquired_ok")
+
+    def to_valid(c: DataFrame) -> DataFrame:
+        return c.where(ok).select(
+            "acquisition_id", "acquiring_entity_type", "acquired_entity_type", "price_amount",
+            "price_currency_code", "acquired_at", "source_url", "created_at", "updated_at",
+            "acquiring_object_id", "acquired_object_id")
+
+    def to_quarantine(c: DataFrame) -> DataFrame:
+        reason = (F.when(~F.col("acquiring_ok") & ~F.col("acquired_ok"), "no match in dim_company: both sides")
+                   .when(~F.col("acquiring_ok"), "no match in dim_company: acquiring")
+                   .otherwise("no match in dim_company: acquired"))
+        return quarantine(c.where(~ok), "acquisition", "acquisition_id", "acquiring_entity_type",
+                          "acquiring_object_id", "acquired_entity_type", "acquired_object_id", reason)
+
+    return Built("fact_acquisition", flagged, "acquisition_id", to_valid, to_quarantine)
 
 
 # ---------------------------------------------------------------- T5 funding rounds
@@ -229,12 +251,15 @@ def transform_funding_rounds(df: DataFrame, company: DataFrame, people: DataFram
     d = _rounds_clean(df)
     keys = typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
     flagged = flag_matches(d, keys, ["funding_entity_type", "funding_object_id"], "entity_ok")
-    valid, bad = split(flagged, "entity_ok")
-    reason = F.concat(F.lit("no match in "),
-                      F.when(F.col("funding_entity_type") == "p", "dim_people").otherwise("dim_company"))
-    q = quarantine(bad, "funding_rounds", "funding_round_id", "funding_entity_type",
-                   "funding_object_id", reason=reason)
-    return Built("dim_funding_rounds", valid.drop("entity_ok"), q, key="funding_round_id")
+
+    def to_quarantine(c: DataFrame) -> DataFrame:
+        reason = F.concat(F.lit("no match in "),
+                          F.when(F.col("funding_entity_type") == "p", "dim_people").otherwise("dim_company"))
+        return quarantine(c.where(~F.col("entity_ok")), "funding_rounds", "funding_round_id",
+                          "funding_entity_type", "funding_object_id", reason=reason)
+
+    return Built("dim_funding_rounds", flagged, "funding_round_id",
+                 lambda c: c.where("entity_ok").drop("entity_ok"), to_quarantine)
 
 
 # ---------------------------------------------------------------- T6 relationship
@@ -270,16 +295,21 @@ def transform_relationship(df: DataFrame, company: DataFrame, people: DataFrame,
         c_keys = key_set(company, "company_entity_type", "company_object_id")
         c_on = ["relationship_entity_type", "relationship_object_id"]
     flagged = flag_matches(flag_matches(d, p_keys, p_on, "person_ok"), c_keys, c_on, "company_ok")
-    valid, bad = split(flagged, F.col("person_ok") & F.col("company_ok"))
-    valid = valid.select("people_object_id", "relationship_id", "people_entity_type",
-                         "relationship_entity_type", "relationship_object_id", "start_at", "end_at",
-                         "title", "created_at", "updated_at")
-    reason = (F.when(~F.col("person_ok") & ~F.col("company_ok"), "no match in dim_people and dim_company")
-               .when(~F.col("person_ok"), "no match in dim_people")
-               .otherwise("no match in dim_company"))
-    q = quarantine(bad, "relationship", "relationship_id", "people_entity_type", "people_object_id",
-                   "relationship_entity_type", "relationship_object_id", reason)
-    return Built("fact_relationship", valid, q, key="relationship_id")
+    ok = F.col("person_ok") & F.col("company_ok")
+
+    def to_valid(c: DataFrame) -> DataFrame:
+        return c.where(ok).select("people_object_id", "relationship_id", "people_entity_type",
+                                  "relationship_entity_type", "relationship_object_id", "start_at", "end_at",
+                                  "title", "created_at", "updated_at")
+
+    def to_quarantine(c: DataFrame) -> DataFrame:
+        reason = (F.when(~F.col("person_ok") & ~F.col("company_ok"), "no match in dim_people and dim_company")
+                   .when(~F.col("person_ok"), "no match in dim_people")
+                   .otherwise("no match in dim_company"))
+        return quarantine(c.where(~ok), "relationship", "relationship_id", "people_entity_type",
+                          "people_object_id", "relationship_entity_type", "relationship_object_id", reason)
+
+    return Built("fact_relationship", flagged, "relationship_id", to_valid, to_quarantine)
 
 
 # ---------------------------------------------------------------- T7 ipo
@@ -313,10 +343,13 @@ def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat") -> Bu
     is_company = F.coalesce(F.col("ipo_entity_type") == "c", F.lit(False))
     on = ["ipo_object_id"] if mode == "compat" else ["ipo_entity_type", "ipo_object_id"]
     flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
-    valid, bad = split(flagged, is_company & F.col("in_company"))
-    reason = F.when(~is_company, "not a company").otherwise("no match in dim_company")
-    q = quarantine(bad, "ipo", "ipo_id", "ipo_entity_type", "ipo_object_id", reason=reason)
-    return Built("fact_ipo", valid.drop("in_company"), q, key="ipo_id")
+    ok = is_company & F.col("in_company")
+
+    def to_quarantine(c: DataFrame) -> DataFrame:
+        reason = F.when(~is_company, "not a company").otherwise("no match in dim_company")
+        return quarantine(c.where(~ok), "ipo", "ipo_id", "ipo_entity_type", "ipo_object_id", reason=reason)
+
+    return Built("fact_ipo", flagged, "ipo_id", lambda c: c.where(ok).drop("in_company"), to_quarantine)
 
 
 # ---------------------------------------------------------------- T8 investments
@@ -363,15 +396,19 @@ def transform_investments(df: DataFrame, company: DataFrame, people: DataFrame,
     d = flag_matches(d, typed, ["investor_entity_type", "investor_object_id"], "investor_ok")
     d = flag_matches(d, key_set(rounds, "funding_round_id"), ["funding_round_id"], "round_ok")
     ok = F.col("funded_ok") & F.col("investor_ok") & F.col("round_ok")
-    valid, bad = split(d, ok)
-    valid = valid.select("funding_round_id", "investment_id", "funded_entity_type", "funded_object_id",
-                         "investor_entity_type", "investor_object_id")
-    reason = (F.when(~F.col("funded_ok"), "funded entity not found")
-               .when(~F.col("investor_ok"), "investor not found")
-               .otherwise("no match in dim_funding_rounds"))
-    q = quarantine(bad, "investments", "investment_id", "funded_prefix", "funded_object_id",
-                   "investor_entity_type", "investor_object_id", reason)
-    return Built("fact_investments", valid, q, key="investment_id")
+
+    def to_valid(c: DataFrame) -> DataFrame:
+        return c.where(ok).select("funding_round_id", "investment_id", "funded_entity_type", "funded_object_id",
+                                  "investor_entity_type", "investor_object_id")
+
+    def to_quarantine(c: DataFrame) -> DataFrame:
+        reason = (F.when(~F.col("funded_ok"), "funded entity not found")
+                   .when(~F.col("investor_ok"), "investor not found")
+                   .otherwise("no match in dim_funding_rounds"))
+        return quarantine(c.where(~ok), "investments", "investment_id", "funded_prefix", "funded_object_id",
+                          "investor_entity_type", "investor_object_id", reason)
+
+    return Built("fact_investments", d, "investment_id", to_valid, to_quarantine)
 
 
 # ---------------------------------------------------------------- T9 funds
@@ -395,4 +432,4 @@ def transform_funds(df: DataFrame, mode: str = "compat") -> Built:
     d = drop_null_rows(d, ["funding_date"])
     d = (d.withColumn("source_url", X.url_or_default("source_url"))
           .withColumn("source_description", X.clean_alpha_text("source_description")))
-    return Built("dim_funds", d, key="fund_id")
+    return Built("dim_funds", d, "fund_id")

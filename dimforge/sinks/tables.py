@@ -111,20 +111,53 @@ def upsert(incoming: DataFrame, path: str, key: str,
 
 # ------------------------------------------------------------------ K4 run log
 def log_rows(spark: SparkSession, entries: Sequence[Mapping[str, object]]) -> DataFrame:
-    now = _dt.datetime.now()
-    rows = [(e.get("step"), e.get("status"), e.get("source"), e.get("table_name"), e.get("etl_date") or now)
+    """Run-log rows as a literal relation (built in the JVM; no Python data path)."""
+    now = _dt.datetime.now().replace(microsecond=0)
+
+    def lit_s(v):
+        return F.lit(None if v is None else str(v)).cast("string")
+
+    rows = [F.struct(lit_s(e.get("step")).alias("step"), lit_s(e.get("status")).alias("status"),
+                     lit_s(e.get("source")).alias("source"), lit_s(e.get("table_name")).alias("table_name"),
+                     F.lit(e.get("etl_date") or now).cast("timestamp").alias("etl_date"))
             for e in entries]
-    return spark.createDataFrame(rows, RUN_LOG_DDL)
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def append_log(spark: SparkSession, path: str, entries: Sequence[Mapping[str, object]]) -> None:
     """Append run-log rows; a failure to log never fails the job."""
+    if not entries:
+        return
     try:
-        log_rows(spark, entries).write.mode("append").parquet(path)
+        log_rows(spark, entries).coalesce(1).write.mode("append").parquet(path)
     except Exception as e:  # noqa: BLE001
         print(f"run log not written: {e}")
 
 
+class RunLog:
+    """Collects run-log entries of one job and appends them in one write
+    (at ``flush``, or when the ``with`` block ends, also on failure)."""
+
+    def __init__(self, spark: SparkSession, path: str | None):
+        self.spark, self.path, self.entries = spark, path, []
+
+    def add(self, **entry) -> None:
+        entry.setdefault("etl_date", _dt.datetime.now().replace(microsecond=0))
+        self.entries.append(entry)
+
+    def flush(self) -> None:
+        if self.path and self.entries:
+            append_log(self.spark, self.path, self.entries)
+        self.entries = []
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        self.flush()
+        return False
+
+
 # ------------------------------------------------------------------ K5 quarantine, K3 dead letter
 def append_quarantine(rejected: DataFrame, path: str) -> None:
     """Append quarantine rows (layout of ``refcheck.quarantine``) with ``logged_at``."""
@@ -138,17 +171,19 @@ def dead_letter(df: DataFrame, path: str, error: str) -> None:
 
 
 # ------------------------------------------------------------------ K6 profile JSON
-def profile_document(profile: DataFrame, samples: DataFrame, person: str, fmt: str) -> DataFrame:
-    """One JSON document per table: header plus a ``report`` map column -> stats."""
-    s = (samples.groupBy("table_name", "column_name")
-         .agg(F.sort_array(F.collect_list(F.struct("sample_rank", "sample_value"))).alias("ss"))
-         .select("table_name", "column_name", F.col("ss.sample_value").alias("sample_values")))
-    stats = F.struct("data_type", F.col("sample_values"), "unique_count", F.col("sample_values").alias("unique_value"),
-                     "null_count", "percentage_missing_value", F.col("min_value"), F.col("max_value"),
-                     "percentage_valid_date")
-    per_col = profile.join(s, ["table_name", "column_name"], "left")
-    doc = (per_col.groupBy("table_name", "n_rows", "n_cols")
-           .agg(F.map_from_entries(F.collect_list(F.struct("column_name", stats))).alias("report")))
+def profile_document(profile: DataFrame, person: str, fmt: str) -> DataFrame:
+    """One document per table: a header plus ``report``, a map from column
+    name to its statistics (``profile`` as made by ``operators.profile.profile``
+    with ``sample_k``; the per-table group holds one row per column)."""
+    samples = F.col("sample_values") if "sample_values" in profile.columns else F.lit(None).cast("array<string>")
+    stats = F.struct("data_type", samples.alias("sample_values"), "unique_count",
+                     samples.alias("unique_value"), "null_count", "percentage_missing_value",
+                     F.col("min_value"), F.col("max_value"), "percentage_valid_date")
+    doc = (profile.groupBy("table_name", "n_rows", "n_cols")
+           .agg(F.sort_array(F.collect_list(F.struct("ordinal", "column_name", stats.alias("stats"))))
+                .alias("cols"))
+           .withColumn("report", F.map_from_entries(
+               F.transform("cols", lambda e: F.struct(e["column_name"], e["stats"])))))
     return doc.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
         F.lit(person).alias("person_in_charge"),
@@ -156,7 +191,6 @@ def profile_document(profile: DataFrame, samples: DataFrame, person: str, fmt: s
          .alias("profiling_result"))
 
 
-def write_profile_json(profile: DataFrame, samples: DataFrame, path: str, person: str = "",
-                       fmt: str = "from Staging") -> None:
+def write_profile_json(profile: DataFrame, path: str, person: str = "", fmt: str = "from Staging") -> None:
     """One JSON line per profiled table under ``path``."""
-    profile_document(profile, samples, person, fmt).write.mode("overwrite").json(path)
+    profile_document(profile, person, fmt).coalesce(1).write.mode("overwrite").json(path)

@@ -279,3 +279,9 @@ FROM dim_funds t FULL OUTER JOIN (
                     "dim_funds", "st_funds")
 OPS["upsert_merge"] = _UPSERT
 OPS["upsert_versioned"] = _UPSERT
+
+# ------------------------------------------------------------------ jobs
+OPS["stage_all"] = OPS["src_all_tables"]
+OPS["profile_job"] = OPS["profile_all"]
+OPS["warehouse_counts"] = with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in _WH), *_WH)
