@@ -1,16 +1,19 @@
-"""Column profiling in two passes over the data, whatever the column count.
+"""Column profiling in one pass over the data, whatever the column count.
 
 Per column: data type, null count, exact distinct count (NULL counted as a
 value), min, max, percent missing, percent valid date (date/timestamp
-columns only) and the k smallest distinct non-NULL values as samples.
+columns only) and, optionally, the k smallest distinct non-NULL values.
 
-* Pass 1 is one global aggregate (row count, per-column null count, min,
-  max): a partial aggregate per task and a one-row merge — no shuffle.
-* Pass 2 unpivots every value to ``(ordinal, typed value)`` and takes the
-  distinct set (partial aggregation before the shuffle).  Distinct counts
-  and samples both come from that one distinct set; samples use
-  ``row_number() <= k`` per column, which Spark evaluates with a group
-  limit before its shuffle, so no column's values ever meet in one task.
+Every value is unpivoted to ``(ordinal, typed value)`` and counted per
+distinct value — one hash aggregation with partial aggregation before its
+shuffle.  Everything else comes from that small value-count set: row and
+null counts (sums), distinct count (rows), min/max, and samples
+(``row_number() <= k`` per column, which Spark evaluates with a group limit
+before its shuffle, so no column's values ever meet in one task).
+
+The typed value is a struct with one slot per distinct column type; only
+the column's own slot is set, so values order by their own type (numbers
+numerically, dates by date) while all columns share one schema.
 
 Percentages are rounded half-up to two decimals from the exact ratio,
 computed with integer arithmetic (no binary floating-point artefacts).
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, DataType, DateType, MapType, StructType,
+from pyspark.sql.types import (ArrayType, BinaryType, DataType, DateType, MapType, StringType, StructType,
                                TimestampNTZType, TimestampType)
 
 PROFILE_COLUMNS = ["table_name", "column_name", "ordinal", "data_type", "n_rows", "n_cols", "null_count",
@@ -53,70 +56,82 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def column_stats(df: DataFrame) -> DataFrame:
-    """Pass 1: one row per column with ordinal, column_name, data_type,
-    is_date, n_rows, null_count, min_value, max_value."""
-    fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for i, f in enumerate(fields):
-        c = F.col(_q(f.name))
-        aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
-        if _orderable(f.dataType):
-            aggs += [F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
-        else:
-            aggs += [F.lit(None).cast("string").alias(f"lo{i}"), F.lit(None).cast("string").alias(f"hi{i}")]
-    per_col = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
-                 F.lit(f.dataType.simpleString()).alias("data_type"),
-                 F.lit(_is_datetime(f.dataType)).alias("is_date"), F.col(f"n{i}").alias("null_count"),
-                 F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"))
-        for i, f in enumerate(fields)]))
-    return df.agg(*aggs).select("n_rows", per_col.alias("s")).select("n_rows", "s.*")
+def _slots(df: DataFrame) -> list[DataType]:
+    types: list[DataType] = []
+    for f in df.schema.fields:
+        t = f.dataType if _orderable(f.dataType) else StringType()   # others by their JSON text
+        if t not in types:
+            types.append(t)
+    return types
 
 
 def _typed_values(df: DataFrame) -> DataFrame:
-    """Unpivot to ``(ordinal, v, text)``: ``v`` is a struct with one slot per
-    distinct column type (only the column's own slot is set), so values sort
-    in their own type's order; ``text`` is the value as a string."""
-    fields = [f for f in df.schema.fields]
-    slot_types: list[DataType] = []
-    for f in fields:
-        if _orderable(f.dataType) and f.dataType not in slot_types:
-            slot_types.append(f.dataType)
+    """Unpivot to ``(ordinal, is_null, v)`` (see module doc for ``v``)."""
+    slot_types = _slots(df)
     items = []
-    for i, f in enumerate(fields):
+    for i, f in enumerate(df.schema.fields):
         c = F.col(_q(f.name))
-        slots = [(c if f.dataType == t else F.lit(None).cast(t)).alias(f"s{j}")
-                 for j, t in enumerate(slot_types)]
-        if not _orderable(f.dataType):  # maps/binary: distinct by text only
-            slots = [F.lit(None).cast(t).alias(f"s{j}") for j, t in enumerate(slot_types)]
-        text = F.to_json(c) if isinstance(f.dataType, (MapType, ArrayType, StructType)) else c.cast("string")
-        items.append(F.struct(F.lit(i).alias("ordinal"), F.struct(*slots).alias("v"), text.alias("text")))
+        own = c if _orderable(f.dataType) else F.to_json(c)
+        own_t = f.dataType if _orderable(f.dataType) else StringType()
+        slots = [(own if own_t == t else F.lit(None).cast(t)).alias(f"s{j}") for j, t in enumerate(slot_types)]
+        items.append(F.struct(F.lit(i).alias("ordinal"), c.isNull().alias("is_null"), F.struct(*slots).alias("v")))
     return df.select(F.explode(F.array(*items)).alias("e")).select("e.*")
 
 
-def distinct_values(df: DataFrame) -> DataFrame:
-    return _typed_values(df).distinct()
+def value_counts(df: DataFrame) -> DataFrame:
+    """``(ordinal, is_null, v, cnt)``: occurrences of each distinct value per column."""
+    return _typed_values(df).groupBy("ordinal", "is_null", "v").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _text(df: DataFrame, v: str):
+    return F.coalesce(*[F.col(v)[f"s{j}"].cast("string") for j in range(len(_slots(df)))])
+
+
+def _columns(df: DataFrame) -> DataFrame:
+    """Literal relation of the column metadata (built in the JVM)."""
+    rows = [F.struct(F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.lit(_is_datetime(f.dataType)).alias("is_date"))
+            for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def profile(df: DataFrame, table_name: str, exact: bool = True, sample_k: int = 0) -> DataFrame:
-    """One row per column (see ``PROFILE_COLUMNS``).  With ``sample_k > 0``
-    a ``sample_values`` array (the k smallest distinct values, in order) is
-    added; it comes from the same distinct set as ``unique_count``, so the
-    plan shuffles the values once."""
+    """One row per column (see ``PROFILE_COLUMNS``).  With ``sample_k > 0`` a
+    ``sample_values`` array (the k smallest distinct values, in order) is
+    added, taken from the same value-count set.  ``exact=False`` uses
+    HyperLogLog distinct counts and one global aggregate instead (no
+    shuffle of values; samples are then not available)."""
     fields = df.schema.fields
-    stats = column_stats(df)
-    dv = distinct_values(df) if (exact or sample_k) else None
-    uniq = dv.groupBy("ordinal").agg(F.count(F.lit(1)).alias("unique_count")) if exact else _approx_unique(df)
-    out = stats.join(uniq, "ordinal", "left")
+    meta = _columns(df)
+    if exact:
+        vc = value_counts(df)
+        per = vc.groupBy("ordinal").agg(
+            F.sum("cnt").alias("n_rows"),
+            F.sum(F.when(F.col("is_null"), F.col("cnt")).otherwise(F.lit(0))).alias("null_count"),
+            F.count(F.lit(1)).alias("unique_count"),
+            F.min(F.when(~F.col("is_null"), F.col("v"))).alias("lo"),
+            F.max(F.when(~F.col("is_null"), F.col("v"))).alias("hi"))
+        per = per.select("ordinal", "n_rows", "null_count", "unique_count",
+                         _text(df, "lo").alias("min_value"), _text(df, "hi").alias("max_value"))
+        for i, f in enumerate(fields):           # min/max are undefined for unorderable types
+            if not _orderable(f.dataType):
+                per = per.withColumn("min_value", F.when(F.col("ordinal") != i, F.col("min_value"))) \
+                         .withColumn("max_value", F.when(F.col("ordinal") != i, F.col("max_value")))
+    else:
+        per = _approx_stats(df)
+    n_rows = F.max(F.coalesce(F.col("n_rows"), F.lit(0))).over(Window.partitionBy())
+    out = meta.join(per, "ordinal", "left").withColumn("n_rows", n_rows.cast("long"))
     cols = [F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type", "n_rows",
-            F.lit(len(fields)).alias("n_cols"), "null_count",
+            F.lit(len(fields)).alias("n_cols"),
+            F.coalesce(F.col("null_count"), F.lit(0)).cast("long").alias("null_count"),
             F.coalesce(F.col("unique_count"), F.lit(0)).cast("long").alias("unique_count"),
-            pct("null_count", "n_rows").alias("percentage_missing_value"),
+            pct("coalesce(null_count, 0)", "n_rows").alias("percentage_missing_value"),
             "min_value", "max_value",
-            F.when(F.col("is_date"), pct("n_rows - null_count", "n_rows")).alias("percentage_valid_date")]
-    if sample_k:
-        top = (_ranked(dv, sample_k).groupBy("ordinal")
+            F.when(F.col("is_date"), pct("n_rows - coalesce(null_count, 0)", "n_rows"))
+             .alias("percentage_valid_date")]
+    if sample_k and exact:
+        top = (_ranked(vc, df, sample_k).groupBy("ordinal")
                .agg(F.sort_array(F.collect_list(F.struct("sample_rank", "text"))).alias("s"))
                .select("ordinal", F.col("s.text").alias("sample_values")))
         out = out.join(top, "ordinal", "left")
@@ -124,27 +139,35 @@ def profile(df: DataFrame, table_name: str, exact: bool = True, sample_k: int =
     return out.select(*cols)
 
 
-def _ranked(dv: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("ordinal").orderBy("v", "text")
-    return (dv.where(F.col("text").isNotNull())
+def _ranked(vc: DataFrame, df: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("ordinal").orderBy("v")
+    return (vc.where(~F.col("is_null"))
               .withColumn("sample_rank", F.row_number().over(w))
-              .where(F.col("sample_rank") <= k))
+              .where(F.col("sample_rank") <= k)
+              .withColumn("text", _text(df, "v")))
 
 
-def _approx_unique(df: DataFrame) -> DataFrame:
+def _approx_stats(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
-    aggs = [(F.approx_count_distinct(F.col(_q(f.name))) +
-             F.max(F.col(_q(f.name)).isNull().cast("int"))).alias(f"u{i}") for i, f in enumerate(fields)]
-    per_col = F.explode(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.col(f"u{i}").alias("unique_count"))
-                                  for i in range(len(fields))]))
-    return df.agg(*aggs).select(per_col.alias("s")).select("s.*")
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, f in enumerate(fields):
+        c = F.col(_q(f.name))
+        aggs += [F.count_if(c.isNull()).alias(f"z{i}"),
+                 (F.approx_count_distinct(c) + F.max(c.isNull().cast("int"))).alias(f"u{i}")]
+        lo, hi = (F.min(c), F.max(c)) if _orderable(f.dataType) else (F.lit(None), F.lit(None))
+        aggs += [lo.cast("string").alias(f"lo{i}"), hi.cast("string").alias(f"hi{i}")]
+    per_col = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ordinal"), F.col(f"z{i}").alias("null_count"), F.col(f"u{i}").alias("unique_count"),
+                 F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"))
+        for i in range(len(fields))]))
+    return df.agg(*aggs).select(F.col("n").alias("n_rows"), per_col.alias("s")).select("n_rows", "s.*")
 
 
 def samples(df: DataFrame, table_name: str, k: int = 5) -> DataFrame:
     """The ``k`` smallest distinct non-NULL values per column, long format:
     ``(table_name, column_name, sample_rank, sample_value)``."""
     names = F.array(*[F.lit(f.name) for f in df.schema.fields])
-    return (_ranked(distinct_values(df), k)
+    return (_ranked(value_counts(df), df, k)
             .select(F.lit(table_name).alias("table_name"),
                     F.element_at(names, F.col("ordinal") + 1).alias("column_name"),
                     F.col("sample_rank").cast("int").alias("sample_rank"),
