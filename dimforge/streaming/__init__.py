@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source system is batch only: it has no streaming input, no event-time
+windows, no watermarks and no stateful operators.  Its only incremental
+behaviour is the keyed upsert applied when a load is re-run, which lives in
+``dimforge.sinks.tables.upsert`` (a new table version per run, readers see
+the newest committed one).
+"""
