@@ -500,3 +500,55 @@ def q_warehouse_counts(spark, d):
     stage_all(spark, d, f"{root}/staging")
     build_warehouse(spark, f"{root}/staging", f"{root}/warehouse")
     return warehouse_table_counts(spark, f"{root}/warehouse")
+
+
+# ------------------------------------------------------------------ K3/K4/K6 dead letter, run log, profile JSON
+@query("dead_letter")
+def q_dead_letter(spark, d):
+    """A load that fails (key column missing) leaves its rows, with the
+    error text and time, in the dead-letter table."""
+    path = _scratch(spark, "dead_letter")
+    rows = fixture(spark, d, "funds")
+    try:
+        T.upsert(rows, _scratch(spark, "never"), "fund_key")
+    except ValueError as e:
+        T.dead_letter(rows, path, str(e))
+    return spark.read.parquet(path).drop("etl_date")
+
+
+@query("etl_log")
+def q_etl_log(spark, d):
+    from dimforge.plans.jobs import stage_all
+    root = _scratch(spark, "log_job")
+    stage_all(spark, d, f"{root}/staging", f"{root}/etl_logs")
+    return spark.read.parquet(f"{root}/etl_logs").drop("etl_date")
+
+
+@query("profile_json")
+def q_profile_json(spark, d):
+    from dimforge.plans.jobs import profile_all, stage_all
+    root = _scratch(spark, "json_job")
+    stage_all(spark, d, f"{root}/staging")
+    profile_all(spark, f"{root}/staging", f"{root}/data_profiling")
+    doc = spark.read.json(f"{root}/data_profiling/json")
+    r = doc.select("profiling_result.*")
+    return r.select("table_name", "format_file", "n_rows", "n_cols",
+                    F.size(F.map_keys(F.from_json(F.to_json("report"), "map<string,string>"))).alias("n_report"))
+
+
+# ------------------------------------------------------------------ strict keys, optional people check
+@query("dim_company_strict")
+def q_dim_company_strict(spark, d):
+    return W.transform_company(fixture(spark, d, "company"), mode="strict").valid
+
+
+@query("fact_acquisition_strict")
+def q_fact_acquisition_strict(spark, d):
+    company = W.transform_company(fixture(spark, d, "company"), mode="strict").valid
+    return W.transform_acquisition(fixture(spark, d, "acquisition"), company, mode="strict").valid
+
+
+@query("dim_people_company_check")
+def q_dim_people_company_check(spark, d):
+    company = Warehouse(spark, d).get("dim_company").valid
+    return W.transform_people(fixture(spark, d, "people"), company).valid

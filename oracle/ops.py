@@ -285,3 +285,33 @@ OPS["stage_all"] = OPS["src_all_tables"]
 OPS["profile_job"] = OPS["profile_all"]
 OPS["warehouse_counts"] = with_ctes(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in _WH), *_WH)
+
+# ------------------------------------------------------------------ dead letter, run log, profile JSON
+OPS["dead_letter"] = with_ctes(
+    "SELECT *, 'upsert: key column ''fund_key'' is missing from the input' AS error_message FROM st_funds",
+    "st_funds")
+OPS["etl_log"] = " UNION ALL ".join(
+    f"SELECT 'Load Staging' AS step, 'Success' AS status, 'Staging' AS source, '{n}' AS table_name"
+    for n in STAGED)
+OPS["profile_json"] = with_ctes(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, 'from Staging' AS format_file, COUNT(*) AS n_rows, "
+    f"{len(_cols(n))} AS n_cols, {len(_cols(n))} AS n_report FROM {v}" for n, v in STAGED.items()),
+    *STAGED.values())
+
+# ------------------------------------------------------------------ strict keys, optional people check
+_COMPANY_STRICT = with_ctes("SELECT * FROM dim_company_pre " + survivor(
+    "company_entity_type, company_object_id",
+    desc("updated_at", "company_id", "company_id", "description", "address", "region", "city", "zip_code",
+         "state_code", "country_code", "latitude", "longitude", "created_at", "updated_at")), "dim_company_pre")
+OPS["dim_company_strict"] = f"SELECT * FROM ({_COMPANY_STRICT}) WHERE latitude <> 0 AND longitude <> 0"
+OPS["fact_acquisition_strict"] = with_ctes(f"""
+SELECT acquisition_id, acquiring_entity_type, acquired_entity_type, price_amount, price_currency_code,
+  acquired_at, source_url, created_at, updated_at, acquiring_object_id, acquired_object_id
+FROM acquisition_clean a
+WHERE EXISTS (SELECT 1 FROM ({OPS['dim_company_strict']}) c WHERE c.company_object_id = a.acquiring_object_id
+               AND c.company_entity_type = a.acquiring_entity_type)
+  AND EXISTS (SELECT 1 FROM ({OPS['dim_company_strict']}) c WHERE c.company_object_id = a.acquired_object_id
+               AND c.company_entity_type = a.acquired_entity_type)""", "acquisition_clean")
+OPS["dim_people_company_check"] = with_ctes(
+    "SELECT * FROM dim_people p WHERE EXISTS (SELECT 1 FROM dim_company c "
+    "WHERE c.company_object_id = p.people_object_id)", "dim_people", "dim_company")
