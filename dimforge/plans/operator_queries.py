@@ -532,7 +532,7 @@ def q_profile_json(spark, d):
     profile_all(spark, f"{root}/staging", f"{root}/data_profiling")
     doc = spark.read.json(f"{root}/data_profiling/json")
     r = doc.select("profiling_result.*")
-    return r.select("table_name", "format_file", "n_rows", "n_cols",
+    return r.select("table_name", "format_file", "n_rows", F.col("n_cols").cast("int").alias("n_cols"),
                     F.size(F.map_keys(F.from_json(F.to_json("report"), "map<string,string>"))).alias("n_report"))
 
 
