@@ -103,3 +103,24 @@ def test_checks(spark):
     assert C.numeric_fits(df, "t", ["m"]).first().violations == 1
     ref = spark.createDataFrame([(1,)], "k int")
     assert C.foreign_key(df, "t", "k", ref, "k").first().violations == 1
+
+
+def test_flag_matches_hot_key_sort_merge(spark):
+    """A foreign key holding a third of the rows, with broadcast disabled
+    (sort-merge join, AQE skew handling): flags stay exact."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(60000).select(F.col("id").alias("fid"),
+                                         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
+                                          .cast("int").alias("k"))
+        dim = spark.range(0, 1000, 2).select(F.col("id").cast("int").alias("d"))
+        flagged = flag_matches(fact, key_set(dim, "d"), ["k"], "ok")
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        got = flagged.groupBy("ok").count().collect()
+        want_ok = fact.where((F.col("k") % 2) == 0).count()
+        assert {r.ok: r["count"] for r in got} == {True: want_ok, False: 60000 - want_ok}
+        assert flagged.count() == 60000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
