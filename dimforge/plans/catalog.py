@@ -78,3 +78,11 @@ for _t in WAREHOUSE_TABLES:
     QUERIES[_t] = _table_query(_t)
 for _t, _q in QUARANTINED.items():
     QUERIES[f"quarantine_{_q}"] = _quarantine_query(_t)
+
+
+def _strict_query(t: str):
+    return lambda spark, d: Warehouse(spark, d, mode="strict").get(t).valid
+
+
+for _t in ("dim_milestones", "fact_relationship", "fact_ipo", "dim_funding_rounds", "fact_investments"):
+    QUERIES[f"{_t}_strict"] = _strict_query(_t)

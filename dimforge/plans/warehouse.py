@@ -60,6 +60,19 @@ def _latest():
     return X.parse_timestamp(F.col("updated_at"))
 
 
+def _entity_keys(company: DataFrame, people: DataFrame, mode: str) -> DataFrame:
+    """``(entity_type, object_id)`` of known entities.  compat: every company
+    counts as type ``c`` and every person as ``p`` (whatever their own
+    prefix); strict: each keeps its own prefix."""
+    if mode == "compat":
+        return typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
+    both = (company.select(F.col("company_entity_type").alias("entity_type"),
+                           F.col("company_object_id").alias("object_id"))
+            .unionByName(people.select(F.col("people_entity_type").alias("entity_type"),
+                                       F.col("people_object_id").alias("object_id"))))
+    return key_set(both, "entity_type", "object_id")
+
+
 def _company_keys(company: DataFrame, mode: str, with_type: bool) -> DataFrame:
     if mode == "strict" or with_type:
         return key_set(company, "company_entity_type", "company_object_id")
@@ -218,7 +231,7 @@ def transform_acquisition(df: DataFrame, company: DataFrame, mode: str = "compat
 
 
 # ---------------------------------------------------------------- T5 funding rounds
-def _rounds_clean(df: DataFrame) -> DataFrame:
+def _rounds_clean(df: DataFrame, mode: str = "compat") -> DataFrame:
     d = blank_to_null(df)
     d = d.select(
         "funding_round_id",
@@ -242,14 +255,16 @@ def _rounds_clean(df: DataFrame) -> DataFrame:
                           "source_description": "Unknown", "source_url": "Unknown"})
     d = keep_one(d, ["funding_round_id"], [F.col("updated_at")])
     d = d.where(F.col("round_type") != "Unknown")
+    if mode == "strict":
+        return d
     return d.withColumn("funding_entity_type", X.normalize_entity_type("funding_entity_type"))
 
 
 def transform_funding_rounds(df: DataFrame, company: DataFrame, people: DataFrame,
                              mode: str = "compat") -> Built:
     _check_mode(mode)
-    d = _rounds_clean(df)
-    keys = typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
+    d = _rounds_clean(df, mode)
+    keys = _entity_keys(company, people, mode)
     flagged = flag_matches(d, keys, ["funding_entity_type", "funding_object_id"], "entity_ok")
 
     def to_quarantine(c: DataFrame) -> DataFrame:
@@ -386,7 +401,7 @@ def transform_investments(df: DataFrame, company: DataFrame, people: DataFrame,
                           mode: str = "compat") -> Built:
     _check_mode(mode)
     d = investments_prepared(df)
-    typed = typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
+    typed = _entity_keys(company, people, mode)
     if mode == "compat":
         d = resolve_funded_type(d, company, people)
         d = d.withColumn("funded_ok", F.col("funded_entity_type").isNotNull())

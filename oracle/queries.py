@@ -15,3 +15,7 @@ for _q in ("milestones", "acquisition", "funding_rounds", "relationship", "ipo",
 from oracle.ops import OPS  # noqa: E402
 
 ORACLE.update(OPS)
+
+from oracle.strict import STRICT  # noqa: E402
+
+ORACLE.update(STRICT)
