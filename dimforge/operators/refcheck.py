@@ -10,8 +10,9 @@ No broadcast is forced.  With AQE on, Spark measures the key set at run
 time and broadcasts it only when it is under
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise it is a sort-merge
 join, and AQE splits a skewed fact partition (a hot key) across tasks.
-A caller who has counted a key set can pass ``broadcast_rows`` to hint it
-explicitly — the hint is applied only when the count is under the bound.
+A caller can pass ``broadcast_rows`` to hint a broadcast explicitly: the key
+set is counted first and the hint applied only when the count is within
+that bound (a proven size), otherwise the planner decides as usual.
 """
 
 from __future__ import annotations
@@ -23,11 +24,6 @@ from pyspark.sql import functions as F
 
 from dimforge.operators.dedupe import distinct_keys
 
-# Quarantine reasons.
-REASON_MISSING_KEY = "missing key"
-REASON_NO_MATCH = "no match in {dim}"
-
-
 def key_set(dim: DataFrame, *cols: str | Column) -> DataFrame:
     """Distinct non-NULL key tuples of a dimension."""
     return distinct_keys(dim, *cols)

@@ -56,10 +56,6 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be 'compat' or 'strict', not {mode!r}")
 
 
-def _latest():
-    return X.parse_timestamp(F.col("updated_at"))
-
-
 def _entity_keys(company: DataFrame, people: DataFrame, mode: str) -> DataFrame:
     """``(entity_type, object_id)`` of known entities.  compat: every company
     counts as type ``c`` and every person as ``p`` (whatever their own

@@ -2,7 +2,6 @@
 
 import decimal
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL

@@ -3,7 +3,6 @@
 import json
 import os
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -110,3 +109,25 @@ def test_run_log_and_profile_json(spark, scratch):
     rep = doc["profiling_result"]["report"]
     assert doc["profiling_result"]["n_cols"] == len(df.columns) and set(rep) == set(df.columns)
     assert len(rep["fund_id"]["sample_values"]) == 5
+
+
+def test_profile_approx_close_to_exact(spark):
+    df = fixture(spark, SF_SMALL, "relationship")
+    exact = {r.column_name: r for r in profile(df, "r").collect()}
+    approx = {r.column_name: r for r in profile(df, "r", exact=False).collect()}
+    for c, e in exact.items():
+        a = approx[c]
+        assert (a.n_rows, a.null_count, a.min_value, a.max_value) == (e.n_rows, e.null_count, e.min_value, e.max_value)
+        assert abs(a.unique_count - e.unique_count) <= max(2, 0.1 * e.unique_count), c
+
+
+def test_flag_matches_explicit_broadcast_bound(spark):
+    from dimforge.operators.refcheck import flag_matches, key_set
+    fact = spark.range(100).select(F.col("id").cast("int").alias("k"))
+    keys = key_set(spark.range(0, 100, 5).select(F.col("id").cast("int").alias("d")), "d")
+    small = flag_matches(fact, keys, ["k"], "ok", broadcast_rows=1000)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString() or \
+        "broadcast" in small._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert small.where("ok").count() == 20
+    big = flag_matches(fact, keys, ["k"], "ok", broadcast_rows=3)   # bound not met: no hint
+    assert big.where("ok").count() == 20
