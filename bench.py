@@ -24,7 +24,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = get_session(f"local[{cpus}]", app="dimforge-bench", shuffle_partitions=max(8, cpus * 2),
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 4))))
+    spark = get_session(f"local[{cpus}]", app="dimforge-bench", shuffle_partitions=partitions,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     from dimforge.plans import jobs
     from dimforge.plans.catalog import WAREHOUSE_TABLES, Warehouse
