@@ -142,7 +142,8 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
             defaults = {c: F.current_timestamp().cast("timestamp_ntz") for c in ("created_at", "updated_at")
                         if t in DEFAULT_NOW and c not in valid.columns}
             try:
-                _, counts[t] = _observed_write(valid, lambda d: T.upsert(d, path, built.key, defaults), t)
+                _, counts[t] = _observed_write(
+                    valid, lambda d: T.upsert(d, path, built.key, defaults, dedupe_incoming=False), t)
                 log.add(step="Load to DWH", status="Success", source="transformed data", table_name=t)
             except Exception as e:  # noqa: BLE001
                 log.add(step="Load to DWH", status=f"Failed - {str(e)[:200]}", source="transformed data",

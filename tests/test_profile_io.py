@@ -131,3 +131,10 @@ def test_flag_matches_explicit_broadcast_bound(spark):
     assert small.where("ok").count() == 20
     big = flag_matches(fact, keys, ["k"], "ok", broadcast_rows=3)   # bound not met: no hint
     assert big.where("ok").count() == 20
+
+
+def test_upsert_dedupes_incoming(spark, scratch):
+    path = os.path.join(scratch, "d")
+    T.upsert(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string"), path, "k")
+    got = sorted(map(tuple, T.read_table(spark, path).collect()))
+    assert got == [(1, "b"), (2, "c")]
