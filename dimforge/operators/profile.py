@@ -140,10 +140,16 @@ def profile(df: DataFrame, table_name: str, exact: bool = True, sample_k: int =
 
 
 def _ranked(vc: DataFrame, df: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("ordinal").orderBy("v")
-    return (vc.where(~F.col("is_null"))
-              .withColumn("sample_rank", F.row_number().over(w))
+    # The NULL value sorts last and is dropped after the ranking (not before):
+    # a filter before the window would be pushed below the value-count
+    # aggregation and stop the profile and the samples from sharing it.
+    # ``cnt > 0`` always holds; referencing it keeps this branch's aggregation
+    # identical to the statistics branch (column pruning would otherwise turn it
+    # into a plain distinct), so Spark reuses one shuffle for both.
+    w = Window.partitionBy("ordinal").orderBy("is_null", "v")
+    return (vc.withColumn("sample_rank", F.row_number().over(w))
               .where(F.col("sample_rank") <= k)
+              .where(~F.col("is_null") & (F.col("cnt") > 0))
               .withColumn("text", _text(df, "v")))
 
 
