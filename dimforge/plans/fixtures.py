@@ -139,6 +139,9 @@ SELECT event_id AS milestone_id, CASE WHEN event_id % 9 = 4 THEN 'f:' ELSE 'c:'
 FROM events
 """
 
+# base tables the recipes read
+FIXTURE_BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
 # staged relation name -> fixture view
 STAGED = {
     "company": "st_company", "people": "st_people", "acquisition": "st_acquisition",
@@ -157,11 +160,11 @@ def register_base_tables(spark: SparkSession, data_dir: str, tables=BASE_TABLES)
 def fixture(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One staged relation (``'company'`` or ``'st_company'``) as a DataFrame."""
     view = name if name.startswith("st_") else STAGED[name]
-    register_base_tables(spark, data_dir)
+    register_base_tables(spark, data_dir, FIXTURE_BASE)
     return spark.sql(FIXTURE_SQL[view])
 
 
 def staged(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
     """All nine staged relations, keyed by staged name (``company`` ...)."""
-    register_base_tables(spark, data_dir)
+    register_base_tables(spark, data_dir, FIXTURE_BASE)
     return {name: spark.sql(FIXTURE_SQL[view]) for name, view in STAGED.items()}
