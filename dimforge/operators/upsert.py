@@ -10,9 +10,16 @@ Semantics:
   ``current_timestamp()`` for load-time stamps; otherwise NULL);
 * ``incoming`` must be unique on ``key`` (dedupe it first).
 
-It is a single full outer join on the key — one shuffle of each side (or
-none for a side already partitioned on the key) — instead of an anti join
-plus a left join.
+Two physical shapes, same result:
+
+* ``merge`` — a single full outer join on the key: one shuffle of each
+  side.  Right for large incoming batches (e.g. a full reload).
+* ``merge_small`` — for an incoming batch known to be small (the caller
+  counted it): the target is left-joined to the *broadcast* batch in one
+  scan (updates and unchanged rows), and the batch keys found in the target
+  come from a key-column-only scan with a broadcast semi join; the target is
+  never shuffled.  ``sinks.tables.upsert`` picks this shape only when the
+  counted batch is within its ``broadcast_rows`` bound.
 """
 
 from __future__ import annotations
@@ -43,3 +50,24 @@ def merge(target: DataFrame, incoming: DataFrame, key: str,
             v = F.when(F.col(f"t__{key}").isNull() & new, ins.cast(target.schema[c].dataType)).otherwise(old)
         cols.append(v.alias(c))
     return j.select(*cols)
+
+
+def merge_small(target: DataFrame, incoming: DataFrame, key: str,
+                defaults: Mapping[str, Column] | None = None) -> DataFrame:
+    """Same result as ``merge``; ``incoming`` must be small enough to broadcast
+    (the caller checks its size)."""
+    defaults = dict(defaults or {})
+    unknown = [c for c in incoming.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"merge: incoming has columns the target lacks: {unknown}")
+    inc = F.broadcast(incoming.select(*[F.col(c).alias(f"i__{c}") for c in incoming.columns],
+                                      F.lit(True).alias("i__present")))
+    hit = F.coalesce(F.col("i__present"), F.lit(False))
+    kept_or_updated = target.join(inc, F.col(key) == F.col(f"i__{key}"), "left").select(*[
+        (F.when(hit, F.col(f"i__{c}")).otherwise(F.col(c)) if c in incoming.columns else F.col(c)).alias(c)
+        for c in target.columns])
+    found = target.select(key).join(F.broadcast(incoming.select(key)), key, "left_semi").distinct()
+    inserts = incoming.join(found, key, "left_anti").select(*[
+        (F.col(c) if c in incoming.columns else defaults.get(c, F.lit(None)).cast(target.schema[c].dataType)).alias(c)
+        for c in target.columns])
+    return kept_or_updated.unionByName(inserts)

@@ -552,3 +552,11 @@ def q_fact_acquisition_strict(spark, d):
 def q_dim_people_company_check(spark, d):
     company = Warehouse(spark, d).get("dim_company").valid
     return W.transform_people(fixture(spark, d, "people"), company).valid
+
+
+@query("upsert_small_batch")
+def q_upsert_small_batch(spark, d):
+    """The same merge through the broadcast shape (target never shuffled)."""
+    from dimforge.operators.upsert import merge_small
+    target = W.transform_funds(fixture(spark, d, "funds")).valid
+    return merge_small(target, _funds_incoming(spark, d), "fund_id")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimforge.operators.dedupe import keep_one
-from dimforge.operators.upsert import merge
+from dimforge.operators.upsert import merge, merge_small
 from dimforge.schemas import RUN_LOG_DDL
 
 
@@ -94,21 +94,30 @@ def write_version(df: DataFrame, path: str) -> str:
 
 # ------------------------------------------------------------------ K2 keyed upsert
 def upsert(incoming: DataFrame, path: str, key: str,
-           defaults: Mapping[str, Column] | None = None, dedupe_incoming: bool = True) -> str:
+           defaults: Mapping[str, Column] | None = None, dedupe_incoming: bool = True,
+           broadcast_rows: int | None = None) -> str:
     """Merge ``incoming`` into the versioned table at ``path`` on ``key``;
     returns the new version's folder.
 
     A merge needs at most one incoming row per key: with ``dedupe_incoming``
     (default) one row per key is kept first, deterministically (partial
     aggregation, and the merge join then reuses its partitioning).  Pass
-    ``False`` when the input is unique by construction."""
+    ``False`` when the input is unique by construction.
+
+    ``broadcast_rows``: when given, the batch is counted and, if it has at
+    most that many rows, merged with ``merge_small`` (the target is not
+    shuffled); larger batches use the full outer join."""
     if key not in incoming.columns:
         raise ValueError(f"upsert: key column {key!r} is missing from the input")
     if dedupe_incoming:
         incoming = keep_one(incoming, [key])
     spark = incoming.sparkSession
     if committed_versions(spark, path):
-        merged = merge(read_table(spark, path), incoming, key, defaults)
+        target = read_table(spark, path)
+        if broadcast_rows is not None and incoming.count() <= broadcast_rows:
+            merged = merge_small(target, incoming, key, defaults)
+        else:
+            merged = merge(target, incoming, key, defaults)
     else:
         merged = incoming
         for c, v in (defaults or {}).items():

@@ -315,3 +315,4 @@ WHERE EXISTS (SELECT 1 FROM ({OPS['dim_company_strict']}) c WHERE c.company_obje
 OPS["dim_people_company_check"] = with_ctes(
     "SELECT * FROM dim_people p WHERE EXISTS (SELECT 1 FROM dim_company c "
     "WHERE c.company_object_id = p.people_object_id)", "dim_people", "dim_company")
+OPS["upsert_small_batch"] = _UPSERT

@@ -123,3 +123,18 @@ def test_flag_matches_hot_key_sort_merge(spark):
         assert flagged.count() == 60000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_merge_small_matches_merge(spark):
+    from dimforge.operators.upsert import merge_small
+    target = spark.range(1000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"),
+                                      F.lit("old").alias("w"))
+    incoming = spark.createDataFrame([(5, 100), (7, None), (5000, 1)], "k int, v bigint")
+    defaults = {"w": F.lit("new")}
+    a = sorted(map(tuple, merge(target, incoming, "k", defaults).collect()))
+    b_df = merge_small(target, incoming, "k", defaults)
+    b = sorted(map(tuple, b_df.collect()))
+    assert a == b and len(a) == 1001
+    assert (5, 100, "old") in a and (7, None, "old") in a and (5000, 1, "new") in a
+    plan = b_df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan

@@ -138,3 +138,11 @@ def test_upsert_dedupes_incoming(spark, scratch):
     T.upsert(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string"), path, "k")
     got = sorted(map(tuple, T.read_table(spark, path).collect()))
     assert got == [(1, "b"), (2, "c")]
+
+
+def test_upsert_small_batch_path(spark, scratch):
+    path = os.path.join(scratch, "s")
+    T.upsert(spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v")), path, "k")
+    T.upsert(spark.createDataFrame([(3, "b"), (200, "c")], "k int, v string"), path, "k", broadcast_rows=10)
+    got = {r.k: r.v for r in T.read_table(spark, path).collect()}
+    assert len(got) == 101 and got[3] == "b" and got[200] == "c" and got[4] == "a"
