@@ -95,11 +95,13 @@ def read_staged(spark: SparkSession, staging_root: str, log: T.RunLog | None = N
 
 # ------------------------------------------------------------------ T11 profiling
 def profile_all(spark: SparkSession, staging_root: str, out_dir: str, log_path: str | None = None,
-                person: str = "", sample_k: int = 5) -> DataFrame:
+                person: str = "", sample_k: int = 5, exact: bool = True) -> DataFrame:
     """Profile every staged relation (one job per relation, submitted
     concurrently); each profile table (with ``sample_values``) is written
     once under ``out_dir/profile/<relation>``, the JSON documents are built
-    from the written tables, and the written profile is returned."""
+    from the written tables, and the written profile is returned.
+    ``exact=False`` trades exact distinct counts (and samples) for one
+    aggregate pass without a value shuffle (HyperLogLog counts)."""
     out = out_dir.rstrip("/")
     with T.RunLog(spark, log_path) as log:
         tables = read_staged(spark, staging_root, log)
@@ -107,7 +109,8 @@ def profile_all(spark: SparkSession, staging_root: str, out_dir: str, log_path:
 
         def one(name: str, df: DataFrame) -> None:
             try:   # one row per column: tiny, one file
-                T.write_table(profile(df, name, sample_k=sample_k).coalesce(1), f"{out}/profile/{name}")
+                p = profile(df, name, exact=exact, sample_k=sample_k if exact else 0)
+                T.write_table(p.coalesce(1), f"{out}/profile/{name}")
                 done.append(name)
                 log.add(step="Profiling", status="Success", source="from Staging", table_name=name)
             except Exception as e:  # noqa: BLE001  (one relation's failure does not stop the others)
