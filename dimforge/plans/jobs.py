@@ -164,13 +164,17 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
             lambda: load(W.transform_company(st["company"], mode=mode)),
             lambda: load(W.transform_people(st["people"], mode=mode)),
             lambda: load(W.transform_funds(st["funds"], mode=mode))])[:2]
-        rounds = load(W.transform_funding_rounds(st["funding_rounds"], company, people, mode=mode))
+
+        def rounds_then_investments() -> None:   # investments reference the written rounds
+            rounds = load(W.transform_funding_rounds(st["funding_rounds"], company, people, mode=mode))
+            load(W.transform_investments(st["investments"], company, people, rounds, mode=mode))
+
         _run_parallel([
+            rounds_then_investments,
             lambda: load(W.transform_milestones(st["milestones"], company, mode=mode)),
             lambda: load(W.transform_acquisition(st["acquisition"], company, mode=mode)),
             lambda: load(W.transform_relationship(st["relationship"], company, people, mode=mode)),
-            lambda: load(W.transform_ipo(st["ipo"], company, mode=mode)),
-            lambda: load(W.transform_investments(st["investments"], company, people, rounds, mode=mode))])
+            lambda: load(W.transform_ipo(st["ipo"], company, mode=mode))])
     return counts
 
 
