@@ -120,6 +120,7 @@ def profile(df: DataFrame, table_name: str, exact: bool = True, sample_k: int =
                          .withColumn("max_value", F.when(F.col("ordinal") != i, F.col("max_value")))
     else:
         per = _approx_stats(df)
+    # one row per column here, so a whole-frame window is bounded by the column count
     n_rows = F.max(F.coalesce(F.col("n_rows"), F.lit(0))).over(Window.partitionBy())
     out = meta.join(per, "ordinal", "left").withColumn("n_rows", n_rows.cast("long"))
     cols = [F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type", "n_rows",

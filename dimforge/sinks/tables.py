@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from dimforge.operators.dedupe import keep_one
 from dimforge.operators.upsert import merge, merge_small
-from dimforge.schemas import RUN_LOG_DDL
 
 
 # ------------------------------------------------------------------ file system (Hadoop API)
