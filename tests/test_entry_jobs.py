@@ -67,3 +67,13 @@ def test_pipeline_and_rerun(spark, scratch):
     assert {"Load Staging", "Profiling", "Load to DWH", "Validation"} <= steps
     q = spark.read.parquet(f"{scratch}/warehouse/quarantine/*")
     assert q.where("logged_at IS NULL").count() == 0 and q.count() > 0
+
+
+def test_cli_stage_step(spark, scratch, capsys):
+    from dimforge.__main__ import main
+    assert main(["--data", SF_SMALL, "--root", scratch, "--steps", "stage"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    import json
+    staged = json.loads(out)["staged_rows"]
+    assert set(staged) == {"company", "people", "acquisition", "funding_rounds", "investments", "relationship",
+                           "ipo", "funds", "milestones"} and staged["acquisition"] > 0
