@@ -90,7 +90,8 @@ def read_staged(spark: SparkSession, staging_root: str, log: T.RunLog | None = N
     def on_error(name, e):
         if log:
             log.add(step="Extract", status=f"Failed: {str(e)[:200]}", source="staging", table_name=name)
-    return extract_all(STAGED_NAMES, lambda n: spark.read.parquet(f"{staging_root.rstrip('/')}/{n}"), on_error)
+    return extract_all(STAGED_NAMES, lambda n: T.read_parquet_checked(spark, f"{staging_root.rstrip('/')}/{n}"),
+                       on_error)
 
 
 # ------------------------------------------------------------------ T11 profiling

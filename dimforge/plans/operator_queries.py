@@ -421,7 +421,7 @@ def q_src_all_tables(spark, d):
     root = _scratch(spark, "staging")
     for name, df in staged(spark, d).items():
         T.write_table(df, f"{root}/{name}")
-    tables = extract_all(list(STAGED) + ["not_staged"], lambda n: spark.read.parquet(f"{root}/{n}"))
+    tables = extract_all(list(STAGED) + ["not_staged"], lambda n: T.read_parquet_checked(spark, f"{root}/{n}"))
     out = None
     for name, df in tables.items():
         part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")

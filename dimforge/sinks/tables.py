@@ -30,6 +30,14 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def read_parquet_checked(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` that fails with a plain ``FileNotFoundError``
+    (no query is analysed) when the folder does not exist."""
+    if not _exists(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.parquet(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return fs.exists(p)
