@@ -23,14 +23,20 @@ from dimforge.sinks import tables as T  # noqa: E402
 
 
 def tree(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    text = buf.getvalue()
-    head = text.split("\n\n\n")[0]          # the operator tree, without the per-node details
-    scans = [ln for ln in text.splitlines() if ln.startswith(("ReadSchema", "PushedFilters"))]
-    return head + "\n\n" + "\n".join(scans)
+    """Run the plan (rows are counted, not collected) through the same query
+    execution, then print its final adaptive plan: run-time decisions such as
+    broadcast joins and reused exchanges are visible there."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    text = qe.executedPlan().treeString()
+    final = text.split("+- == Initial Plan ==")[0]
+    lines = [ln for ln in final.splitlines()]
+    # keep operator names, drop long expression lists
+    short = []
+    for ln in lines:
+        cut = ln.find("[")
+        short.append(ln if cut < 0 or len(ln) < 160 else ln[:cut].rstrip() + " [...]")
+    return "\n".join(short)
 
 
 def main() -> None:
@@ -40,8 +46,8 @@ def main() -> None:
     jobs.stage_all(spark, data, f"{root}/staging")
     st = jobs.read_staged(spark, f"{root}/staging")
     out = [f"# Executed physical plans ({data}, local[8])\n",
-           "Dimensions are read back from their written versions, as in the warehouse job. "
-           "Generated by `tools/plans.py`.\n"]
+           "Final adaptive plans after execution (AQE decisions applied). Dimensions are read back "
+           "from their written versions, as in the warehouse job. Generated by `tools/plans.py`.\n"]
 
     def section(title, df):
         out.append(f"## {title}\n\n```\n{tree(df)}\n```\n")
