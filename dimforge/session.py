@@ -55,12 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint dir, setting a scratch one only when unset
-    (local runs and tests).  On a cluster the setting must come from the
-    cluster configuration and point at shared storage."""
+    """Return the checkpoint dir.  Only a local master gets a scratch folder
+    of its own when the setting is absent (local runs and tests); on a
+    cluster the executors could not see it, so the setting must name shared
+    storage and its absence is an error."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set (master {master}): name a folder "
+            "that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="dimforge-ckpt-", dir=os.environ.get("DIMFORGE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return d
