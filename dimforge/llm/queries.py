@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from dimforge.llm import quality_rules
+from dimforge.llm import (
+    decontamination,
+    quality_rules,
+    url_reputation,
+)
 
 QUERIES = {
+    "op3_benchmark_decontamination": decontamination.op3_benchmark_decontamination,
+    "op4_url_filters": url_reputation.op4_url_filters,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 
+#: Those that SQL can express; the others are tested against brute force.
 ORACLE = {
+    "op3_benchmark_decontamination": decontamination.ORACLE_SQL,
+    "op4_url_filters": url_reputation.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
 }
