@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dimforge.llm import (
+    bpe,
     decontamination,
     quality_rules,
     url_reputation,
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_benchmark_decontamination": decontamination.op3_benchmark_decontamination,
     "op4_url_filters": url_reputation.op4_url_filters,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_bpe": bpe.op8_bpe,
 }
 
 #: Those that SQL can express; the others are tested against brute force.
