@@ -6,12 +6,14 @@ from dimforge.llm import (
     bpe,
     decontamination,
     quality_rules,
+    simhash,
     url_reputation,
 )
 
 QUERIES = {
     "op3_benchmark_decontamination": decontamination.op3_benchmark_decontamination,
     "op4_url_filters": url_reputation.op4_url_filters,
+    "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_bpe": bpe.op8_bpe,
 }
