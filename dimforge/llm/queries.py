@@ -5,12 +5,14 @@ from __future__ import annotations
 from dimforge.llm import (
     bpe,
     decontamination,
+    lm_scoring,
     quality_rules,
     simhash,
     url_reputation,
 )
 
 QUERIES = {
+    "op1_lm_scoring": lm_scoring.op1_lm_scoring,
     "op3_benchmark_decontamination": decontamination.op3_benchmark_decontamination,
     "op4_url_filters": url_reputation.op4_url_filters,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
