@@ -6,6 +6,7 @@ from dimforge.llm import (
     bpe,
     decontamination,
     lm_scoring,
+    quality_classifier,
     quality_rules,
     simhash,
     url_reputation,
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_bpe": bpe.op8_bpe,
+    "op9_quality_classifier": quality_classifier.op9_quality_classifier,
 }
 
 #: Those that SQL can express; the others are tested against brute force.
