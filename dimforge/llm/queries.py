@@ -5,6 +5,7 @@ from __future__ import annotations
 from dimforge.llm import (
     bpe,
     decontamination,
+    html_extraction,
     lm_scoring,
     quality_classifier,
     quality_rules,
@@ -14,6 +15,7 @@ from dimforge.llm import (
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
+    "op2_html_extraction": html_extraction.op2_html_extraction,
     "op3_benchmark_decontamination": decontamination.op3_benchmark_decontamination,
     "op4_url_filters": url_reputation.op4_url_filters,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
@@ -24,6 +26,7 @@ QUERIES = {
 
 #: Those that SQL can express; the others are tested against brute force.
 ORACLE = {
+    "op2_html_extraction": html_extraction.ORACLE_SQL,
     "op3_benchmark_decontamination": decontamination.ORACLE_SQL,
     "op4_url_filters": url_reputation.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
