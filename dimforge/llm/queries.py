@@ -10,6 +10,7 @@ from dimforge.llm import (
     quality_classifier,
     quality_rules,
     simhash,
+    substring_dedup,
     url_reputation,
 )
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 #: Those that SQL can express; the others are tested against brute force.
