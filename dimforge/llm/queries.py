@@ -11,6 +11,7 @@ from dimforge.llm import (
     quality_rules,
     simhash,
     substring_dedup,
+    suffix_dedup,
     url_reputation,
 )
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_html_extraction": html_extraction.op2_html_extraction,
     "op3_benchmark_decontamination": decontamination.op3_benchmark_decontamination,
     "op4_url_filters": url_reputation.op4_url_filters,
+    "op5_suffix_array_dedup": suffix_dedup.op5_suffix_array_dedup,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_bpe": bpe.op8_bpe,

@@ -25,7 +25,6 @@ Defined results
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
