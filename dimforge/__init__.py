@@ -9,7 +9,6 @@ Layout:
     sources/    readers (CSV, JSON, Parquet, JDBC, staged-layer extract)
     sinks/      writers (tables, run log, quarantine, dead letter, profile JSON)
     plans/      the staged fixtures and the nine warehouse transforms + jobs
-    streaming/  incremental load of landed files through the same upsert
 """
 
 __version__ = "0.1.0"

@@ -8,7 +8,7 @@ Rules (fixed semantics, kept equal to the warehouse contract):
 
 * prefix    – text before the first ``:``; NULL when there is no ``:``.
 * id        – the text between the first and second ``:`` read as a
-              32-bit integer (surrounding blanks and a sign allowed);
+              32-bit integer (surrounding Unicode blanks and a sign allowed);
               NULL when there is no ``:`` or the part is not an integer.
 * ticker    – market = text before the first ``:``, symbol = text between
               the first and second ``:``; both NULL without a ``:``.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from dimforge.functions._util import as_col
 
 # Fixed value: what a valid numeric id part looks like.
-INT_PART_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+INT_PART_PATTERN = r"^[\s\x1c-\x1f\x85\p{Z}]*([+-]?[0-9]+)[\s\x1c-\x1f\x85\p{Z}]*\z"
 
 
 def _has_colon(c: Column) -> Column:
@@ -44,7 +44,7 @@ def entity_id(c) -> Column:
     c = as_col(c)
     part = _part(c, 2)
     return F.when(_has_colon(c) & part.rlike(INT_PART_PATTERN),
-                  F.trim(part).try_cast("int"))
+                  F.regexp_extract(part, INT_PART_PATTERN, 1).try_cast("int"))
 
 
 def stock_market(c) -> Column:

@@ -34,11 +34,11 @@ URL_PATTERN = r"^(http|https)://.*"
 
 
 def _strip(c: Column, space: str = SPACE_CHARS) -> Column:
-    return F.regexp_replace(c, f"^[{space}]+|[{space}]+$", "")
+    return F.regexp_replace(c, rf"^[{space}]+|[{space}]+\z", "")
 
 
 def _is_ascii(c: Column) -> Column:
-    return c.rlike(r"^[\x00-\x7F]*$")
+    return c.rlike(r"^[\x00-\x7F]*\z")
 
 
 def repair_mojibake(c) -> Column:
@@ -49,7 +49,7 @@ def repair_mojibake(c) -> Column:
     """
     c = as_col(c)
     fixed = F.try_validate_utf8(F.encode(c, "ISO-8859-1").cast("string"))
-    return F.when(c.rlike(r"^[\x00-\xFF]*$"), F.coalesce(fixed, c)).otherwise(c)
+    return F.when(c.rlike(r"^[\x00-\xFF]*\z"), F.coalesce(fixed, c)).otherwise(c)
 
 
 _nfkd_ascii = F.pandas_udf(_py.nfkd_ascii, StringType())
@@ -72,9 +72,10 @@ def clean_text(c) -> Column:
 
 
 def fix_encoding(c) -> Column:
-    """Transliterate to ASCII: decomposable letters lose their accents,
-    a fixed table covers the Latin letters without a decomposition, other
-    non-ASCII characters are dropped.  ASCII input is returned unchanged."""
+    """Transliterate to ASCII: decomposable letters lose their accents, fixed
+    tables cover Latin letters without a decomposition and the Greek and
+    Cyrillic alphabets, other non-ASCII characters are dropped.  ASCII input
+    is returned unchanged."""
     c = as_col(c)
     return F.when(_is_ascii(c), c).otherwise(_transliterate(F.when(~_is_ascii(c), c)))
 
@@ -86,7 +87,7 @@ def normalize_text(c) -> Column:
     kept = F.regexp_replace(F.lower(c), f"[^{WORD_CHARS}{SPACE_CHARS},&/]", "")
     spaced = F.regexp_replace(kept, "[/,&]", " ")
     collapsed = F.regexp_replace(spaced, f"[{SPACE_CHARS}]+", " ")
-    return F.when(~c.rlike(f"^[{SPACE_CHARS}]*$"), F.regexp_replace(collapsed, "^ | $", ""))
+    return F.when(~c.rlike(rf"^[{SPACE_CHARS}]*\z"), F.regexp_replace(collapsed, "^ | $", ""))
 
 
 def clean_alpha_text(c) -> Column:

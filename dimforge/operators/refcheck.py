@@ -6,27 +6,36 @@ dimension.  Because the key set is distinct the join never fans out, and
 the valid and the quarantined rows are two filters of the same frame (so
 they partition the input exactly; nothing is recomputed differently).
 
-No broadcast is forced.  With AQE on, Spark measures the key set at run
-time and broadcasts it only when it is under
-``spark.sql.autoBroadcastJoinThreshold``; otherwise it is a sort-merge
-join, and AQE splits a skewed fact partition (a hot key) across tasks.
-A caller can pass ``broadcast_rows`` to hint a broadcast explicitly: the key
-set is counted first and the hint applied only when the count is within
-that bound (a proven size), otherwise the planner decides as usual.
+No broadcast is forced.  Key sets and lookup tables are written once to the
+shared checkpoint folder and read back, so the planner knows their size (it
+broadcasts one only below ``spark.sql.autoBroadcastJoinThreshold``) and, in
+a sort-merge join, a plain shuffle lies under the sort on both sides: only
+then can AQE split the partition of a hot fact key (an aggregate between
+shuffle and sort would keep it whole).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.operators.dedupe import distinct_keys
+from dimforge.session import scratch_path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, "keys", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def key_set(dim: DataFrame, *cols: str | Column) -> DataFrame:
-    """Distinct non-NULL key tuples of a dimension."""
-    return distinct_keys(dim, *cols)
+    """Distinct non-NULL key tuples of a dimension (a written table)."""
+    return written(distinct_keys(dim, *cols))
 
 
 def typed_key_set(**dims: tuple[DataFrame, str]) -> DataFrame:
@@ -39,11 +48,10 @@ def typed_key_set(**dims: tuple[DataFrame, str]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return distinct_keys(out, "entity_type", "object_id")
+    return written(distinct_keys(out, "entity_type", "object_id"))
 
 
-def flag_matches(fact: DataFrame, keys: DataFrame, on: Sequence[str], flag: str,
-                 broadcast_rows: int | None = None) -> DataFrame:
+def flag_matches(fact: DataFrame, keys: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
     """Add boolean ``flag``: does ``fact[on]`` occur in ``keys``?
 
     ``keys`` must have exactly ``len(on)`` columns, matched by position.
@@ -54,10 +62,6 @@ def flag_matches(fact: DataFrame, keys: DataFrame, on: Sequence[str], flag: str,
         raise ValueError("flag_matches: key set width does not match `on`")
     tmp = [f"__{flag}_k{i}" for i in range(len(on))]
     k = keys.select(*[F.col(c).alias(t) for c, t in zip(keys.columns, tmp)]).withColumn(f"__{flag}", F.lit(True))
-    if broadcast_rows is not None:
-        n = k.count()
-        if n <= broadcast_rows:
-            k = F.broadcast(k)
     cond = None
     for fc, t in zip(on, tmp):
         e = F.col(fc) == F.col(t)

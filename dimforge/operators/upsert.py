@@ -8,18 +8,10 @@ Semantics:
 * a column the incoming frame lacks keeps its old value on update and
   takes its default on insert (``defaults``: column -> Column, e.g.
   ``current_timestamp()`` for load-time stamps; otherwise NULL);
-* ``incoming`` must be unique on ``key`` (dedupe it first).
+* ``incoming`` must be unique on ``key`` and have no NULL key: split it
+  with ``split_incoming`` first (``sinks.tables.upsert`` always does).
 
-Two physical shapes, same result:
-
-* ``merge`` — a single full outer join on the key: one shuffle of each
-  side.  Right for large incoming batches (e.g. a full reload).
-* ``merge_small`` — for an incoming batch known to be small (the caller
-  counted it): the target is left-joined to the *broadcast* batch in one
-  scan (updates and unchanged rows), and the batch keys found in the target
-  come from a key-column-only scan with a broadcast semi join; the target is
-  never shuffled.  ``sinks.tables.upsert`` picks this shape only when the
-  counted batch is within its ``broadcast_rows`` bound.
+A merge is a single full outer join on the key: one shuffle of each side.
 """
 
 from __future__ import annotations
@@ -29,6 +21,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimforge.operators.dedupe import keep_one
+
 
 def merge(target: DataFrame, incoming: DataFrame, key: str,
           defaults: Mapping[str, Column] | None = None) -> DataFrame:
@@ -52,22 +46,24 @@ def merge(target: DataFrame, incoming: DataFrame, key: str,
     return j.select(*cols)
 
 
-def merge_small(target: DataFrame, incoming: DataFrame, key: str,
-                defaults: Mapping[str, Column] | None = None) -> DataFrame:
-    """Same result as ``merge``; ``incoming`` must be small enough to broadcast
-    (the caller checks its size)."""
-    defaults = dict(defaults or {})
-    unknown = [c for c in incoming.columns if c not in target.columns]
-    if unknown:
-        raise ValueError(f"merge: incoming has columns the target lacks: {unknown}")
-    inc = F.broadcast(incoming.select(*[F.col(c).alias(f"i__{c}") for c in incoming.columns],
-                                      F.lit(True).alias("i__present")))
-    hit = F.coalesce(F.col("i__present"), F.lit(False))
-    kept_or_updated = target.join(inc, F.col(key) == F.col(f"i__{key}"), "left").select(*[
-        (F.when(hit, F.col(f"i__{c}")).otherwise(F.col(c)) if c in incoming.columns else F.col(c)).alias(c)
-        for c in target.columns])
-    found = target.select(key).join(F.broadcast(incoming.select(key)), key, "left_semi").distinct()
-    inserts = incoming.join(found, key, "left_anti").select(*[
-        (F.col(c) if c in incoming.columns else defaults.get(c, F.lit(None)).cast(target.schema[c].dataType)).alias(c)
-        for c in target.columns])
-    return kept_or_updated.unionByName(inserts)
+def split_incoming(incoming: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows to merge, rejected rows with a ``reason``).
+
+    The first part has one row per non-NULL key (``keep_one``: the largest
+    row, so the survivor does not depend on partitioning).  The second has
+    every other row: those with a NULL key, and the further rows of a key
+    that occurs several times, copies included.  A hot key collapses before
+    the shuffle; only rows of repeated keys are joined."""
+    present = incoming.where(F.col(key).isNotNull())
+    unique = keep_one(present, [key])
+    rest = [c for c in incoming.columns if c != key]
+    whole = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0).alias("none"))
+    groups = present.groupBy(key).agg(F.max(whole).alias("__survivor"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    rows = present.groupBy(*incoming.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    losers = (rows.join(groups.withColumnRenamed(key, "__key"), F.col(key) == F.col("__key"))
+              .withColumn("__copies", F.col("__copies") - F.when(whole.eqNullSafe(F.col("__survivor")), 1).otherwise(0))
+              .where("__copies > 0")
+              .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+              .select(*incoming.columns, F.lit("duplicate key").alias("reason")))
+    nulls = incoming.where(F.col(key).isNull()).withColumn("reason", F.lit("NULL key"))
+    return unique, nulls.unionByName(losers)

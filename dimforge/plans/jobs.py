@@ -20,9 +20,12 @@ Robustness and cost:
   folder; the valid rows (merged into the warehouse table) and the
   quarantined rows are two filters of the written result, so the joins and
   dedupes are not run twice and the two outputs always partition the input.
-* Every write goes to a fresh folder (staging overwrite, work overwrite, a
-  new table version); re-running a job after a failure gives the same
-  tables.
+* Work folders belong to one run and warehouse tables get a new version per
+  load, so a run that dies changes no table that readers see; re-running it
+  gives the same tables.  Staging is overwritten in place (stage again after
+  a failure), and log and quarantine rows are appended by every run.
+* Rows whose key is NULL or repeated are never merged; they go to
+  ``quarantine_keys/<table>`` with the reason.
 * Independent writes are submitted concurrently (Spark runs jobs from
   several threads of one application side by side), so small tables do
   not leave cores idle.
@@ -73,6 +76,7 @@ def _run_parallel(fns: list[Callable[[], object]], workers: int = PARALLEL_WRITE
 # ------------------------------------------------------------------ T10 staging
 def stage_all(spark: SparkSession, data_dir: str, staging_root: str, log_path: str | None = None) -> dict[str, int]:
     counts: dict[str, int] = {}
+    failed: dict[str, str] = {}
     with T.RunLog(spark, log_path) as log:
         def one(name: str, df: DataFrame):
             path = f"{staging_root.rstrip('/')}/{name}"
@@ -80,16 +84,18 @@ def stage_all(spark: SparkSession, data_dir: str, staging_root: str, log_path: s
                 _, counts[name] = _observed_write(df, lambda d: T.write_table(d, path), f"stage_{name}")
                 log.add(step="Load Staging", status="Success", source="Staging", table_name=name)
             except Exception as e:  # noqa: BLE001  (one table's failure does not stop the others)
-                log.add(step="Load Staging", status="Failed", source="Staging", table_name=name)
-                print(f"staging {name} failed: {e}")
+                log.add(step="Load Staging", status=f"Failed: {e}", source="Staging", table_name=name)
+                failed[name] = str(e)
         _run_parallel([lambda n=n, d=d: one(n, d) for n, d in staged(spark, data_dir).items()])
+    if failed:   # the others are staged and logged
+        raise RuntimeError(f"staging failed for {', '.join(sorted(failed))}: {failed}")
     return counts
 
 
 def read_staged(spark: SparkSession, staging_root: str, log: T.RunLog | None = None) -> dict[str, DataFrame]:
     def on_error(name, e):
         if log:
-            log.add(step="Extract", status=f"Failed: {str(e)[:200]}", source="staging", table_name=name)
+            log.add(step="Extract", status=f"Failed: {e}", source="staging", table_name=name)
     return extract_all(STAGED_NAMES, lambda n: T.read_parquet_checked(spark, f"{staging_root.rstrip('/')}/{n}"),
                        on_error)
 
@@ -115,10 +121,12 @@ def profile_all(spark: SparkSession, staging_root: str, out_dir: str, log_path:
                 done.append(name)
                 log.add(step="Profiling", status="Success", source="from Staging", table_name=name)
             except Exception as e:  # noqa: BLE001  (one relation's failure does not stop the others)
-                log.add(step="Profiling", status=f"Failed: {str(e)[:200]}", source="from Staging",
+                log.add(step="Profiling", status=f"Failed: {e}", source="from Staging",
                         table_name=name)
 
         _run_parallel([lambda n=n, d=d: one(n, d) for n, d in tables.items()])
+        if not done:
+            raise RuntimeError("no staged relation could be profiled; see the run log")
         prof = spark.read.parquet(*[f"{out}/profile/{n}" for n in tables if n in done])
         T.write_profile_json(prof, f"{out}/json", person=person)
     return prof
@@ -130,6 +138,7 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
     """Build and merge all nine warehouse tables; returns the rows merged per
     table plus ``quarantine_<table>`` counts."""
     root = warehouse_root.rstrip("/")
+    run_id = uuid.uuid4().hex
     counts: dict[str, int] = {}
     with T.RunLog(spark, log_path) as log:
         st = read_staged(spark, staging_root, log)
@@ -137,22 +146,27 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
         def load(built: W.Built) -> DataFrame:
             t = built.table
             path = f"{root}/{t}"
-            classified = built.classified
-            if built.to_quarantine is not None:
-                work = f"{root}/_work/{t}"
-                T.write_table(classified, work)            # classify once
-                classified = spark.read.parquet(work)
-            valid = built.to_valid(classified)
-            defaults = {c: F.current_timestamp().cast("timestamp_ntz") for c in ("created_at", "updated_at")
-                        if t in DEFAULT_NOW and c not in valid.columns}
+            work = f"{root}/_work/{run_id}/{t}"
+            try:
+                _, n = _observed_write(built.classified, lambda d: T.write_table(d, work), f"c_{t}")   # classify once
+            except Exception as e:  # noqa: BLE001
+                log.add(step="Transform", status=f"Failed - {e}", source="staging", table_name=t)
+                raise
+            log.add(step="Transform", status=f"Success - {n} rows", source="staging", table_name=t)
+            classified = spark.read.parquet(work)
             try:
+                valid = built.to_valid(classified)
+                defaults = {c: F.current_timestamp().cast("timestamp_ntz") for c in ("created_at", "updated_at")
+                            if t in DEFAULT_NOW and c not in valid.columns}
                 _, counts[t] = _observed_write(
-                    valid, lambda d: T.upsert(d, path, built.key, defaults, dedupe_incoming=False), t)
+                    valid, lambda d: T.upsert(d, path, built.key, defaults, f"{root}/quarantine_keys/{t}"), t)
                 log.add(step="Load to DWH", status="Success", source="transformed data", table_name=t)
             except Exception as e:  # noqa: BLE001
-                log.add(step="Load to DWH", status=f"Failed - {str(e)[:200]}", source="transformed data",
-                        table_name=t)
-                T.dead_letter(valid, f"{root}/dead_letter/{t}", str(e)[:500])
+                log.add(step="Load to DWH", status=f"Failed - {e}", source="transformed data", table_name=t)
+                try:   # the rows as classified: what failed may be the projection itself
+                    T.dead_letter(classified, f"{root}/dead_letter/{t}", str(e))
+                except Exception as second:  # noqa: BLE001
+                    raise second from e
                 raise
             if built.to_quarantine is not None:
                 _, q = _observed_write(built.to_quarantine(classified),

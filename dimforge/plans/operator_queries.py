@@ -554,9 +554,24 @@ def q_dim_people_company_check(spark, d):
     return W.transform_people(fixture(spark, d, "people"), company).valid
 
 
-@query("upsert_small_batch")
-def q_upsert_small_batch(spark, d):
-    """The same merge through the broadcast shape (target never shuffled)."""
-    from dimforge.operators.upsert import merge_small
-    target = W.transform_funds(fixture(spark, d, "funds")).valid
-    return merge_small(target, _funds_incoming(spark, d), "fund_id")
+def _funds_batch(spark, d) -> DataFrame:
+    """The clean funds, a second row for every key (a longer name), and every row again without its key."""
+    f = W.transform_funds(fixture(spark, d, "funds")).valid
+    longer = f.withColumn("fund_name", F.concat("fund_name", F.lit("~")))
+    return f.unionByName(longer).unionByName(f.withColumn("fund_id", F.lit(None).cast(f.schema["fund_id"].dataType)))
+
+
+@query("upsert_rerun")
+def q_upsert_rerun(spark, d):
+    """One batch with NULL and repeated keys, loaded three times: one row per key."""
+    path = _scratch(spark, "dim_funds")
+    for _ in range(3):
+        T.upsert(_funds_batch(spark, d), path, "fund_id")
+    return T.read_table(spark, path)
+
+
+@query("upsert_rejected")
+def q_upsert_rejected(spark, d):
+    """The rows of that batch that are not merged, with their reason."""
+    from dimforge.operators.upsert import split_incoming
+    return split_incoming(_funds_batch(spark, d), "fund_id")[1].select("fund_id", "fund_name", "reason")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from dimforge import functions as X
 from dimforge.operators.cleaning import blank_to_null, drop_null_rows, fill_defaults
 from dimforge.operators.dedupe import keep_one
-from dimforge.operators.refcheck import flag_matches, key_set, lookup, quarantine, typed_key_set
+from dimforge.operators.refcheck import flag_matches, key_set, lookup, quarantine, typed_key_set, written
 
 
 def _same(df: DataFrame) -> DataFrame:
@@ -387,6 +387,7 @@ def resolve_funded_type(d: DataFrame, company: DataFrame, people: DataFrame) ->
     by_id = typed.groupBy("object_id").agg(
         F.max(F.col("entity_type") == "c").alias("has_c"),
         F.max(F.col("entity_type") == "p").alias("has_p"))
+    by_id = written(by_id)
     d = lookup(d, by_id, ["funded_object_id"], ["has_c", "has_p"])
     return (d.withColumn("funded_entity_type",
                          F.when(F.col("has_c"), F.lit("c")).when(F.col("has_p"), F.lit("p")))

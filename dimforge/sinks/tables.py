@@ -19,8 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.operators.dedupe import keep_one
-from dimforge.operators.upsert import merge, merge_small
+from dimforge.operators.refcheck import quarantine
+from dimforge.operators.upsert import merge, split_incoming
 
 
 # ------------------------------------------------------------------ file system (Hadoop API)
@@ -85,10 +85,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Newest committed version of a versioned table, or the plain table at ``path``."""
+    """Newest committed version of a versioned table, or the plain table at
+    ``path``.  A folder that has version folders but no committed one is an
+    error: its files belong to writes that did not end."""
     vs = committed_versions(spark, path)
     if vs:
         return spark.read.format(fmt).load(f"{path.rstrip('/')}/v={vs[-1]}")
+    if _next_version(spark, path) > 1:
+        raise FileNotFoundError(f"no committed version at {path}")
     return spark.read.format(fmt).load(path)
 
 
@@ -101,32 +105,25 @@ def write_version(df: DataFrame, path: str) -> str:
 
 # ------------------------------------------------------------------ K2 keyed upsert
 def upsert(incoming: DataFrame, path: str, key: str,
-           defaults: Mapping[str, Column] | None = None, dedupe_incoming: bool = True,
-           broadcast_rows: int | None = None) -> str:
+           defaults: Mapping[str, Column] | None = None, quarantine_path: str | None = None) -> str:
     """Merge ``incoming`` into the versioned table at ``path`` on ``key``;
     returns the new version's folder.
 
-    A merge needs at most one incoming row per key: with ``dedupe_incoming``
-    (default) one row per key is kept first, deterministically (partial
-    aggregation, and the merge join then reuses its partitioning).  Pass
-    ``False`` when the input is unique by construction.
-
-    ``broadcast_rows``: when given, the batch is counted and, if it has at
-    most that many rows, merged with ``merge_small`` (the target is not
-    shuffled); larger batches use the full outer join."""
+    A merge needs one incoming row per non-NULL key, so the input is always
+    split first (``operators.upsert.split_incoming``).  Rejected rows are
+    appended to ``quarantine_path`` with their key and reason; re-running the
+    same batch therefore gives the same table."""
     if key not in incoming.columns:
         raise ValueError(f"upsert: key column {key!r} is missing from the input")
-    if dedupe_incoming:
-        incoming = keep_one(incoming, [key])
     spark = incoming.sparkSession
+    unique, rejected = split_incoming(incoming, key)
+    if quarantine_path:
+        table = path.rstrip("/").rpartition("/")[2]
+        append_quarantine(quarantine(rejected, table, key, None, None, reason=F.col("reason")), quarantine_path)
     if committed_versions(spark, path):
-        target = read_table(spark, path)
-        if broadcast_rows is not None and incoming.count() <= broadcast_rows:
-            merged = merge_small(target, incoming, key, defaults)
-        else:
-            merged = merge(target, incoming, key, defaults)
+        merged = merge(read_table(spark, path), unique, key, defaults)
     else:
-        merged = incoming
+        merged = unique
         for c, v in (defaults or {}).items():
             if c not in merged.columns:
                 merged = merged.withColumn(c, v)

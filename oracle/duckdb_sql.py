@@ -9,7 +9,6 @@ on the DuckDB side.  Small SQL helpers below expand the per-value rules
 
 from __future__ import annotations
 
-from dimforge.functions.text import LATIN_EXTRA
 from dimforge.plans.fixtures import FIXTURE_SQL
 
 # --------------------------------------------------------------- expression helpers
@@ -36,10 +35,17 @@ def symbol(v: str) -> str:
     return f"(CASE WHEN contains({v}, ':') THEN split_part({v}, ':', 2) END)"
 
 
+# Latin-1 characters whose bytes are well-formed UTF-8 (code points stand for bytes)
+_TAIL = "[\\x80-\\xBF]"
+UTF8_AS_LATIN1 = (
+    f"([\\x00-\\x7F]|[\\xC2-\\xDF]{_TAIL}|\\xE0[\\xA0-\\xBF]{_TAIL}|[\\xE1-\\xEC\\xEE\\xEF]{_TAIL}{{2}}"
+    f"|\\xED[\\x80-\\x9F]{_TAIL}|\\xF0[\\x90-\\xBF]{_TAIL}{{2}}|[\\xF1-\\xF3]{_TAIL}{{3}}|\\xF4[\\x80-\\x8F]{_TAIL}{{2}})*")
+
+
 def repair(v: str) -> str:
     hexed = f"array_to_string(list_transform(string_split({v}, ''), lambda ch: printf('%02x', ord(ch))), '')"
-    return (f"(CASE WHEN regexp_full_match({v}, '[\\x00-\\xFF]*') "
-            f"THEN COALESCE(TRY(decode(unhex({hexed}))), {v}) ELSE {v} END)")
+    return (f"(CASE WHEN NOT regexp_full_match({v}, '[\\x00-\\x7F]*') AND regexp_full_match({v}, '{UTF8_AS_LATIN1}') "
+            f"THEN decode(unhex({hexed})) ELSE {v} END)")
 
 
 def clean_text(v: str) -> str:
@@ -62,9 +68,17 @@ def normalize(v: str) -> str:
     return f"(CASE WHEN NOT regexp_full_match({v}, '[{SP}]*') THEN {s} END)"
 
 
+# Letters and marks without a decomposition, and what stands for them.
+TRANSLITERATED = [
+    ("ß", "ss"), ("ẞ", "SS"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("ø", "o"), ("Ø", "O"), ("ł", "l"), ("Ł", "L"),
+    ("đ", "d"), ("Đ", "D"), ("ð", "d"), ("Ð", "D"), ("þ", "th"), ("Þ", "Th"), ("ı", "i"), ("ħ", "h"), ("Ħ", "H"), ("\u00a0", " "),
+    ("‘", "'"), ("’", "'"), ("“", '"'), ("”", '"'), ("–", "-"), ("—", "--"), ("…", "..."),
+]
+
+
 def fix_enc(v: str) -> str:
     t = v
-    for a, b in LATIN_EXTRA.items():
+    for a, b in TRANSLITERATED:
         t = f"replace({t}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
     return (f"(CASE WHEN regexp_full_match({v}, '[\\x00-\\x7F]*') THEN {v} "
             f"ELSE regexp_replace(strip_accents({t}), '[^\\x00-\\x7F]', '', 'g') END)")

@@ -315,4 +315,8 @@ WHERE EXISTS (SELECT 1 FROM ({OPS['dim_company_strict']}) c WHERE c.company_obje
 OPS["dim_people_company_check"] = with_ctes(
     "SELECT * FROM dim_people p WHERE EXISTS (SELECT 1 FROM dim_company c "
     "WHERE c.company_object_id = p.people_object_id)", "dim_people", "dim_company")
-OPS["upsert_small_batch"] = _UPSERT
+# the longer name is the larger row of a key; rows without a name tie and are copies
+OPS["upsert_rerun"] = with_ctes("SELECT * REPLACE (fund_name || '~' AS fund_name) FROM dim_funds", "dim_funds")
+OPS["upsert_rejected"] = with_ctes(
+    "SELECT fund_id, fund_name, 'duplicate key' AS reason FROM dim_funds "
+    "UNION ALL SELECT NULL, fund_name, 'NULL key' FROM dim_funds", "dim_funds")

@@ -120,3 +120,27 @@ def test_text_rules_on_documents(spark, fn, py):
     want = {r.doc_id: py(r.text) for r in docs.select("doc_id", "text").collect()}
     bad = [k for k in want if got[k] != want[k]]
     assert not bad, f"{len(bad)} documents differ, e.g. {bad[:3]}"
+
+
+LINE_ENDS = ["caf\u00e9\u2028", "abc\u0085", "abc\u2029", "\u00a0x\u00a0", "ﬁne ①²", "CafÃ©\u0085", "x\n", "\u0085"]
+
+
+def _python_clean_text(v):
+    try:
+        v = v.encode("latin-1").decode("utf-8")
+    except UnicodeError:
+        pass
+    return unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode("ascii").strip()
+
+
+def test_clean_text_line_ends(spark):
+    assert _apply(spark, LINE_ENDS, X.clean_text) == [_python_clean_text(v) for v in LINE_ENDS]
+
+
+def test_entity_id_unicode_blanks(spark):
+    assert _apply(spark, ["c:5\u0085", "c:\u00a05\u2003", "c:5\n", "c:5x"], X.entity_id) == [5, 5, 5, None]
+
+
+def test_fix_encoding_alphabets(spark):
+    cases = {"Москва": "Moskva", "Щука": "Shchuka", "Ёлка": "Iolka", "Αθήνα": "Athena", "Київ": "Kiyiv", "Łódź": "Lodz", "x\u2028": "x"}
+    assert _apply(spark, list(cases), X.fix_encoding) == list(cases.values())

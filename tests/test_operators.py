@@ -125,16 +125,30 @@ def test_flag_matches_hot_key_sort_merge(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_merge_small_matches_merge(spark):
-    from dimforge.operators.upsert import merge_small
-    target = spark.range(1000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"),
-                                      F.lit("old").alias("w"))
-    incoming = spark.createDataFrame([(5, 100), (7, None), (5000, 1)], "k int, v bigint")
-    defaults = {"w": F.lit("new")}
-    a = sorted(map(tuple, merge(target, incoming, "k", defaults).collect()))
-    b_df = merge_small(target, incoming, "k", defaults)
-    b = sorted(map(tuple, b_df.collect()))
-    assert a == b and len(a) == 1001
-    assert (5, 100, "old") in a and (7, None, "old") in a and (5000, 1, "new") in a
-    plan = b_df._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan
+def test_hot_key_is_split(spark):
+    """80 % of the fact on one key, no broadcast: AQE splits the hot partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 400000, 1, 8).select(
+            F.col("id").alias("fid"), F.when(F.col("id") % 5 != 0, 7).otherwise(F.col("id") % 1000).cast("int").alias("k"))
+        flagged = flag_matches(fact, key_set(spark.range(1000).select(F.col("id").cast("int").alias("d")), "d"), ["k"], "ok")
+        assert len(flagged.where("ok").select("fid", "ok").toPandas()) == 400000
+        rows = flagged.select("fid", "ok")
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_split_incoming(spark):
+    from dimforge.operators.upsert import split_incoming
+    rows = [(1, "a"), (1, "b"), (1, "b"), (2, None), (2, None), (3, "c"), (None, "x"), (None, "x")]
+    unique, rejected = split_incoming(spark.createDataFrame(rows, "k int, v string"), "k")
+    assert sorted(map(tuple, unique.collect())) == [(1, "b"), (2, None), (3, "c")]
+    assert sorted(map(repr, map(tuple, rejected.collect()))) == sorted(map(repr, [
+        (1, "a", "duplicate key"), (1, "b", "duplicate key"), (2, None, "duplicate key"), (None, "x", "NULL key"), (None, "x", "NULL key")]))
