@@ -113,10 +113,16 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         long(F.size("l")).alias("n_lines"),
         long(F.size(F.filter("w", lambda w: F.rtrim(w, F.lit(".,")).isin(STOP_WORDS)))).alias("n_stop_words"),
         F.lit(1).alias("one"),
+        # a row number among the metrics keeps the optimizer from copying their
+        # expressions into a later filter, where lambdas would build whole
+        # arrays again for every element
+        F.monotonically_increasing_id().alias("at"),
     )
-    base = compile_rules(BASE)
+    computed = F.col("at") >= 0
+    base = compile_rules(BASE) & computed
     return t.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        F.when(computed, F.col("n_repeat_words")).alias("n_repeat_words"),
         (~base).alias("base_failed"), (base & compile_rules(THRESHOLDS)).alias("kept"),
         "n_lines", "n_stop_words")
 
@@ -128,10 +134,8 @@ def keep_clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     column name of the input can clash."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     packed = docs.select(row, F.col(f"`{text_col}`").alias("text"))
-    # a row number beside the verdict keeps the optimizer from copying the rules
-    # into the filter, where every reference would build its arrays again
-    judged = measure(packed, "row", "text").withColumn("at", F.monotonically_increasing_id())
-    return judged.filter("kept and at >= 0").select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
+    judged = measure(packed, "row", "text")
+    return judged.filter("kept").select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
