@@ -24,10 +24,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--mode", default="compat", choices=("compat", "strict"))
     ap.add_argument("--master", default=None)
     ap.add_argument("--approx-profile", action="store_true", help="HyperLogLog distinct counts, no samples")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial shuffle partitions (AQE merges small ones); size them to the largest shuffle")
     a = ap.parse_args(argv)
 
     from dimforge.plans import jobs
-    spark = get_session(a.master, app="dimforge")
+    spark = get_session(a.master, app="dimforge", shuffle_partitions=a.shuffle_partitions)
     root = a.root.rstrip("/")
     log = f"{root}/etl_logs"
     steps = [s.strip() for s in a.steps.split(",") if s.strip()]

@@ -17,8 +17,12 @@ parse them.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from dimforge.schemas import STAGED_DDL
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
@@ -56,7 +60,7 @@ FROM u
 
 FIXTURE_SQL["st_acquisition"] = """
 SELECT CAST(o_orderkey AS INT) AS acquisition_id, 'c:' || CAST(o_custkey AS STRING) AS acquiring_object_id,
-  'c:' || CAST((o_orderkey * 7) % 1800 AS STRING) AS acquired_object_id, 'cash' AS term_code,
+  'c:' || CAST((o_orderkey * 7) % (SELECT CAST(FLOOR(COUNT(*) * 18 / 15.0) AS BIGINT) FROM customer) AS STRING) AS acquired_object_id, 'cash' AS term_code,
   CASE WHEN o_orderkey % 4 = 0 THEN CAST(0 AS DECIMAL(15,2)) WHEN o_orderkey % 15 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(15,2)) END AS price_amount,
   CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE 'USD' END AS price_currency_code,
   CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS acquired_at,
@@ -67,7 +71,7 @@ FROM orders
 
 FIXTURE_SQL["st_funding_rounds"] = """
 SELECT CAST(o_orderkey AS INT) AS funding_round_id,
-  CASE WHEN o_orderkey % 10 = 3 THEN 'p:' || CAST(o_custkey % 120 AS STRING) WHEN o_orderkey % 10 = 6 THEN 'f:' || CAST(o_custkey AS STRING)
+  CASE WHEN o_orderkey % 10 = 3 THEN 'p:' || CAST(o_custkey % (SELECT CAST(FLOOR(COUNT(*) * 12 / 10.0) AS BIGINT) FROM supplier) AS STRING) WHEN o_orderkey % 10 = 6 THEN 'f:' || CAST(o_custkey AS STRING)
        WHEN o_orderkey % 50 = 9 THEN '' ELSE 'c:' || CAST(o_custkey AS STRING) END AS object_id,
   CASE WHEN o_orderkey % 40 = 1 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS funded_at,
   CASE o_orderstatus WHEN 'F' THEN 'venture' WHEN 'O' THEN 'series-a' ELSE '' END AS funding_round_type,
@@ -89,8 +93,8 @@ FROM orders
 
 FIXTURE_SQL["st_investments"] = """
 SELECT DISTINCT CAST(l_orderkey * 10 + l_linenumber AS INT) AS investment_id, CAST(l_orderkey AS INT) AS funding_round_id,
-  'c:' || CAST((l_orderkey * 3 + l_linenumber) % 1700 AS STRING) AS funded_object_id,
-  CASE l_linenumber % 3 WHEN 0 THEN 'p:' WHEN 1 THEN 'c:' ELSE 'f:' END || CAST((l_orderkey + l_linenumber * 11) % 1600 AS STRING) AS investor_object_id,
+  'c:' || CAST((l_orderkey * 3 + l_linenumber) % (SELECT CAST(FLOOR(COUNT(*) * 17 / 15.0) AS BIGINT) FROM customer) AS STRING) AS funded_object_id,
+  CASE l_linenumber % 3 WHEN 0 THEN 'p:' WHEN 1 THEN 'c:' ELSE 'f:' END || CAST((l_orderkey + l_linenumber * 11) % (SELECT CAST(FLOOR(COUNT(*) * 16 / 15.0) AS BIGINT) FROM customer) AS STRING) AS investor_object_id,
   '2007-07-18 15:56:25' AS created_at, '2013-05-30 10:36:47' AS updated_at
 FROM lineitem
 """
@@ -130,7 +134,7 @@ FROM supplier
 """
 
 FIXTURE_SQL["st_milestones"] = """
-SELECT event_id AS milestone_id, CASE WHEN event_id % 9 = 4 THEN 'f:' ELSE 'c:' END || CAST((user_id * 37 + event_id) % 1700 AS STRING) AS object_id,
+SELECT event_id AS milestone_id, CASE WHEN event_id % 9 = 4 THEN 'f:' ELSE 'c:' END || CAST((user_id * 37 + event_id) % (SELECT CAST(FLOOR(COUNT(*) * 17 / 15.0) AS BIGINT) FROM customer) AS STRING) AS object_id,
   CAST(CAST(ts AS DATE) AS STRING) AS milestone_at, event_type AS milestone_code, 'Did: ' || event_type || ' ' || props AS description,
   CASE event_id % 4 WHEN 0 THEN 'NaN' WHEN 1 THEN 'www://bad' ELSE 'http://m/' || CAST(event_id AS STRING) END AS source_url,
   CASE WHEN event_id % 5 = 0 THEN 'NaN' ELSE props END AS source_description,
@@ -139,6 +143,26 @@ SELECT event_id AS milestone_id, CASE WHEN event_id % 9 = 4 THEN 'f:' ELSE 'c:'
 FROM events
 """
 
+
+
+def _with_older_copies(view: str, staged_name: str, where: str, **changed: str) -> None:
+    """Add an older, differing copy of some rows: the keyed dedupe must drop it."""
+    cols = [c.split()[0] for c in re.sub(r"\([^)]*\)", "", STAGED_DDL[staged_name]).split(",")]
+    copy = ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in cols)
+    FIXTURE_SQL[view] = (f"WITH base AS ({FIXTURE_SQL[view]}) SELECT {', '.join(cols)} FROM base "
+                         f"UNION ALL SELECT {copy} FROM base WHERE {where}")
+
+
+_OLD = "'2001-02-03 04:05:06'"
+_with_older_copies("st_acquisition", "acquisition", "acquisition_id % 23 = 0", updated_at=_OLD, term_code="'stock'")
+_with_older_copies("st_funding_rounds", "funding_rounds", "funding_round_id % 29 = 0", updated_at=_OLD,
+                   raised_currency_code="'JPY'")
+_with_older_copies("st_investments", "investments", "investment_id % 31 = 0", updated_at=_OLD, funded_object_id="'c:1'")
+_with_older_copies("st_ipo", "ipo", "CAST(ipo_id AS INT) % 19 = 0", updated_at=_OLD, raised_currency_code="'JPY'")
+_with_older_copies("st_funds", "funds", "CAST(fund_id AS INT) % 9 = 0", updated_at=_OLD, name="'older name'")
+_with_older_copies("st_milestones", "milestones", "milestone_id % 37 = 0", updated_at="'2001-02-03 04:05:06.000'",
+                   milestone_code="'older'")
+
 # base tables the recipes read
 FIXTURE_BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 

@@ -324,9 +324,14 @@ def transform_relationship(df: DataFrame, company: DataFrame, people: DataFrame,
 
 
 # ---------------------------------------------------------------- T7 ipo
-def ipo_prepared(df: DataFrame) -> DataFrame:
-    """Cleaned, filled, deduplicated IPOs (before the company filter and check)."""
+def ipo_prepared(df: DataFrame, mode: str = "compat") -> DataFrame:
+    """Cleaned, filled, deduplicated IPOs (before the company filter and check).
+
+    strict keeps a ticker without a market as the symbol; compat gives N/A."""
     d = blank_to_null(df)
+    symbol = X.stock_symbol("stock_symbol")
+    if mode == "strict":
+        symbol = F.when(F.col("stock_symbol").contains(":"), symbol).otherwise(F.col("stock_symbol"))
     d = d.select(
         "ipo_id",
         X.entity_prefix("object_id").alias("ipo_entity_type"),
@@ -337,7 +342,7 @@ def ipo_prepared(df: DataFrame) -> DataFrame:
         "raised_amount",
         X.parse_date("public_at").alias("public_at"),
         X.stock_market("stock_symbol").alias("stock_market"),
-        X.stock_symbol("stock_symbol").alias("stock_symbol"),
+        symbol.alias("stock_symbol"),
         "source_url", "source_description",
         X.parse_timestamp("created_at").alias("created_at"),
         X.parse_timestamp("updated_at").alias("updated_at"),
@@ -350,7 +355,7 @@ def ipo_prepared(df: DataFrame) -> DataFrame:
 
 def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
     _check_mode(mode)
-    d = ipo_prepared(df)
+    d = ipo_prepared(df, mode)
     is_company = F.coalesce(F.col("ipo_entity_type") == "c", F.lit(False))
     on = ["ipo_object_id"] if mode == "compat" else ["ipo_entity_type", "ipo_object_id"]
     flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")

@@ -18,8 +18,12 @@ cte("dim_milestones_strict", ("milestones_dedup", "company_s"), """
 SELECT * FROM milestones_dedup m WHERE m.milestone_object_id IS NOT NULL AND EXISTS (
   SELECT 1 FROM company_s c WHERE c.company_object_id = m.milestone_object_id
   AND c.company_entity_type = m.milestone_entity_type)""")
-cte("fact_ipo_strict", ("ipo_checked", "company_s"), """
-SELECT * EXCLUDE (is_company, in_company) FROM ipo_checked i WHERE is_company AND EXISTS (
+cte("fact_ipo_strict", ("ipo_checked", "company_s", "st_ipo"), """
+SELECT * EXCLUDE (is_company, in_company, ticker) REPLACE (COALESCE(b.ticker, i.stock_symbol) AS stock_symbol)
+FROM ipo_checked i LEFT JOIN (
+  SELECT DISTINCT ipo_id, stock_symbol AS ticker FROM st_ipo
+  WHERE stock_symbol <> '' AND NOT contains(stock_symbol, ':')) b USING (ipo_id)
+WHERE is_company AND EXISTS (
   SELECT 1 FROM company_s c WHERE c.company_object_id = i.ipo_object_id AND c.company_entity_type = i.ipo_entity_type)""")
 cte("fact_relationship_strict", ("relationship_dedup", "company_s", "dim_people"), """
 SELECT people_object_id, relationship_id, people_entity_type, relationship_entity_type, relationship_object_id,
