@@ -30,6 +30,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
+import types
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
@@ -214,14 +216,13 @@ class WordBpe:
             yield word, ids
 
 
-_LOADED: dict[str, WordBpe] = {}
-
-
 def load(path: str) -> WordBpe:
-    """The tokenizer at ``path``, read once per Python process."""
-    if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
-    return _LOADED[path]
+    """The tokenizer at ``path``, read once per Python process (functions reach
+    the workers by value, so the place to keep it is the interpreter)."""
+    kept = sys.modules.setdefault("_dimforge_tokenizers", types.ModuleType("_dimforge_tokenizers")).__dict__
+    if path not in kept:
+        kept[path] = WordBpe(path)
+    return kept[path]
 
 
 class Coder:

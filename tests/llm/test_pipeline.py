@@ -19,23 +19,23 @@ def _snap(text, cov):
 
 def test_pipeline(spark, edge_docs, edge_rows, tables):
     from tokenizers import Tokenizer
-    item = edge_rows[16][1]  # a passage in several documents
-    bench = spark.createDataFrame([(1, "Unrelated words that no document of this table holds anywhere at all"), (2, edge_rows[8][1][-300:])],
-                                  "item_id long, text string")
-    d = tables(documents=edge_docs, benchmark=bench)
-    got = {r.doc_id: r for r in corpus_pipeline.run(spark, d).collect()}
     good = {r.doc_id for r in quality_rules.measure(edge_docs).filter("kept").collect()}
     rows = [(i, t) for i, t in edge_rows if i in good]
     _, groups = brute.near([t for _, t in rows])
     rows = [rows[k] for k, g in enumerate(groups) if k == min(g)]
+    assert len(rows) > 2
     covers = brute.covered([t.encode() for _, t in rows], 100)
     rows = [(i, _snap(t, c)) for (i, t), c in zip(rows, covers)]
+    longest = max(rows, key=lambda r: len(r[1]))
+    bench = spark.createDataFrame([(1, "Unrelated words that no document of this table holds anywhere at all"),
+                                   (2, " ".join(longest[1].split()[100:140]))], "item_id long, text string")
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, tables(documents=edge_docs, benchmark=bench)).collect()}
     left = spark.createDataFrame(rows, "doc_id long, text string")
     bad = {r.doc_id for r in decontamination.find(left, bench).collect()}
+    assert longest[0] in bad and len(bad) < len(rows)
     tk = Tokenizer.from_file(str(bpe.tokenizer_path()))
     exp = {i: tk.encode(t, add_special_tokens=False).ids for i, t in rows if i not in bad}
-    assert bad and {i: r.ids for i, r in got.items()} == exp
-    del item
+    assert {i: r.ids for i, r in got.items()} == exp
 
 
 def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs, tables):
