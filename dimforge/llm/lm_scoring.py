@@ -185,7 +185,8 @@ def mark_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text and ``target`` of every document: good quality and not toxic."""
     good = (labels.filter((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull())
             .select("doc_id").distinct().withColumn("target", F.lit(True)))
-    return docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", "target")
+    # labels grow with the corpus: the same join at every size, never a broadcast
+    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select("text", "target")
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocab_size: int = VOCAB_SIZE,
