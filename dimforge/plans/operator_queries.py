@@ -448,7 +448,7 @@ def q_sink_append(spark, d):
 
 
 def _funds_incoming(spark, d) -> DataFrame:
-    f = blank_to_null(fixture(spark, d, "funds"))
+    f = keep_one(blank_to_null(fixture(spark, d, "funds")), ["fund_id"], [F.col("updated_at")])
     return f.select("fund_id", F.col("name").alias("fund_name"), F.lit("EUR").alias("raised_currency"),
                     (F.col("raised_amount") * 2).cast("decimal(15,2)").alias("raised_amount"))
 
@@ -570,6 +570,19 @@ def q_upsert_rerun(spark, d):
     return T.read_table(spark, path)
 
 
+@query("col_defaults")
+def q_col_defaults(spark, d):
+    """Columns the incoming rows lack take their load-time default on insert,
+    and keep their old value on update."""
+    path = _scratch(spark, "dim_funds")
+    defaults = {"source_description": F.lit("none given")}
+    T.upsert(W.transform_funds(fixture(spark, d, "funds")).valid.drop("source_description"), path, "fund_id", defaults)
+    new = _funds_incoming(spark, d)
+    T.upsert(new.unionByName(new.withColumn("fund_id", F.concat(F.lit("n"), "fund_id"))), path, "fund_id",
+             {"source_description": F.lit("second load")})
+    return T.read_table(spark, path)
+
+
 @query("upsert_rejected")
 def q_upsert_rejected(spark, d):
     """The rows of that batch that are not merged, with their reason."""

@@ -275,7 +275,8 @@ SELECT COALESCE(i.fund_id, t.fund_id) AS fund_id, t.fund_entity_type, t.fund_obj
   t.source_url, t.source_description, t.created_at, t.updated_at
 FROM dim_funds t FULL OUTER JOIN (
   SELECT fund_id, NULLIF(name, '') AS fund_name, 'EUR' AS raised_currency,
-    CAST(raised_amount * 2 AS DECIMAL(15,2)) AS raised_amount FROM st_funds) i ON t.fund_id = i.fund_id""",
+    CAST(raised_amount * 2 AS DECIMAL(15,2)) AS raised_amount FROM st_funds
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY fund_id ORDER BY updated_at DESC) = 1) i ON t.fund_id = i.fund_id""",
                     "dim_funds", "st_funds")
 OPS["upsert_merge"] = _UPSERT
 OPS["upsert_versioned"] = _UPSERT
@@ -317,6 +318,16 @@ OPS["dim_people_company_check"] = with_ctes(
     "WHERE c.company_object_id = p.people_object_id)", "dim_people", "dim_company")
 # the longer name is the larger row of a key; rows without a name tie and are copies
 OPS["upsert_rerun"] = with_ctes("SELECT * REPLACE (fund_name || '~' AS fund_name) FROM dim_funds", "dim_funds")
+OPS["col_defaults"] = with_ctes("""
+SELECT * FROM (WITH i AS (
+  SELECT fund_id, NULLIF(name, '') AS fund_name, 'EUR' AS raised_currency,
+    CAST(raised_amount * 2 AS DECIMAL(15,2)) AS raised_amount FROM st_funds
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY fund_id ORDER BY updated_at DESC) = 1)
+SELECT i.fund_id, t.fund_entity_type, t.fund_object_id, i.fund_name, t.funding_date, i.raised_currency, i.raised_amount, t.source_url,
+  CASE WHEN t.fund_id IS NULL THEN 'second load' ELSE 'none given' END AS source_description, t.created_at, t.updated_at
+FROM i LEFT JOIN dim_funds t ON t.fund_id = i.fund_id
+UNION ALL SELECT 'n' || i.fund_id, NULL, NULL, i.fund_name, NULL, i.raised_currency, i.raised_amount, NULL, 'second load', NULL, NULL FROM i)""",
+                              "dim_funds", "st_funds")
 OPS["upsert_rejected"] = with_ctes(
     "SELECT fund_id, fund_name, 'duplicate key' AS reason FROM dim_funds "
     "UNION ALL SELECT NULL, fund_name, 'NULL key' FROM dim_funds", "dim_funds")
