@@ -193,8 +193,8 @@ class Repeats:
         return later.select("did", "ver", start.alias("lo"), (start + windows + (self.unit.length - 1)).alias("hi"))
 
     def open_texts(self, run: Callable, schema: str) -> DataFrame:
-        """``run`` over (did, ver, text, [x, h of the open segments]) of the documents that have some."""
-        need = self.open.groupBy("did", "ver").agg(F.collect_list(F.struct("x", "h")).alias("open"))
+        """``run`` over (did, ver, text, [x of the open segments]) of the documents that have some."""
+        need = self.open.groupBy("did", "ver").agg(F.collect_list("x").alias("open"))
         rows = self.docs.select("did", "ver", "text").join(need, ["did", "ver"])
         return rows.select("did", "ver", "text", "open").mapInArrow(run, schema)
 
@@ -206,13 +206,18 @@ class Repeats:
         return self.docs.join(per_doc, ["did", "ver"], "left").select("row", "text", "ranges")
 
 
-def merged(ranges: list[dict] | None) -> list[tuple[int, int]]:
-    """Maximal runs of the union of ranges."""
-    out: list[tuple[int, int]] = []
-    for lo, hi in sorted((r["lo"], r["hi"]) for r in ranges or ()):
-        if out and lo <= out[-1][1]:
-            if hi > out[-1][1]:
-                out[-1] = (out[-1][0], hi)
-        else:
-            out.append((lo, hi))
-    return out
+def merged(ranges: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
+    """For every row's ranges, the maximal runs of their union."""
+    flat = ranges.flatten()
+    lo_all, hi_all = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+    at = 0
+    for n in ranges.value_lengths().fill_null(0).to_pylist():
+        if not n:
+            yield []
+            continue
+        lo, hi = lo_all[at:at + n], hi_all[at:at + n]
+        at += n
+        order = np.argsort(lo, kind="stable")
+        lo, hi = lo[order], np.maximum.accumulate(hi[order])
+        cut = np.flatnonzero(lo[1:] > hi[:-1])
+        yield list(zip(lo[np.concatenate(([0], cut + 1))].tolist(), hi[np.concatenate((cut, [n - 1]))].tolist()))

@@ -47,7 +47,7 @@ def _extensions(unit: Unit):
         for b in batches:
             for did, ver, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
                 _, content = unit.cut(text.as_py())
-                starts = sorted({p for o in found for p in range(o["x"] >> 16, (o["x"] >> 16) + unpack(o["x"])[2])})
+                starts = sorted({p for x in found for p in range(x >> 16, (x >> 16) + unpack(x)[2])})
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([digest(content(p, p + unit.length)) for p in starts], pa.binary()), pa.array([did] * n, pa.int64()),
@@ -77,9 +77,8 @@ def remove_repeats(docs: DataFrame, unit: Unit = WORDS, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, total, lost, runs = [], [], [], []
-            for t, r in zip(b.column(1), b.column(2).to_pylist()):
+            for t, spans in zip(b.column(1), merged(b.column(2))):
                 words = t.as_py().split()
-                spans = merged(r)
                 out, at = [], 0
                 for lo, hi in spans:
                     out += words[at:lo]

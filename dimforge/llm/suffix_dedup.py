@@ -42,7 +42,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,10 +72,10 @@ def _segment_texts(unit: Unit):
             for d, v, t, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
                 t = t.as_py()
                 for o in found:
-                    start, _, n = unpack(o["x"])
+                    start, _, n = unpack(o)
                     did.append(d)
                     ver.append(v)
-                    x.append(o["x"])
+                    x.append(o)
                     text.append(t[start:start + n - 1 + unit.length])
             yield pa.RecordBatch.from_arrays([pa.array(did, pa.int64()), pa.array(ver, pa.int32()), pa.array(x, pa.int64()),
                                               pa.array(text, pa.binary())], ["did", "ver", "x", "text"])
@@ -113,19 +115,28 @@ def _triples(names: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for s, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                at = {f["j"]: f["name"] for f in found}
+                at = _names(found)
                 out += [(s, j, a, at[j + 1], at[j + 2]) for j, a in at.items() if j + 1 in at and j + 2 in at]
             cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(cols)],
                                              ["sid", "j", "a", "b", "c"])
 
-    per = names.groupBy("sid").agg(F.collect_list(F.struct("j", "name")).alias("found"))
-    return per.mapInArrow(run, "sid long, j int, a long, b long, c long")
+    return _per_segment(names).mapInArrow(run, "sid long, j int, a long, b long, c long")
+
+
+def _per_segment(names: DataFrame) -> DataFrame:
+    """sid and its names, each packed with its place (a segment holds fewer than 256 steps)."""
+    return names.groupBy("sid").agg(F.collect_list(F.col("name") * 256 + F.col("j")).alias("found"))
+
+
+def _names(found: list[int]) -> dict[int, int]:
+    return {f & 255: f >> 8 for f in found}
 
 
 def _suffixes(unit: Unit, step: int):
     """(first, last, rest, did, p, ver) of every suffix that kept both its triples."""
     whole = (unit.length - step + 1) // step  # whole steps in any window
+    one = [bytes((i,)) for i in range(step)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -134,19 +145,23 @@ def _suffixes(unit: Unit, step: int):
             for did, ver, x, t, found in zip(*(b.column(i).to_pylist() for i in range(5))):
                 start, offset, n = unpack(x)
                 zero = offset % step
-                name = {f["j"]: f["name"] for f in found}
-                for i in range(n):
-                    j = -((zero - i) // step) if i > zero else 0  # first sampled position at or after i
-                    lo, hi = name.get(j), name.get(j + whole - 3)
-                    if lo is None or hi is None:
+                name = _names(found)
+                for j, lo in name.items():
+                    hi = name.get(j + whole - 3)
+                    if hi is None:
                         continue
+                    # the suffixes whose first sampled position is the j-th
                     q = zero + j * step
-                    first.append(lo)
-                    last.append(hi)
-                    rest.append(bytes((q - i,)) + t[i:q] + t[q + whole * step:i + unit.length])
-                    dids.append(did)
-                    at.append(start + i)
-                    vers.append(ver)
+                    a, z = (q - step + 1 if j else 0), min(q + 1, n)
+                    if a >= z:
+                        continue
+                    tail = q + whole * step
+                    first += [lo] * (z - a)
+                    last += [hi] * (z - a)
+                    rest += [one[q - i] + t[i:q] + t[tail:i + unit.length] for i in range(a, z)]
+                    dids += [did] * (z - a)
+                    at += range(start + a, start + z)
+                    vers += [ver] * (z - a)
             types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], ["first", "last", "rest", "did", "p", "ver"])
 
@@ -157,18 +172,24 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """did, ver, p of the sorted suffixes whose key has an earlier one.
 
     Versions of one document at the same start are not earlier than each other."""
-    key, head = None, None
+    before = None  # the last row of the batches so far: its key, and the first suffix with that key
     for b in batches:
-        first, last, rest, did, p, ver = (b.column(i).to_pylist() for i in range(6))
-        keep = []
-        for i in range(len(p)):
-            k = (first[i], last[i], rest[i])
-            here = (did[i], p[i])
-            if k != key:
-                key, head = k, here
-            elif here != head:
-                keep.append(i)
-        c = b.take(pa.array(keep, pa.int64()))
+        n = b.num_rows
+        if not n:
+            continue
+        first, last, did, p = (b.column(i).to_numpy() for i in (0, 1, 3, 4))
+        rest = b.column(2)
+        new = np.ones(n, bool)
+        same = pc.equal(rest.slice(1), rest.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        new[1:] = ~(same & (first[1:] == first[:-1]) & (last[1:] == last[:-1]))
+        goes_on = before is not None and before[0] == (first[0], last[0], rest[0].as_py())
+        head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        head_did, head_p = did[head], p[head]
+        if goes_on:
+            here = head == 0
+            head_did, head_p = np.where(here, before[1][0], head_did), np.where(here, before[1][1], head_p)
+        before = ((first[-1], last[-1], rest[n - 1].as_py()), (head_did[-1], head_p[-1]))
+        c = b.filter(pa.array((did != head_did) | (p != head_p)))
         yield pa.RecordBatch.from_arrays([c.column(3), c.column(5), c.column(4)], ["did", "ver", "p"])
 
 
@@ -188,8 +209,7 @@ def find_repeats(docs: DataFrame, unit: Unit = BYTES, id_col: str = "doc_id", te
     names = named(blocks, ["key"], s, "blocks", parts)
     triples = s.write(_triples(names), "triples")
     names3 = named(triples, ["a", "b", "c"], s, "triples-of", parts)
-    per = names3.groupBy("sid").agg(F.collect_list(F.struct("j", "name")).alias("found"))
-    suffixes = seg.join(per, "sid").select("did", "ver", "x", "text", "found").mapInArrow(
+    suffixes = seg.join(_per_segment(names3), "sid").select("did", "ver", "x", "text", "found").mapInArrow(
         _suffixes(unit, step), "first long, last long, rest binary, did long, p long, ver int")
     order = suffixes.repartition(parts, "first", "last", "rest").sortWithinPartitions("first", "last", "rest", "did", "p")
     later = s.write(order.mapInArrow(_compare, "did long, ver int, p long"), "later")
@@ -231,8 +251,7 @@ def remove_repeats(docs: DataFrame, unit: Unit = BYTES, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, total, lost, runs = [], [], [], []
-            for t, r in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                spans = merged(r)
+            for t, spans in zip(b.column(1).to_pylist(), merged(b.column(2))):
                 if characters:
                     spans = _whole_characters(t, spans)
                 kept.append(_cut(t, spans))
