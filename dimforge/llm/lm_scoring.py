@@ -6,17 +6,27 @@ vocabulary, the same order, the same smoothing.  A document's score is the
 mean over its tokens of target loss minus background loss; low scores look
 like the target (Moore and Lewis, 2010).
 
-The vocabulary is the ``vocab_size`` words most frequent in the corpus (ties
-by word); every other word is one unknown token that is counted like a word.
-Bigrams are counted in a table of ``cells`` cells addressed by a hash of both
-token ids, so a model has a fixed size (two tables of ``cells`` 64-bit counts
-and three of ``vocab_size + 1``), which is what makes it safe to hand to
-every task.  p(w|v) = (c(v,w) + mu * p(w)) / (c(v) + mu), with p(w) the
-add-one unigram estimate; the first token of a document follows a start token.
-
-Three passes over the texts: word counts (shuffled by word), bigram counts
-(shuffled by cell; this pass joins the labels), scores (no shuffle).  Counts
-are summed inside a task before they are shuffled.  Nothing is sampled.
+p(w|v) = (c(v,w) + mu * p(w)) / (c(v) + mu), with p(w) the add-one unigram
+estimate over all words and one unknown token; the first token of a document
+follows a start token.
+
+By default every word and every bigram is counted under its own key, in
+tables that grow with the corpus; nothing of the corpus but three sums reaches
+the driver.  Documents are taken in chunks of about ``CHUNK`` tokens.  A chunk
+asks for the counts of its distinct words, contexts and bigrams (at most one
+row per key and chunk, so no key is hot), dealt to buckets by a hash of the
+key; a bucket sums its keys, compared in full, over all chunks and answers in
+the order asked; the chunk is scored with its answers.  The number of buckets
+follows the bytes of text, a chunk and a bucket fit in a task at any size.
+
+With a ``vocab_size`` and ``cells`` given, the bounded model is built instead:
+the ``vocab_size`` most frequent words (ties by word), every other word one
+unknown token, bigrams in a table of ``cells`` hashed cells, handed to every
+task.  It is an approximation and not what the query runs.
+
+Two passes over the texts: their size, and the numbered words (this pass joins
+the labels).  Keys and scores are made from the written chunks.  Nothing is
+sampled.
 
 Defined results
   * null or empty text: no tokens, score 0, ``n_tokens`` 0;
@@ -30,20 +40,29 @@ Defined results
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm._common import ascii_lower, read
+from dimforge.llm._common import Scratch, ascii_lower, read
 
-VOCAB_SIZE = 1 << 16
-CELLS = 1 << 20
+#: All words, and a cell of its own for every pair of token ids: no bounds.
+VOCAB_SIZE = None
+CELLS = 1 << 64
 MU = 64.0
+#: Tokens of the documents that are scored together, and bytes of text a bucket of keys.
+CHUNK = 4_000_000
+BUCKET = 1 << 22
+#: Stands for the start of a document; words hold no white space.
+START = b"\t"
 #: Words of one task that are held before their counts are handed on.
 HELD = 400_000
 
@@ -114,14 +133,14 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def vocabulary(docs: DataFrame, size: int = VOCAB_SIZE, text_col: str = "text") -> Vocabulary:
+def vocabulary(docs: DataFrame, size: int, text_col: str = "text") -> Vocabulary:
     """The ``size`` most frequent words: at most that many rows reach the driver."""
     top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(size).select("word").toArrow()
     return Vocabulary({w: i for i, w in enumerate(top.column(0).to_pylist(), 1)})
 
 
 def train(spark: SparkSession, docs: DataFrame, is_target: str, vocab: Vocabulary,
-          cells: int = CELLS, text_col: str = "text", mu: float = MU) -> tuple[Model, Model]:
+          cells: int, text_col: str = "text", mu: float = MU) -> tuple[Model, Model]:
     """(target, background): counted in one pass; ``is_target`` names a boolean column."""
     shared = spark.sparkContext.broadcast(vocab.ids)
     n = vocab.size
@@ -181,17 +200,226 @@ def score(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, target: Model
         run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
-def mark_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def _pack(x) -> bytes:
+    """Bytes or an array of counts, compressed; the length leads."""
+    if not isinstance(x, bytes):
+        x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
+        x = bytes([x.itemsize]) + x.tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(x, codec="zstd", asbytes=True)
+
+
+def _unpack(x: bytes) -> bytes:
+    return pa.decompress(x[8:], decompressed_size=int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _numbers(x: bytes) -> np.ndarray:
+    raw = _unpack(x)
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in lower case (A to Z), and how many each text has."""
+    texts = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, parent = lists.flatten(), pc.list_parent_indices(lists)
+    some = pc.greater(pc.binary_length(words), 0)
+    n = np.bincount(parent.filter(some).to_numpy(), minlength=len(texts))
+    return words.filter(some).cast(pa.binary()), n
+
+
+@dataclass
+class _Chunk:
+    """Words by number (0 is the start) and what documents of ``sizes`` words ask for.
+
+    Keys are the words, the contexts and the distinct bigrams (``before``,
+    ``after``), in this order; ``pair`` is the bigram of each word and ``asked``
+    the keys that occur, by bucket."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+    hashes: np.ndarray
+    buckets: int
+
+    def __post_init__(self):
+        size = self.size = len(self.hashes)
+        last = np.concatenate(([0], self.ids[:-1])) if len(self.ids) else self.ids.copy()
+        last[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = 0
+        self.last = last
+        pairs, pair = np.unique(last * size + self.ids, return_inverse=True)
+        self.pair = pair.reshape(-1)
+        self.before, self.after = pairs // size, pairs % size
+        h = self.hashes.astype(np.uint64)
+        none = np.zeros(size, dtype=np.uint64)
+        x = (np.concatenate((none, h, h[self.before])) * np.uint64(0x100000001B3)) ^ np.concatenate((h, none, h[self.after]))
+        x = (x ^ (x >> np.uint64(29))) * _MIX
+        bucket = ((x ^ (x >> np.uint64(32))) % np.uint64(self.buckets)).astype(np.min_scalar_type(self.buckets))
+        self.n = self.counts(slice(None))
+        at = np.argsort(bucket, kind="stable")
+        # the start is no word, and the last words of documents may be no context
+        self.asked = at[self.n[at] > 0]
+        self.ends = np.searchsorted(bucket[self.asked], np.arange(self.buckets + 1))
+
+    def counts(self, pick) -> np.ndarray:
+        return np.concatenate([np.bincount(x[pick], minlength=m) for x, m in (
+            (self.ids, self.size), (self.last, self.size), (self.pair, len(self.before)))])
+
+
+_CHUNKS = pa.schema([("chunk", pa.int64()), ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("target", pa.list_(pa.bool_())),
+                     ("targets", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary()), ("words", pa.binary()), ("lengths", pa.binary())])
+_ASKED = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("lengths", pa.binary()),
+                    ("n", pa.binary()), ("t", pa.binary())])
+
+
+def _row(schema: pa.Schema, **x) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[f.name]], f.type) for f in schema], schema=schema)
+
+
+def _pack_strings(x: pa.Array) -> tuple[bytes, bytes]:
+    ends = np.frombuffer(x.buffers()[1], np.int32)[x.offset:x.offset + len(x) + 1]
+    return _pack(x.buffers()[2][ends[0]:ends[-1]].to_pybytes()), _pack(np.diff(ends))
+
+
+def _strings(data: bytes, lengths: bytes) -> pa.Array:
+    n = _numbers(lengths)
+    ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(_unpack(data))])
+
+
+def _chunk_row(chunk: int, docs: list, sizes: np.ndarray, target: list, words: pa.Array) -> pa.RecordBatch:
+    coded = words.dictionary_encode()
+    names = pa.concat_arrays([pa.array([START], pa.binary()), coded.dictionary])
+    hashes = np.fromiter(map(zlib.crc32, names.to_pylist()), np.uint32, len(names))
+    good = int(sizes[np.array(target, dtype=bool)].sum())
+    data, lengths = _pack_strings(names)
+    return _row(_CHUNKS, chunk=chunk, docs=docs, sizes=sizes.tolist(), target=target, targets=good,
+                ids=_pack(coded.indices.to_numpy().astype(np.int64) + 1), hashes=_pack(hashes), words=data, lengths=lengths)
+
+
+def chunks_of(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Numbered words of the documents (doc_id, text in bytes, target), a row a chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = TaskContext.get().partitionId() << 32, 0
+        ids, sizes, target, words = [], [], [], []
+        for b in batches:
+            # a batch is cut at every ``chunk`` bytes, so a piece has fewer words and one document more
+            piece = np.cumsum(pc.binary_length(b.column(1)).to_numpy().astype(np.int64)) // chunk
+            cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                w, n = _words(b.column(1).slice(lo, hi - lo))
+                ids += b.column(0).slice(lo, hi - lo).to_pylist()
+                target += b.column(2).slice(lo, hi - lo).to_pylist()
+                sizes.append(n)
+                words.append(w)
+                held += len(w) + hi - lo
+                if held >= chunk:
+                    yield _chunk_row(at, ids, np.concatenate(sizes), target, pa.concat_arrays(words))
+                    ids, sizes, target, words = [], [], [], []
+                    at, held = at + 1, 0
+        if ids:
+            yield _chunk_row(at, ids, np.concatenate(sizes), target, pa.concat_arrays(words))
+
+    return docs.mapInArrow(run, "chunk long, docs array<long>, sizes array<long>, target array<boolean>, targets long, "
+                                "ids binary, hashes binary, words binary, lengths binary")
+
+
+def ask(chunks: DataFrame, buckets: int) -> DataFrame:
+    """The keys of every chunk with its own counts, a row a bucket.
+
+    Keys: b"v w" a bigram, b"v " a context, b" w" a word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space = pa.scalar(b" ", pa.binary())
+        for b in batches:
+            for k in range(b.num_rows):
+                row = {f.name: b.column(i)[k].as_py() for i, f in enumerate(b.schema)}
+                sizes = np.array(row["sizes"], dtype=np.int64)
+                c = _Chunk(_numbers(row["ids"]), sizes, _numbers(row["hashes"]), buckets)
+                t = c.counts(np.repeat(np.array(row["target"], dtype=bool), sizes))
+                # the number after the last word's is nothing
+                names = pa.concat_arrays([_strings(row["words"], row["lengths"]), pa.array([b""], pa.binary())])
+                name, none = np.arange(c.size), np.full(c.size, c.size)
+                first, second = np.concatenate((none, name, c.before)), np.concatenate((name, none, c.after))
+                for g in np.flatnonzero(np.diff(c.ends)).tolist():
+                    x = c.asked[c.ends[g]:c.ends[g + 1]]
+                    keys, lengths = _pack_strings(pc.binary_join_element_wise(
+                        names.take(pa.array(first[x])), names.take(pa.array(second[x])), space))
+                    yield _row(_ASKED, chunk=row["chunk"], bucket=g, keys=keys, lengths=lengths, n=_pack(c.n[x]), t=_pack(t[x]))
+
+    return (chunks.select("chunk", "sizes", "target", "ids", "hashes", "words", "lengths")
+            .mapInArrow(run, "chunk long, bucket long, keys binary, lengths binary, n binary, t binary"))
+
+
+def _answer(asked: pa.Table) -> pa.Table:
+    """All rows of one bucket: its keys summed over the chunks, for each chunk in the order asked."""
+    parts = [_strings(k.as_py(), n.as_py()) for k, n in zip(asked.column("keys"), asked.column("lengths"))]
+    coded = pa.concat_arrays(parts).dictionary_encode()
+    at, cuts = coded.indices.to_numpy(), np.cumsum([len(p) for p in parts])[:-1]
+    words = pc.sum(pc.starts_with(coded.dictionary, b" ")).as_py()
+    out = {"chunk": asked.column("chunk").combine_chunks(), "bucket": asked.column("bucket").combine_chunks(),
+           "words": pa.array([words] * len(parts), pa.int64())}
+    for c in ("n", "t"):
+        asks = np.concatenate([_numbers(x.as_py()) for x in asked.column(c)])
+        # sums below 2^53: exact
+        total = np.bincount(at, asks, minlength=len(coded.dictionary)).astype(np.int64)
+        out[c] = pa.array([_pack(x) for x in np.split(total[at], cuts)], pa.binary())
+    return pa.table(out)
+
+
+def score_exact(docs: DataFrame, labels: DataFrame, mu: float = MU, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+    """Scores of all documents by models of all words and bigrams."""
+    scratch = Scratch(docs.sparkSession, "lm-scoring")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = size // bucket + 1
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    chunks = scratch.write(chunks_of(mark_target(text, labels, "doc_id").select(
+        "doc_id", "text", F.coalesce("target", F.lit(False))), chunk), "chunks")
+    scratch.release()
+    answers = scratch.write(ask(chunks, buckets).groupBy("bucket").applyInArrow(
+        _answer, "chunk long, bucket long, words long, n binary, t binary"), "answers")
+    scratch.release()
+    # three numbers: tokens of both corpora, and words
+    tokens = chunks.agg(F.sum("targets"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()
+    words = answers.groupBy("bucket").agg(F.max("words").alias("words")).agg(F.sum("words")).first()[0] or 0
+    totals = [x or 0 for x in tokens]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = {k: left.column(k)[0].as_py() for k in ("docs", "sizes", "ids", "hashes")}
+        sizes = np.array(row["sizes"], dtype=np.int64)
+        c = _Chunk(_numbers(row["ids"]), sizes, _numbers(row["hashes"]), buckets)
+        right = right.sort_by("bucket")
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        means = []
+        for k, total in zip(("t", "n"), totals):
+            counts = np.zeros(len(c.n))
+            if len(c.asked):
+                counts[c.asked] = np.concatenate([_numbers(x.as_py()) for x in right.column(k)])
+            base = (counts[c.after] + 1.0) / (total + words + 1)
+            loss = -np.log((counts[2 * c.size:] + mu * base) / (counts[c.size + c.before] + mu))
+            means.append(np.bincount(doc, loss[c.pair], minlength=len(sizes)) / np.maximum(sizes, 1))
+        a, b = means
+        return pa.table({"doc_id": pa.array(row["docs"], pa.int64()), "n_tokens": pa.array(sizes), "target_loss": pa.array(a),
+                         "background_loss": pa.array(b), "score": pa.array(a - b)})
+
+    return chunks.select("chunk", "docs", "sizes", "ids", "hashes").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+
+
+def mark_target(docs: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
     """text and ``target`` of every document: good quality and not toxic."""
     good = (labels.filter((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull())
             .select("doc_id").distinct().withColumn("target", F.lit(True)))
     # labels grow with the corpus: the same join at every size, never a broadcast
-    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select("text", "target")
+    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select(*more, "text", "target")
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocab_size: int = VOCAB_SIZE,
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocab_size: int | None = VOCAB_SIZE,
                              cells: int = CELLS, mu: float = MU) -> DataFrame:
-    """Vocabulary, both models and the scores of all documents."""
+    """Scores of all documents: exact, or by the bounded model when both bounds are given."""
+    if vocab_size is None and cells == CELLS:
+        return score_exact(docs, labels, mu)
+    if vocab_size is None or cells == CELLS:
+        raise ValueError("the bounded model needs vocab_size and cells")
     spark = docs.sparkSession
     vocab = vocabulary(docs, vocab_size)
     target, background = train(spark, mark_target(docs, labels), "target", vocab, cells, mu=mu)

@@ -204,6 +204,21 @@ def test_lm_query(spark):
         assert r.n_tokens == exp[r.doc_id][0] and abs(r.score - exp[r.doc_id][1]) < 1e-9
 
 
+@pytest.mark.parametrize("chunk,bucket", [(lm_scoring.CHUNK, lm_scoring.BUCKET), (40, 1 << 9)])
+def test_lm_counts_every_word_and_bigram(spark, edge_docs, edge_rows, no_docs, odd_docs, chunk, bucket):
+    """More words than 65,536 and more bigrams than 2^20: each has its own count, whatever the chunks."""
+    rows = [*edge_rows, *[(1000 + i, " ".join(f"w{i}x{k} w{k}" for k in range(1200))) for i in range(60 if chunk > 40 else 2)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(6, 1, 0), (9, 1, 0), (1001, 1, 0), (12, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    exp = _lm_brute(rows, {6, 9, 1001}, None, 2**64, lm_scoring.MU)
+    got = lm_scoring.score_exact(docs, labels, chunk=chunk, bucket=bucket).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    for r in got:
+        assert r.n_tokens == exp[r.doc_id][0] and abs(r.score - exp[r.doc_id][1]) < 1e-9
+    assert lm_scoring.cross_entropy_difference(no_docs, labels).collect() == []
+    assert lm_scoring.cross_entropy_difference(odd_docs, labels.limit(0)).count() == odd_docs.count()
+
+
 # -- quality classifier ----------------------------------------------------------------
 def test_classifier_held_out(spark):
     d = "/root/testdata/sf0.1"
