@@ -9,6 +9,11 @@ each item value stands for exactly one document value and the other way
 round.  A verbatim passage fills every slot with itself; a re-parameterised
 question renames its values one to one.
 
+A window with fewer than ``MIN_LITERALS`` literal tokens (number-dense, title-case
+or all-caps text, short items) says too little as a template; it counts where a
+document has its exact lower-cased values.  An item is found by enough of its
+windows of either kind, or of its template windows alone.
+
 Plan: the benchmark's window keys are written, so the planner knows their
 size: below ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and
 documents are filtered in the scan stage, beyond it Spark shuffles both
@@ -20,7 +25,10 @@ Defined results
   * null or empty text (document or item): no tokens, never matches;
   * null ids: the row cannot be named, it is not compared (``clean`` keeps it);
   * items shorter than ``WINDOW`` tokens: compared by one window of their
-    whole length if they have ``MIN_LITERALS`` literal tokens, else never;
+    whole length, so an item of one to three words is found wherever these
+    stand in a row;
+  * capitals differ between copies: windows that count by their values match,
+    template windows do not where a capital makes a name of a literal;
   * repeated documents or items: every (doc_id, item_id) pair once; rows
     that share a doc_id count as one document in the result;
   * empty tables: no pairs; extra columns are not read, and ``clean`` passes
@@ -63,16 +71,18 @@ def tokens(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     return t.select("id", "value", tmpl.alias("tmpl"))
 
 
-def windows(tok: DataFrame, lengths: list[int]) -> DataFrame:
-    """(id, key, pos) of every template window of the given lengths."""
-    t = tok.select("id", F.transform("tmpl", lambda x: F.xxhash64(x)).alias("h"))
-
-    def keys(n: int):
-        rolled = F.transform(F.slice("h", F.lit(1), F.size("h") - (n - 1)), lambda x, i: F.xxhash64(
-            F.lit(n), x, *[F.get(F.col("h"), i + k) for k in range(1, n)]))
-        return F.when(F.size("h") >= n, rolled).otherwise(F.array().cast("array<bigint>"))
+def windows(tok: DataFrame, lengths: list[int], exact: list[int] = ()) -> DataFrame:
+    """(id, key, pos) of every template window of the given lengths, and of
+    every window of lower-cased values of the lengths ``exact``."""
+    def keys(h: str, n: int, kind: int):
+        rolled = F.transform(F.slice(h, F.lit(1), F.size(h) - (n - 1)), lambda x, i: F.xxhash64(
+            F.lit(kind), x, *[F.get(F.col(h), i + k) for k in range(1, n)]))
+        return F.when(F.size(h) >= n, rolled).otherwise(F.array().cast("array<bigint>"))
 
-    parts = [t.select("id", F.posexplode(keys(n)).alias("pos", "key")) for n in lengths]
+    t = tok.select("id", F.transform("tmpl", lambda x: F.xxhash64(x)).alias("h"))
+    v = tok.select("id", F.transform("value", lambda x: F.xxhash64(F.lower(x))).alias("h"))
+    parts = [t.select("id", F.posexplode(keys("h", n, n)).alias("pos", "key")) for n in lengths]
+    parts += [v.select("id", F.posexplode(keys("h", n, -n)).alias("pos", "key")) for n in exact]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -84,19 +94,21 @@ def _is_slot(t):
 
 
 def _item_windows(bench: DataFrame) -> DataFrame:
-    """item_id, key, pos, len, n_windows of the windows with enough literals."""
+    """item_id, key, pos, len, exact, n_windows, n_templates of all windows;
+    those with too few literals are ``exact``."""
     n = F.size("tmpl")
-    b = bench.select("id", "tmpl", F.least(n, F.lit(WINDOW)).alias("len")).filter("len > 0")
+    b = bench.select("id", "tmpl", F.transform("value", F.lower).alias("value"), F.least(n, F.lit(WINDOW)).alias("len")).filter("len > 0")
     b = b.withColumn("pos", F.explode(F.sequence(F.lit(0), n - F.col("len"))))
     b = b.withColumn("win", F.slice("tmpl", F.col("pos") + 1, F.col("len")))
-    b = b.filter(F.size(F.filter("win", lambda t: ~_is_slot(t))) >= MIN_LITERALS)
-    # the same key as windows(): the length and the token hashes
+    b = b.withColumn("exact", F.size(F.filter("win", lambda t: ~_is_slot(t))) < MIN_LITERALS)
+    b = b.withColumn("win", F.when(F.col("exact"), F.slice("value", F.col("pos") + 1, F.col("len"))).otherwise(F.col("win")))
+    # the same key as windows(): the length, negative for values, and the token hashes
     key = F.lit(None).cast("bigint")
-    for k in range(MIN_LITERALS, WINDOW + 1):
-        key = F.when(F.col("len") == k, F.xxhash64(
-            F.lit(k), *[F.xxhash64(F.get(F.col("win"), i)) for i in range(k)])).otherwise(key)
-    b = b.select(F.col("id").alias("item_id"), key.alias("key"), "pos", "len").distinct()
-    per_item = b.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    for k in range(1, WINDOW + 1):
+        key = F.when(F.col("len") == k, F.xxhash64(F.when(F.col("exact"), F.lit(-k)).otherwise(F.lit(k)),
+                                                   *[F.xxhash64(F.get(F.col("win"), i)) for i in range(k)])).otherwise(key)
+    b = b.select(F.col("id").alias("item_id"), key.alias("key"), "pos", "len", "exact").distinct()
+    per_item = b.groupBy("item_id").agg(F.count("*").alias("n_windows"), F.count(F.when(~F.col("exact"), 1)).alias("n_templates"))
     return b.join(per_item, "item_id")
 
 
@@ -109,15 +121,16 @@ def find(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS)
     bench_tokens = scratch.write(tokens(benchmark, "item_id"), "items")
     iw = scratch.write(_item_windows(bench_tokens), "item-windows")
     keys = scratch.write(iw.select("key").distinct(), "keys")
-    # at most WINDOW - MIN_LITERALS + 1 values
-    lengths = sorted(r["len"] for r in iw.select("len").distinct().collect()) or [WINDOW]
-    hits = windows(tokens(docs, "doc_id"), lengths).join(keys, "key", "left_semi")
+    # at most 2 * WINDOW rows
+    found = sorted((r["len"], r["exact"]) for r in iw.select("len", "exact").distinct().collect()) or [(WINDOW, False)]
+    hits = windows(tokens(docs, "doc_id"), [n for n, e in found if not e], [n for n, e in found if e]).join(keys, "key", "left_semi")
     hits = scratch.write(hits.select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "key").distinct(), "hits")
     runs = (hits.join(iw, "key")
-            .groupBy("doc_id", "item_id", "n_windows", (F.col("at") - F.col("pos")).alias("shift"))
+            .groupBy("doc_id", "item_id", "n_windows", "n_templates", (F.col("at") - F.col("pos")).alias("shift"))
             .agg(F.countDistinct("pos").alias("n_matched"), F.min("pos").alias("lo"),
-                 F.max(F.col("pos") + F.col("len")).alias("hi"))
-            .filter(F.col("n_matched") >= F.least(F.col("n_windows"), F.lit(min_windows))))
+                 F.size(F.collect_set(F.when(~F.col("exact"), F.col("pos")))).alias("templates"), F.max(F.col("pos") + F.col("len")).alias("hi"))
+            .filter((F.col("n_matched") >= F.least(F.col("n_windows"), F.lit(min_windows)))
+                    | (F.col("n_templates") > 0) & (F.col("templates") >= F.least(F.col("n_templates"), F.lit(min_windows)))))
     runs = scratch.write(runs, "runs")
     # words of the matched stretches
     per_doc = runs.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(

@@ -95,6 +95,34 @@ def test_decontamination(spark, benchmark, odd_docs, no_docs):
     del broken
 
 
+DENSE = ["Compute 12 + 7 - 3 * 4 / 2 = 20", "THE QUICK BROWN FOX JUMPS OVER THE LAZY DOG AND RUNS FAR AWAY", "What is 12 + 7?",
+         "The Old Man And The Sea Was Written By Ernest Hemingway", "Mitochondria", "Who wrote Hamlet?", "2 km 3 km 5 km 7 km 11 km 13 km"]
+
+
+def test_decontamination_few_literals(spark):
+    """Number-dense, all-caps, title-case and short items are found in verbatim copies, and only there."""
+    bench = spark.createDataFrame(list(enumerate(DENSE)), "item_id long, text string")
+    docs = [(i, f"We read here: {t} And then it goes on.") for i, t in enumerate(DENSE)]
+    docs += [(10 + i, f"we read here {t.lower()} and then") for i, t in enumerate(DENSE)]
+    docs += [(20, "Compute 13 + 8 - 4 * 5 / 3 = 21"), (21, "What is 13 + 8?"), (22, "A SLOW GREEN CAT JUMPS UNDER SOME OTHER DOG BUT STAYS"),
+             (23, "2 km 3 km 5 km 8 km 12 km 14 km"), (24, "Who wrote Macbeth?")]
+    df = spark.createDataFrame([(i, t, *[None] * 3, *["z"] * 19) for i, t in docs], SCHEMA)
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find(df, bench).collect()}
+    assert set(got) == {(d + i, i) for i in range(len(DENSE)) for d in (0, 10)}
+    assert all(r.changed == 0 and r.n_matched >= min(r.n_windows, decontamination.MIN_WINDOWS) for r in got.values())
+    assert {r.doc_id for r in decontamination.clean(df, bench).collect()} == {20, 21, 22, 23, 24}
+
+
+def test_decontamination_template_beside_dense(spark):
+    """An item with template windows and dense ones: found re-parameterised, and by its dense part alone."""
+    item = "please add up all of the numbers here now 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15"
+    other = item.replace("15", "99").replace(" 2 ", " 77 ")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item), (2, other), (3, "so 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 end"), (4, "1 2 3 5 8 13 21 34 55 89 144 233 377")],
+                                 "doc_id long, text string")
+    assert {r.doc_id: r.changed for r in decontamination.find(docs, bench).collect()} == {1: 0, 2: 1, 3: 0}
+
+
 # -- URL reputation -----------------------------------------------------------------
 def test_url_rules_and_reputation(spark):
     urls = [None, "", "no scheme", "http://Example.COM/en/x?q#f", "https://www.example.com/en/1", "https://a.example.com/de/",
