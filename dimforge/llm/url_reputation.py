@@ -15,6 +15,11 @@ reduces a host that holds a third of all pages to one row per task).  The
 per-host result is written once, so that the final join has plain shuffles
 on both sides and Spark may broadcast or split it by measured size.
 
+The suffix is the host's last label, or its last two where ``SUFFIXES`` names
+them (a fixed table: suffixes beyond it count by their last label); the
+registered domain has one label more.  A port belongs to the host, not to its
+domain and suffix.
+
 Defined results
   * null url, or one without ``://``: host and path are empty, no rule fits;
     such pages form the host ``''`` and share its reputation;
@@ -42,6 +47,15 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
+#: Two-label public suffixes; any other host's suffix is its last label.
+SUFFIXES = tuple(f"{second}.{top}" for top, seconds in (
+    ("uk", "co org ac gov me net ltd plc sch nhs"), ("au", "com net org edu gov id asn"), ("nz", "co net org ac govt school"),
+    ("jp", "co ne or ac go ad ed gr lg"), ("kr", "co ne or ac go re pe"), ("in", "co net org ac gov gen firm ind"),
+    ("za", "co net org ac gov web"), ("br", "com net org edu gov"), ("ar", "com net org edu gob"), ("mx", "com net org edu gob"),
+    ("co", "com net org edu gov"), ("cn", "com net org edu gov ac"), ("tw", "com net org edu gov"), ("hk", "com net org edu gov"),
+    ("sg", "com net org edu gov"), ("my", "com net org edu gov"), ("tr", "com net org edu gov"), ("il", "co net org ac gov"),
+    ("id", "co net or ac go web"), ("th", "co net or ac go in"), ("ua", "com net org edu gov"), ("pl", "com net org edu gov"),
+) for second in seconds.split())
 LIMIT = 0.5
 Z = 1.6448536269514722  # one-sided 95 %
 MIN_STRENGTH, MAX_STRENGTH = 1.0, 1000.0
@@ -53,9 +67,11 @@ def split_url(pages: DataFrame) -> DataFrame:
     host = ascii_lower(F.regexp_extract(url, r"://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1)
     return (pages.select("page_id", host.alias("host"), path.alias("path"))
+            .withColumn("name", F.regexp_replace("host", r":[0-9]*$", ""))
+            .withColumn("two", F.substring_index("name", ".", -2))
             .select("page_id", "host", "path",
-                    F.substring_index("host", ".", -2).alias("domain"),
-                    F.substring_index("host", ".", -1).alias("suffix")))
+                    F.when(F.col("two").isin(*SUFFIXES), F.substring_index("name", ".", -3)).otherwise(F.col("two")).alias("domain"),
+                    F.when(F.col("two").isin(*SUFFIXES), F.col("two")).otherwise(F.substring_index("name", ".", -1)).alias("suffix")))
 
 
 def match_rule(rules=RULES) -> tuple[Column, Column]:

@@ -144,6 +144,14 @@ def test_url_rules_and_reputation(spark):
     assert url_reputation.judge(p, lab).count() == len(pages)
 
 
+def test_url_suffixes(spark):
+    hosts = {"a.co.uk": ("a.co.uk", "co.uk"), "www.b.com.au:8080": ("b.com.au", "com.au"), "co.uk": ("co.uk", "co.uk"),
+             "x.example.com:8080": ("example.com", "com"), "example.com": ("example.com", "com"), "localhost:80": ("localhost", "localhost")}
+    urls = spark.createDataFrame([(i, f"http://{h}/p") for i, h in enumerate(hosts)], "page_id long, url string")
+    got = {r.host: (r.domain, r.suffix) for r in url_reputation.split_url(urls).collect()}
+    assert got == hosts
+
+
 # -- HTML ------------------------------------------------------------------------------
 MARKED = ('<html><body class="has-sidebar"><header>H</header><nav><ul><li>m</ul></nav><div class="ad">buy</div>'
           '<article><h1>T &eacute;&nbsp; &amp; a</h1><div id="cookie-notice">no</div><p>a<b>b</b> c<p>d<br>e<form>f<input></form>'
