@@ -6,6 +6,7 @@ from dimforge.llm import (
     bpe,
     decontamination,
     html_extraction,
+    lexical_search,
     lm_scoring,
     quality_classifier,
     quality_rules,
@@ -13,6 +14,8 @@ from dimforge.llm import (
     substring_dedup,
     suffix_dedup,
     url_reputation,
+    warc,
+    whitening,
 )
 
 QUERIES = {
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
+    "op12_warc": warc.op12_warc,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
 #: Those that SQL can express; the others are tested against brute force.
@@ -34,4 +40,6 @@ ORACLE = {
     "op3_benchmark_decontamination": decontamination.ORACLE_SQL,
     "op4_url_filters": url_reputation.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_lexical_search": lexical_search.ORACLE_SQL,
+    "op12_warc": warc.ORACLE_SQL,
 }
