@@ -90,6 +90,17 @@ def keep_matching(fact: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFr
     return _semi_anti(fact, keys, on, "left_semi")
 
 
+def keep_matching_where(fact: DataFrame, dim: DataFrame, on: Sequence[str], dim_on: Sequence[str], where: Column | str) -> DataFrame:
+    """Rows whose ``on`` tuple occurs in the rows of ``dim`` that satisfy ``where``.
+
+    The dimension is joined as it is stored, with its filter, so that Spark
+    can make a runtime Bloom filter of it (``session.runtime_filters``): fact rows without
+    a match are dropped in the scan stage, before the shuffle.  For dimensions too
+    large to broadcast."""
+    keys = dim.where(F.expr(where) if isinstance(where, str) else where).select(*dim_on)
+    return _semi_anti(fact, keys, on, "left_semi")
+
+
 def keep_missing(fact: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose ``on`` tuple does not occur in ``keys`` (NULL keys included)."""
     return _semi_anti(fact, keys, on, "left_anti")

@@ -27,6 +27,7 @@ class Warehouse:
         self.st = staged(spark, data_dir)
         self.mode = mode
         self._cache: dict[str, W.Built] = {}
+        self._keys: W.Keys | None = None
 
     def get(self, name: str) -> W.Built:
         if name not in self._cache:
@@ -39,21 +40,23 @@ class Warehouse:
             return W.transform_company(st["company"], mode=m)
         if name == "dim_people":
             return W.transform_people(st["people"], mode=m)
-        company = self.get("dim_company").valid
+        company, people = self.get("dim_company").valid, self.get("dim_people").valid
+        if self._keys is None:
+            self._keys = W.Keys(company, people, m)
+        k = self._keys
         if name == "dim_milestones":
-            return W.transform_milestones(st["milestones"], company, mode=m)
+            return W.transform_milestones(st["milestones"], company, mode=m, keys=k)
         if name == "fact_acquisition":
-            return W.transform_acquisition(st["acquisition"], company, mode=m)
+            return W.transform_acquisition(st["acquisition"], company, mode=m, keys=k)
         if name == "fact_ipo":
-            return W.transform_ipo(st["ipo"], company, mode=m)
-        people = self.get("dim_people").valid
+            return W.transform_ipo(st["ipo"], company, mode=m, keys=k)
         if name == "dim_funding_rounds":
-            return W.transform_funding_rounds(st["funding_rounds"], company, people, mode=m)
+            return W.transform_funding_rounds(st["funding_rounds"], company, people, mode=m, keys=k)
         if name == "fact_relationship":
-            return W.transform_relationship(st["relationship"], company, people, mode=m)
+            return W.transform_relationship(st["relationship"], company, people, mode=m, keys=k)
         if name == "fact_investments":
             rounds = self.get("dim_funding_rounds").valid
-            return W.transform_investments(st["investments"], company, people, rounds, mode=m)
+            return W.transform_investments(st["investments"], company, people, rounds, mode=m, keys=k)
         if name == "dim_funds":
             return W.transform_funds(st["funds"], mode=m)
         raise KeyError(name)

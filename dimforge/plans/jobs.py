@@ -24,8 +24,8 @@ Robustness and cost:
   load, so a run that dies changes no table that readers see; re-running it
   gives the same tables.  Staging is overwritten in place (stage again after
   a failure), and log and quarantine rows are appended by every run.
-* Rows whose key is NULL or repeated are never merged; they go to
-  ``quarantine_keys/<table>`` with the reason.
+* Rows whose key is NULL or repeated, and rows that break a declared constraint,
+  are never merged; they go to ``quarantine_keys/<table>`` with the reason.
 * Independent writes are submitted concurrently (Spark runs jobs from
   several threads of one application side by side), so small tables do
   not leave cores idle.
@@ -41,15 +41,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dimforge.operators.enforce import declared
 from dimforge.operators.profile import profile
 from dimforge.plans import warehouse as W
 from dimforge.plans.fixtures import STAGED, staged
 from dimforge.schemas import DEFAULT_NOW
 from dimforge.sinks import tables as T
+from dimforge.sources.catalog import extract_catalog, register
 from dimforge.sources.jdbc import extract_all
 
 STAGED_NAMES = tuple(STAGED)
@@ -74,14 +77,17 @@ def _run_parallel(fns: list[Callable[[], object]], workers: int = PARALLEL_WRITE
 
 
 # ------------------------------------------------------------------ T10 staging
-def stage_all(spark: SparkSession, data_dir: str, staging_root: str, log_path: str | None = None) -> dict[str, int]:
+def stage_all(spark: SparkSession, data_dir: str, staging_root: str, log_path: str | None = None,
+              database: str | None = None) -> dict[str, int]:
+    """Write the staged relations; with ``database`` they are tables of it (their files stay under the root)."""
     counts: dict[str, int] = {}
     failed: dict[str, str] = {}
     with T.RunLog(spark, log_path) as log:
         def one(name: str, df: DataFrame):
             path = f"{staging_root.rstrip('/')}/{name}"
             try:
-                _, counts[name] = _observed_write(df, lambda d: T.write_table(d, path), f"stage_{name}")
+                _, counts[name] = _observed_write(
+                    df, lambda d: register(d, database, name, path) if database else T.write_table(d, path), f"stage_{name}")
                 log.add(step="Load Staging", status="Success", source="Staging", table_name=name)
             except Exception as e:  # noqa: BLE001  (one table's failure does not stop the others)
                 log.add(step="Load Staging", status=f"Failed: {e}", source="Staging", table_name=name)
@@ -92,10 +98,14 @@ def stage_all(spark: SparkSession, data_dir: str, staging_root: str, log_path: s
     return counts
 
 
-def read_staged(spark: SparkSession, staging_root: str, log: T.RunLog | None = None) -> dict[str, DataFrame]:
+def read_staged(spark: SparkSession, staging_root: str, log: T.RunLog | None = None,
+                database: str | None = None) -> dict[str, DataFrame]:
+    """The staged relations: those that ``database`` lists, or else the known names under the root."""
     def on_error(name, e):
         if log:
             log.add(step="Extract", status=f"Failed: {e}", source="staging", table_name=name)
+    if database:
+        return extract_catalog(spark, database, on_error)
     return extract_all(STAGED_NAMES, lambda n: T.read_parquet_checked(spark, f"{staging_root.rstrip('/')}/{n}"),
                        on_error)
 
@@ -129,14 +139,20 @@ def profile_all(spark: SparkSession, staging_root: str, out_dir: str, log_path:
             raise RuntimeError("no staged relation could be profiled; see the run log")
         prof = spark.read.parquet(*[f"{out}/profile/{n}" for n in tables if n in done])
         T.write_profile_json(prof, f"{out}/json", person=person)
+        T.write_profile_json(prof, f"{out}/documents", person=person, per_table=True)
     return prof
 
 
 # ------------------------------------------------------------------ T12 warehouse
 def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str, mode: str = "compat",
-                    log_path: str | None = None) -> dict[str, int]:
+                    log_path: str | None = None, enforce: bool = True) -> dict[str, int]:
     """Build and merge all nine warehouse tables; returns the rows merged per
-    table plus ``quarantine_<table>`` counts."""
+    table plus ``quarantine_<table>`` counts.
+
+    ``enforce``: rows that break a constraint the schema declares (NOT NULL,
+    length, numeric range, uniqueness in the batch and against the table) go to ``quarantine_keys/<table>``
+    with the names of those they break, before the merge.  The declared foreign keys
+    are what the transforms check, against the same loaded tables."""
     root = warehouse_root.rstrip("/")
     run_id = uuid.uuid4().hex
     counts: dict[str, int] = {}
@@ -158,8 +174,10 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
                 valid = built.to_valid(classified)
                 defaults = {c: F.current_timestamp().cast("timestamp_ntz") for c in ("created_at", "updated_at")
                             if t in DEFAULT_NOW and c not in valid.columns}
-                _, counts[t] = _observed_write(
-                    valid, lambda d: T.upsert(d, path, built.key, defaults, f"{root}/quarantine_keys/{t}"), t)
+                rules = replace(declared(t, built.key, mode), foreign=()) if enforce else None
+                merged = Observation(f"{t}_{uuid.uuid4().hex[:8]}")
+                T.upsert(valid, path, built.key, defaults, f"{root}/quarantine_keys/{t}", rules, counted=merged)
+                counts[t] = int(merged.get.get("rows", 0))
                 log.add(step="Load to DWH", status="Success", source="transformed data", table_name=t)
             except Exception as e:  # noqa: BLE001
                 log.add(step="Load to DWH", status=f"Failed - {e}", source="transformed data", table_name=t)
@@ -180,16 +198,18 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
             lambda: load(W.transform_people(st["people"], mode=mode)),
             lambda: load(W.transform_funds(st["funds"], mode=mode))])[:2]
 
+        keys = W.Keys(company, people, mode)   # written once for all checks of this load
+
         def rounds_then_investments() -> None:   # investments reference the written rounds
-            rounds = load(W.transform_funding_rounds(st["funding_rounds"], company, people, mode=mode))
-            load(W.transform_investments(st["investments"], company, people, rounds, mode=mode))
+            rounds = load(W.transform_funding_rounds(st["funding_rounds"], company, people, mode=mode, keys=keys))
+            load(W.transform_investments(st["investments"], company, people, rounds, mode=mode, keys=keys))
 
         _run_parallel([
             rounds_then_investments,
-            lambda: load(W.transform_milestones(st["milestones"], company, mode=mode)),
-            lambda: load(W.transform_acquisition(st["acquisition"], company, mode=mode)),
-            lambda: load(W.transform_relationship(st["relationship"], company, people, mode=mode)),
-            lambda: load(W.transform_ipo(st["ipo"], company, mode=mode))])
+            lambda: load(W.transform_milestones(st["milestones"], company, mode=mode, keys=keys)),
+            lambda: load(W.transform_acquisition(st["acquisition"], company, mode=mode, keys=keys)),
+            lambda: load(W.transform_relationship(st["relationship"], company, people, mode=mode, keys=keys)),
+            lambda: load(W.transform_ipo(st["ipo"], company, mode=mode, keys=keys))])
     return counts
 
 

@@ -15,6 +15,7 @@ record id, then the remaining columns (see ``operators.dedupe``).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from dimforge import functions as X
 from dimforge.operators.cleaning import blank_to_null, drop_null_rows, fill_defaults
 from dimforge.operators.dedupe import keep_one
-from dimforge.operators.refcheck import flag_matches, key_set, lookup, quarantine, typed_key_set, written
+from dimforge.operators.refcheck import flag_matches, key_set, lookup, quarantine, written
 
 
 def _same(df: DataFrame) -> DataFrame:
@@ -56,23 +57,49 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be 'compat' or 'strict', not {mode!r}")
 
 
-def _entity_keys(company: DataFrame, people: DataFrame, mode: str) -> DataFrame:
-    """``(entity_type, object_id)`` of known entities.  compat: every company
-    counts as type ``c`` and every person as ``p`` (whatever their own
-    prefix); strict: each keeps its own prefix."""
-    if mode == "compat":
-        return typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
-    both = (company.select(F.col("company_entity_type").alias("entity_type"),
-                           F.col("company_object_id").alias("object_id"))
-            .unionByName(people.select(F.col("people_entity_type").alias("entity_type"),
-                                       F.col("people_object_id").alias("object_id"))))
-    return key_set(both, "entity_type", "object_id")
+class Keys:
+    """The key sets of the two entity dimensions, each written once however
+    many checks use it (transforms of one load share an instance)."""
+
+    def __init__(self, company: DataFrame, people: DataFrame | None = None, mode: str = "compat"):
+        self._dims = {"company": company, "people": people}
+        self.mode = mode
+        self._made: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
+
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        with self._lock:
+            if name not in self._made:
+                self._made[name] = make()
+            return self._made[name]
+
+    def _of(self, dim: str) -> DataFrame:
+        cols = [f"{dim}_object_id"] if self.mode == "compat" else [f"{dim}_entity_type", f"{dim}_object_id"]
+        return self._once(dim, lambda: key_set(self._dims[dim], *cols))
+
+    def company(self) -> DataFrame:
+        """compat: company ids; strict: typed company ids."""
+        return self._of("company")
+
+    def people(self) -> DataFrame:
+        return self._of("people")
 
+    def entities(self) -> DataFrame:
+        """``(entity_type, object_id)`` of known entities, distinct.  compat:
+        every company counts as type ``c`` and every person as ``p`` (whatever
+        their own prefix), so the two written sets never meet; strict: each keeps
+        its own prefix."""
+        if self.mode == "compat":
+            parts = [keys.select(F.lit(t).alias("entity_type"), F.col(keys.columns[0]).cast("int").alias("object_id"))
+                     for t, keys in (("c", self.company()), ("p", self.people()))]
+            return parts[0].unionByName(parts[1])
+        both = self.company().toDF("entity_type", "object_id").unionByName(self.people().toDF("entity_type", "object_id"))
+        return self._once("entities", lambda: key_set(both, "entity_type", "object_id"))
 
-def _company_keys(company: DataFrame, mode: str, with_type: bool) -> DataFrame:
-    if mode == "strict" or with_type:
-        return key_set(company, "company_entity_type", "company_object_id")
-    return key_set(company, "company_object_id")
+    def types_by_id(self) -> DataFrame:
+        """``(object_id, has_c, has_p)``: which types a bare id has (compat)."""
+        return self._once("types_by_id", lambda: written(self.entities().groupBy("object_id").agg(
+            F.max(F.col("entity_type") == "c").alias("has_c"), F.max(F.col("entity_type") == "p").alias("has_p"))))
 
 
 # ---------------------------------------------------------------- T1 company
@@ -134,7 +161,7 @@ def transform_people(df: DataFrame, company: DataFrame | None = None, mode: str
         return Built("dim_people", d, "people_id")
     # optional: people must also be known companies (by id)
     on = ["people_object_id"] if mode == "compat" else ["people_entity_type", "people_object_id"]
-    flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
+    flagged = flag_matches(d, Keys(company, mode=mode).company(), on, "in_company")
     return Built("dim_people", flagged, "people_id",
                  lambda c: c.where("in_company").drop("in_company"),
                  lambda c: quarantine(c.where(~F.col("in_company")), "people", "people_id", "people_entity_type",
@@ -164,11 +191,12 @@ def milestones_prepared(df: DataFrame) -> DataFrame:
     return d.where(F.col("milestone_object_id").isNotNull())
 
 
-def transform_milestones(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
+def transform_milestones(df: DataFrame, company: DataFrame, mode: str = "compat",
+                         keys: Keys | None = None) -> Built:
     _check_mode(mode)
     d = milestones_prepared(df)
     on = ["milestone_object_id"] if mode == "compat" else ["milestone_entity_type", "milestone_object_id"]
-    flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
+    flagged = flag_matches(d, (keys or Keys(company, mode=mode)).company(), on, "in_company")
     return Built("dim_milestones", flagged, "milestone_id",
                  lambda c: c.where("in_company").drop("in_company"),
                  lambda c: quarantine(c.where(~F.col("in_company")), "milestones", "milestone_id",
@@ -198,16 +226,17 @@ def _acquisition_clean(df: DataFrame) -> DataFrame:
     return drop_null_rows(d, ["acquired_at"])
 
 
-def transform_acquisition(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
+def transform_acquisition(df: DataFrame, company: DataFrame, mode: str = "compat",
+                          keys: Keys | None = None) -> Built:
     _check_mode(mode)
     d = _acquisition_clean(df)
-    keys = _company_keys(company, mode, False)
+    known = (keys or Keys(company, mode=mode)).company()
     if mode == "compat":
         on_a, on_b = ["acquiring_object_id"], ["acquired_object_id"]
     else:
         on_a = ["acquiring_entity_type", "acquiring_object_id"]
         on_b = ["acquired_entity_type", "acquired_object_id"]
-    flagged = flag_matches(flag_matches(d, keys, on_a, "acquiring_ok"), keys, on_b, "acquired_ok")
+    flagged = flag_matches(flag_matches(d, known, on_a, "acquiring_ok"), known, on_b, "acquired_ok")
     ok = F.col("acquiring_ok") & F.col("acquired_ok")
 
     def to_valid(c: DataFrame) -> DataFrame:
@@ -257,11 +286,11 @@ def _rounds_clean(df: DataFrame, mode: str = "compat") -> DataFrame:
 
 
 def transform_funding_rounds(df: DataFrame, company: DataFrame, people: DataFrame,
-                             mode: str = "compat") -> Built:
+                             mode: str = "compat", keys: Keys | None = None) -> Built:
     _check_mode(mode)
     d = _rounds_clean(df, mode)
-    keys = _entity_keys(company, people, mode)
-    flagged = flag_matches(d, keys, ["funding_entity_type", "funding_object_id"], "entity_ok")
+    known = (keys or Keys(company, people, mode)).entities()
+    flagged = flag_matches(d, known, ["funding_entity_type", "funding_object_id"], "entity_ok")
 
     def to_quarantine(c: DataFrame) -> DataFrame:
         reason = F.concat(F.lit("no match in "),
@@ -294,18 +323,16 @@ def relationship_prepared(df: DataFrame) -> DataFrame:
 
 
 def transform_relationship(df: DataFrame, company: DataFrame, people: DataFrame,
-                           mode: str = "compat") -> Built:
+                           mode: str = "compat", keys: Keys | None = None) -> Built:
     _check_mode(mode)
     d = relationship_prepared(df)
+    keys = keys or Keys(company, people, mode)
     if mode == "compat":
-        p_keys, p_on = key_set(people, "people_object_id"), ["people_object_id"]
-        c_keys, c_on = key_set(company, "company_object_id"), ["relationship_object_id"]
+        p_on, c_on = ["people_object_id"], ["relationship_object_id"]
     else:
-        p_keys = key_set(people, "people_entity_type", "people_object_id")
         p_on = ["people_entity_type", "people_object_id"]
-        c_keys = key_set(company, "company_entity_type", "company_object_id")
         c_on = ["relationship_entity_type", "relationship_object_id"]
-    flagged = flag_matches(flag_matches(d, p_keys, p_on, "person_ok"), c_keys, c_on, "company_ok")
+    flagged = flag_matches(flag_matches(d, keys.people(), p_on, "person_ok"), keys.company(), c_on, "company_ok")
     ok = F.col("person_ok") & F.col("company_ok")
 
     def to_valid(c: DataFrame) -> DataFrame:
@@ -353,12 +380,13 @@ def ipo_prepared(df: DataFrame, mode: str = "compat") -> DataFrame:
     return keep_one(d, ["ipo_id"], [F.col("updated_at")])
 
 
-def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat") -> Built:
+def transform_ipo(df: DataFrame, company: DataFrame, mode: str = "compat",
+                  keys: Keys | None = None) -> Built:
     _check_mode(mode)
     d = ipo_prepared(df, mode)
     is_company = F.coalesce(F.col("ipo_entity_type") == "c", F.lit(False))
     on = ["ipo_object_id"] if mode == "compat" else ["ipo_entity_type", "ipo_object_id"]
-    flagged = flag_matches(d, _company_keys(company, mode, False), on, "in_company")
+    flagged = flag_matches(d, (keys or Keys(company, mode=mode)).company(), on, "in_company")
     ok = is_company & F.col("in_company")
 
     def to_quarantine(c: DataFrame) -> DataFrame:
@@ -384,15 +412,11 @@ def investments_prepared(df: DataFrame) -> DataFrame:
     return d
 
 
-def resolve_funded_type(d: DataFrame, company: DataFrame, people: DataFrame) -> DataFrame:
+def resolve_funded_type(d: DataFrame, company: DataFrame, people: DataFrame, keys: Keys | None = None) -> DataFrame:
     """Compat rule for the funded side: look the bare id up in companies and
     people; a company match wins.  Adds ``funded_entity_type`` (NULL when
     neither matches) — one join against the combined key set."""
-    typed = typed_key_set(c=(company, "company_object_id"), p=(people, "people_object_id"))
-    by_id = typed.groupBy("object_id").agg(
-        F.max(F.col("entity_type") == "c").alias("has_c"),
-        F.max(F.col("entity_type") == "p").alias("has_p"))
-    by_id = written(by_id)
+    by_id = (keys or Keys(company, people)).types_by_id()
     d = lookup(d, by_id, ["funded_object_id"], ["has_c", "has_p"])
     return (d.withColumn("funded_entity_type",
                          F.when(F.col("has_c"), F.lit("c")).when(F.col("has_p"), F.lit("p")))
@@ -400,12 +424,13 @@ def resolve_funded_type(d: DataFrame, company: DataFrame, people: DataFrame) ->
 
 
 def transform_investments(df: DataFrame, company: DataFrame, people: DataFrame, rounds: DataFrame,
-                          mode: str = "compat") -> Built:
+                          mode: str = "compat", keys: Keys | None = None) -> Built:
     _check_mode(mode)
     d = investments_prepared(df)
-    typed = _entity_keys(company, people, mode)
+    keys = keys or Keys(company, people, mode)
+    typed = keys.entities()
     if mode == "compat":
-        d = resolve_funded_type(d, company, people)
+        d = resolve_funded_type(d, company, people, keys)
         d = d.withColumn("funded_ok", F.col("funded_entity_type").isNotNull())
     else:
         d = d.withColumn("funded_entity_type", F.col("funded_prefix"))

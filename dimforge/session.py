@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +44,29 @@ def get_session(master: str | None = None, app: str = "dimforge",
     return spark
 
 
+@contextmanager
+def runtime_filters(spark: SparkSession, fact_at_least: str = "10GB", keys_at_most: str = "1GB"):
+    """Actions inside run with Spark's runtime Bloom filters on joins.
+
+    Where a join shuffles both sides, the fact is at least ``fact_at_least``
+    in size and the (filtered) key side at most ``keys_at_most``, Spark builds a Bloom
+    filter of the keys first and drops fact rows without a match before they
+    are shuffled.  Key sides below the broadcast threshold need none of this."""
+    names = {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": fact_at_least,
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": keys_at_most,
+    }
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
     d = spark.conf.get("spark.checkpoint.dir", None)

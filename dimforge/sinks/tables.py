@@ -16,9 +16,10 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dimforge.operators.enforce import Constraints, classify, split_violations
 from dimforge.operators.refcheck import quarantine
 from dimforge.operators.upsert import merge, split_incoming
 
@@ -104,29 +105,49 @@ def write_version(df: DataFrame, path: str) -> str:
 
 
 # ------------------------------------------------------------------ K2 keyed upsert
+def accepted(incoming: DataFrame, table: str, key: str, quarantine_path: str | None = None,
+             constraints: Constraints | None = None, target: DataFrame | None = None,
+             refs: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The rows of a batch that may be merged: those that keep the declared
+    ``constraints`` (``operators.enforce``), one per non-NULL key
+    (``operators.upsert.split_incoming``).  All others are appended to
+    ``quarantine_path`` with their key and reason."""
+    if key not in incoming.columns:
+        raise ValueError(f"upsert: key column {key!r} is missing from the input")
+    rejected = []
+    if constraints is not None:
+        incoming, broken = split_violations(classify(incoming, constraints, key, target, refs))
+        rejected.append(broken)
+    unique, repeated = split_incoming(incoming, key)
+    if quarantine_path:
+        out = [quarantine(r, table, key, None, None, reason=F.col("reason")) for r in [*rejected, repeated]]
+        append_quarantine(out[0] if len(out) == 1 else out[0].unionByName(out[1]), quarantine_path)
+    return unique
+
+
+def with_defaults(new: DataFrame, defaults: Mapping[str, Column] | None) -> DataFrame:
+    """The first rows of a table: columns they lack take their default."""
+    for c, v in (defaults or {}).items():
+        if c not in new.columns:
+            new = new.withColumn(c, v)
+    return new
+
+
 def upsert(incoming: DataFrame, path: str, key: str,
-           defaults: Mapping[str, Column] | None = None, quarantine_path: str | None = None) -> str:
+           defaults: Mapping[str, Column] | None = None, quarantine_path: str | None = None,
+           constraints: Constraints | None = None, refs: Mapping[str, DataFrame] | None = None,
+           counted: Observation | None = None) -> str:
     """Merge ``incoming`` into the versioned table at ``path`` on ``key``;
     returns the new version's folder.
 
-    A merge needs one incoming row per non-NULL key, so the input is always
-    split first (``operators.upsert.split_incoming``).  Rejected rows are
-    appended to ``quarantine_path`` with their key and reason; re-running the
-    same batch therefore gives the same table."""
-    if key not in incoming.columns:
-        raise ValueError(f"upsert: key column {key!r} is missing from the input")
+    Only the ``accepted`` rows are merged, so re-running the same batch gives
+    the same table.  ``counted`` gets their number (``rows``) from the write itself."""
     spark = incoming.sparkSession
-    unique, rejected = split_incoming(incoming, key)
-    if quarantine_path:
-        table = path.rstrip("/").rpartition("/")[2]
-        append_quarantine(quarantine(rejected, table, key, None, None, reason=F.col("reason")), quarantine_path)
-    if committed_versions(spark, path):
-        merged = merge(read_table(spark, path), unique, key, defaults)
-    else:
-        merged = unique
-        for c, v in (defaults or {}).items():
-            if c not in merged.columns:
-                merged = merged.withColumn(c, v)
+    target = read_table(spark, path) if committed_versions(spark, path) else None
+    unique = accepted(incoming, path.rstrip("/").rpartition("/")[2], key, quarantine_path, constraints, target, refs)
+    if counted is not None:
+        unique = unique.observe(counted, F.count(F.lit(1)).alias("rows"))
+    merged = with_defaults(unique, defaults) if target is None else merge(target, unique, key, defaults)
     return write_version(merged, path)
 
 
@@ -212,6 +233,28 @@ def profile_document(profile: DataFrame, person: str, fmt: str) -> DataFrame:
          .alias("profiling_result"))
 
 
-def write_profile_json(profile: DataFrame, path: str, person: str = "", fmt: str = "from Staging") -> None:
-    """One JSON line per profiled table under ``path``."""
-    profile_document(profile, person, fmt).coalesce(1).write.mode("overwrite").json(path)
+def write_profile_json(profile: DataFrame, path: str, person: str = "", fmt: str = "from Staging",
+                       per_table: bool = False) -> None:
+    """One JSON line per profiled table under ``path``; ``per_table`` gives
+    each table its own document, ``path/table=<name>/part-*.json``."""
+    docs = profile_document(profile, person, fmt)
+    if per_table:
+        docs = docs.withColumn("table", F.col("profiling_result.table_name"))
+        docs.repartition("table").write.mode("overwrite").partitionBy("table").json(path)
+    else:
+        docs.coalesce(1).write.mode("overwrite").json(path)
+
+
+#: Layout of the documents, for reading them back.
+PROFILE_DOCUMENT_DDL = (
+    "created_at string, person_in_charge string, profiling_result struct<table_name: string, format_file: string, n_rows: bigint, "
+    "n_cols: int, report: map<string, struct<data_type: string, sample_values: array<string>, unique_count: bigint, "
+    "unique_value: array<string>, null_count: bigint, percentage_missing_value: double, min_value: string, max_value: string, "
+    "percentage_valid_date: double>>>, `table` string")
+
+
+def read_profile_json(spark: SparkSession, path: str) -> DataFrame:
+    """The documents under ``path`` as one row per table and column."""
+    docs = spark.read.schema(PROFILE_DOCUMENT_DDL).json(path).select("profiling_result.*")
+    return docs.select("table_name", "format_file", "n_rows", "n_cols", F.explode("report").alias("column_name", "s")) \
+        .select("table_name", "format_file", "n_rows", "n_cols", "column_name", "s.*")

@@ -19,3 +19,7 @@ ORACLE.update(OPS)
 from oracle.strict import STRICT  # noqa: E402
 
 ORACLE.update(STRICT)
+
+from oracle.load import LOAD  # noqa: E402
+
+ORACLE.update(LOAD)
