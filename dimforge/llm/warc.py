@@ -189,12 +189,17 @@ def _digest(value: str) -> str:
     return out
 
 
+_FIELD_NAME = re.compile(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
+
+
 def _headers(lines: list[bytes]) -> dict[str, str]:
-    out = {}
+    out: dict[str, str] = {}
     for line in lines:
         name, colon, value = line.decode("utf-8").partition(":")
-        if not colon or not name or name != name.strip():
+        if not colon or not _FIELD_NAME.fullmatch(name):
             raise ValueError(f"malformed header {name[:40]!r}")
+        if name.lower() in out and name.lower() != "warc-concurrent-to":
+            raise ValueError(f"header {name.lower()} is repeated")
         out[name.lower()] = value.strip()
     return out
 
