@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--approx-profile", action="store_true", help="HyperLogLog distinct counts, no samples")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial shuffle partitions (AQE merges small ones); size them to the largest shuffle")
+    ap.add_argument("--buckets", type=int, default=None, help="bucket the warehouse tables by their keys")
+    ap.add_argument("--no-constraints", action="store_true", help="load rows that break declared constraints too")
     a = ap.parse_args(argv)
 
     from dimforge.plans import jobs
@@ -40,7 +42,8 @@ def main(argv: list[str] | None = None) -> int:
         jobs.profile_all(spark, f"{root}/staging", f"{root}/data_profiling", log, exact=not a.approx_profile)
         out["profile"] = f"{root}/data_profiling"
     if "warehouse" in steps:
-        out["warehouse_rows"] = jobs.build_warehouse(spark, f"{root}/staging", f"{root}/warehouse", a.mode, log)
+        out["warehouse_rows"] = jobs.build_warehouse(spark, f"{root}/staging", f"{root}/warehouse", a.mode, log,
+                                                     enforce=not a.no_constraints, buckets=a.buckets)
     print(json.dumps(out))
     return 0
 

@@ -50,9 +50,12 @@ from dimforge.operators.enforce import declared
 from dimforge.operators.profile import profile
 from dimforge.plans import warehouse as W
 from dimforge.plans.fixtures import STAGED, staged
-from dimforge.schemas import DEFAULT_NOW
+from dimforge.schemas import DEFAULT_NOW, staged_schema
 from dimforge.sinks import tables as T
+from dimforge.sinks.keyed import BucketedTable
+from dimforge.sources.api import land, log_of, read_api
 from dimforge.sources.catalog import extract_catalog, register
+from dimforge.sources.files import read_csv_checked
 from dimforge.sources.jdbc import extract_all
 
 STAGED_NAMES = tuple(STAGED)
@@ -98,6 +101,39 @@ def stage_all(spark: SparkSession, data_dir: str, staging_root: str, log_path: s
     return counts
 
 
+def stage_csv(spark: SparkSession, name: str, path: str, staging_root: str, log_path: str | None = None,
+              header: bool = True, multiline: bool = False) -> dict[str, int]:
+    """Stage a CSV with the declared layout of relation ``name``; lines that are
+    no rows go to ``<root>/bad_rows/<name>`` with their reason, and are counted in the log."""
+    root = staging_root.rstrip("/")
+    with T.RunLog(spark, log_path) as log:
+        try:
+            rows, bad = read_csv_checked(spark, path, staged_schema(name), header, multiline)
+            _, n = _observed_write(rows, lambda d: T.write_table(d, f"{root}/{name}"), f"stage_{name}")
+            _, n_bad = _observed_write(bad, lambda d: T.write_table(d, f"{root}/bad_rows/{name}"), f"bad_{name}")
+        except Exception as e:
+            log.add(step="Load Staging", status=f"Failed: {e}", source="CSV", table_name=name)
+            raise
+        log.add(step="Load Staging", status="Success" if not n_bad else f"Success - {n_bad} bad lines", source="CSV", table_name=name)
+    return {"rows": n, "bad_rows": n_bad}
+
+
+def stage_api(spark: SparkSession, name: str, endpoint: str, start: str, end: str, staging_root: str,
+              log_path: str | None = None, **request) -> dict[str, int]:
+    """Stage the records of an API for a range of dates (``sources.api``); the
+    answers are kept in ``<root>/answers/<name>``.  Returns the windows by
+    outcome; every window has a row in the log.  No window with an answer is an error."""
+    root = staging_root.rstrip("/")
+    records, outcomes = land(read_api(spark, endpoint, start, end, **request), f"{root}/answers/{name}", staged_schema(name))
+    T.write_table(records, f"{root}/{name}")
+    if log_path:
+        log_of(outcomes, name).write.mode("append").parquet(log_path)
+    counts = {r["outcome"]: r["count"] for r in outcomes.groupBy("outcome").count().collect()}
+    if not set(counts) & {"ok", "empty"}:
+        raise RuntimeError(f"no answer for {name} from {start} to {end}: {counts}")
+    return counts
+
+
 def read_staged(spark: SparkSession, staging_root: str, log: T.RunLog | None = None,
                 database: str | None = None) -> dict[str, DataFrame]:
     """The staged relations: those that ``database`` lists, or else the known names under the root."""
@@ -145,14 +181,17 @@ def profile_all(spark: SparkSession, staging_root: str, out_dir: str, log_path:
 
 # ------------------------------------------------------------------ T12 warehouse
 def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str, mode: str = "compat",
-                    log_path: str | None = None, enforce: bool = True) -> dict[str, int]:
+                    log_path: str | None = None, enforce: bool = True, buckets: int | None = None) -> dict[str, int]:
     """Build and merge all nine warehouse tables; returns the rows merged per
     table plus ``quarantine_<table>`` counts.
 
     ``enforce``: rows that break a constraint the schema declares (NOT NULL,
     length, numeric range, uniqueness in the batch and against the table) go to ``quarantine_keys/<table>``
     with the names of those they break, before the merge.  The declared foreign keys
-    are what the transforms check, against the same loaded tables."""
+    are what the transforms check, against the same loaded tables.
+
+    ``buckets``: the tables are bucketed by their keys (``sinks.keyed``), so a
+    load shuffles the incoming rows only."""
     root = warehouse_root.rstrip("/")
     run_id = uuid.uuid4().hex
     counts: dict[str, int] = {}
@@ -176,7 +215,11 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
                             if t in DEFAULT_NOW and c not in valid.columns}
                 rules = replace(declared(t, built.key, mode), foreign=()) if enforce else None
                 merged = Observation(f"{t}_{uuid.uuid4().hex[:8]}")
-                T.upsert(valid, path, built.key, defaults, f"{root}/quarantine_keys/{t}", rules, counted=merged)
+                rejected = f"{root}/quarantine_keys/{t}"
+                if buckets:
+                    BucketedTable(spark, path, built.key, buckets).upsert(valid, defaults, rejected, rules, counted=merged)
+                else:
+                    T.upsert(valid, path, built.key, defaults, rejected, rules, counted=merged)
                 counts[t] = int(merged.get.get("rows", 0))
                 log.add(step="Load to DWH", status="Success", source="transformed data", table_name=t)
             except Exception as e:  # noqa: BLE001
@@ -191,7 +234,7 @@ def build_warehouse(spark: SparkSession, staging_root: str, warehouse_root: str,
                                        lambda d: T.append_quarantine(d, f"{root}/quarantine/{t}"), f"q_{t}")
                 counts[f"quarantine_{t}"] = q
                 log.add(step="Validation", status=f"{q} rows quarantined", source="staging", table_name=t)
-            return T.read_table(spark, path)
+            return BucketedTable(spark, path, built.key, buckets).read() if buckets else T.read_table(spark, path)
 
         company, people = _run_parallel([
             lambda: load(W.transform_company(st["company"], mode=mode)),

@@ -166,3 +166,34 @@ def test_runtime_filter_in_plan(spark, scratch):
         assert n == out.count() == len([i for i in range(3, 20000, 50) if i % 3 == 0])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stage_csv_and_api_jobs(spark, scratch):
+    """Rows, bad rows and every window's outcome reach the staging folder and the run log."""
+    from dimforge.plans import jobs
+    with open(f"{scratch}/people.csv", "w") as f:
+        f.write("people_id,object_id,first_name,last_name,birthplace,affiliation_name\n1,p:1,A,B,C,D\n2,p:2,A\n")
+    root, log = f"{scratch}/staging", f"{scratch}/log"
+    assert jobs.stage_csv(spark, "people", f"{scratch}/people.csv", root, log) == {"rows": 1, "bad_rows": 1}
+    assert spark.read.parquet(f"{root}/people").first().object_id == "p:1"
+    assert spark.read.parquet(f"{root}/bad_rows/people").first().reason == "too few columns: 3"
+    answer(scratch, "2024-01-01_1", '[{"milestone_id": 5, "object_id": "c:1"}]')
+    got = jobs.stage_api(spark, "milestones", f"landed:{scratch}/{{start}}_{{page}}.http", "2024-01-01", "2024-01-02", root, log, retries=0)
+    assert got == {"ok": 1, "transport_error": 1}
+    assert [(r.milestone_id, r.object_id) for r in spark.read.parquet(f"{root}/milestones").collect()] == [(5, "c:1")]
+    status = {(r.source, r.status.split(":")[0]) for r in spark.read.parquet(log).collect()}
+    assert status == {("CSV", "Success - 1 bad lines"), ("API", "Success - 1 records"), ("API", "Failed - transport_error")}
+    with pytest.raises(RuntimeError):
+        jobs.stage_api(spark, "milestones", f"landed:{scratch}/none_{{start}}_{{page}}", "2024-01-01", "2024-01-02", root, retries=0)
+    with pytest.raises(Exception):
+        jobs.stage_csv(spark, "people", f"{scratch}/no_such_file.csv", root, log)
+    assert spark.read.parquet(log).where("status like 'Failed: %'").count() == 1
+
+
+def test_staging_through_a_database(spark, scratch):
+    from conftest import SF_SMALL
+    from dimforge.plans import jobs
+    db = "stage_" + scratch.rpartition("-")[2].replace("_", "x").lower()
+    counts = jobs.stage_all(spark, SF_SMALL, f"{scratch}/staging", database=db)
+    staged = jobs.read_staged(spark, f"{scratch}/staging", database=db)
+    assert set(staged) == set(jobs.STAGED_NAMES) and {n: d.count() for n, d in staged.items()} == counts
