@@ -37,12 +37,40 @@ from dimforge.llm._common import Scratch
 
 _U = np.uint64
 _MUL = 0x9E3779B97F4A7C15
-_RANDOM = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
+_RANDOM = np.random.default_rng(20240607).integers(0, 2**64, (2, 256), dtype=np.uint64)
 _INDEX = 20  # low bits of a gram's key hold its place in the block
-_BLOCK = 1 << (_INDEX - 1)
+_BLOCK = 1 << 15
+_TERMS = _BLOCK + 4096  # symbols of a block: its windows and the rest of the last one
+_PLACES = np.arange(_TERMS)
 NULL_ID = -(2**63)
 
 
+def _powers(mul: int, n: int) -> np.ndarray:
+    out = np.full(n, mul, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class _Prefix:
+    """Hashes of any run of symbols from sums over the symbols before it:
+    sum of symbol * mul ** place, divided by mul ** (place of the run)."""
+
+    def __init__(self, mul: int):
+        self.up, self.down = _powers(mul, _TERMS), _powers(pow(mul, -1, 2**64), _TERMS)
+
+    def sums(self, sym: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(sym) + 1, np.uint64)
+        np.cumsum(sym * self.up[:len(sym)], out=out[1:])
+        return out
+
+    def runs(self, sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return (sums[hi] - sums[lo]) * self.down[lo]
+
+    def grams(self, sums: np.ndarray, k: int) -> np.ndarray:
+        n = len(sums) - k
+        return (sums[k:] - sums[:n]) * self.down[:n]
+
+
 @dataclass(frozen=True)
 class Unit:
     """What repeats are made of: windows of ``length`` symbols, selected by
@@ -52,37 +80,79 @@ class Unit:
     gram: int
     words: bool
 
-    def cut(self, text: bytes) -> tuple[np.ndarray, Callable[[int, int], bytes]]:
-        """Symbol hashes, and the content of symbols [a, b)."""
+    def cut(self, text: bytes) -> tuple[int, Callable[[int, int], bytes]]:
+        """The number of symbols, and the content of symbols [a, b)."""
         if not self.words:
-            return _RANDOM[np.frombuffer(text, np.uint8)], lambda a, b: text[a:b]
+            return len(text), lambda a, b: text[a:b]
         words = text.split()
         n = len(words)
-        sym = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
         joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1 if n else np.zeros(0, np.int64)
-        e = ends.tolist()
-        return sym, lambda a, b: joined[e[a - 1] + 1 if a else 0:e[b - 1]]
-
-    def segments(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(anchor hash, first window, windows, anchor's offset) of every segment."""
-        n = len(sym)
-        if n < self.length:
-            z = np.zeros(0, np.int64)
-            return np.zeros(0, np.uint64), z, z, z
+        e = (np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1).tolist() if n else []
+        return n, lambda a, b: joined[e[a - 1] + 1 if a else 0:e[b - 1]]
+
+    def _symbols(self, texts: list[bytes]) -> tuple[Callable[[int, int, int], np.ndarray], np.ndarray]:
+        """(two hash functions of symbols [a, b) of all texts in a row, symbols per text)."""
+        if not self.words:
+            flat = np.frombuffer(b"".join(texts), np.uint8)
+            return lambda which, a, b: _RANDOM[which][flat[a:b]], np.fromiter(map(len, texts), np.int64, len(texts))
+        split = [t.split() for t in texts]
+        size = np.fromiter(map(len, split), np.int64, len(split))
+        sym = np.fromiter((xxhash.xxh3_64_intdigest(w) for t in split for w in t), np.uint64, int(size.sum()))
+        return lambda which, a, b: _mix(sym[a:b]) if which else sym[a:b], size
+
+    def segments(self, texts: list[bytes], digests: bool = False) -> tuple[np.ndarray, ...]:
+        """(text, anchor hash, first window, windows, anchor's offset, digest
+        of the symbols) of every segment of every text.
+
+        The texts are taken in a row, so that short ones cost no calls of
+        their own; windows that would cross their bounds are left out."""
         w = self.length - self.gram + 1
-        hashes = _mix(_rolling(sym, self.gram))
+        symbols, size = self._symbols(texts)
+        ends = np.cumsum(size)
+        n = int(ends[-1]) if len(ends) else 0
+        bounds = [(e - k, e) for e, k in zip(ends.tolist(), size.tolist()) if k >= self.length]
         out = []
         for lo in range(0, n - self.length + 1, _BLOCK):
             hi = min(lo + _BLOCK, n - self.length + 1)
-            h = hashes[lo:hi + w - 1]
-            key = (h >> _U(_INDEX) << _U(_INDEX)) | np.arange(len(h), dtype=np.uint64)
-            at = (_sliding_min(key, w) & _U((1 << _INDEX) - 1)).astype(np.int64)
+            # windows inside one text; an anchor belongs to one text, so runs of equal anchors do too
+            inside = [_PLACES[max(b, lo) - lo:min(e - self.length + 1, hi) - lo] for b, e in bounds if e - self.length >= lo and b < hi]
+            inside = np.concatenate([*inside, _PLACES[:0]])
+            if not len(inside):
+                continue
+            sums = _P0.sums(symbols(0, lo, hi + self.length - 1))
+            h = _P0.grams(sums, self.gram)
+            key = h & _U(2**64 - (1 << _INDEX))
+            key |= _PLACES[:len(h)].view(np.uint64)
+            at = (_sliding_min(key, w)[inside] & _U((1 << _INDEX) - 1)).astype(np.int64)
             first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-            count = np.diff(np.append(first, len(at)))
-            out.append((h[at[first]], first + lo, count, at[first] - first))
+            count, start = np.diff(np.append(first, len(at))), inside[first]
+            text = np.searchsorted(ends, start + lo, side="right")
+            digest = np.zeros(len(first), np.uint64)
+            if digests:
+                stop = start + count + (self.length - 1)
+                again = _P1.sums(symbols(1, lo, hi + self.length - 1))
+                digest = _mix(_P0.runs(sums, start, stop) + _mix(_P1.runs(again, start, stop)))
+            out.append((text, h[at[first]], start + lo - (ends[text] - size[text]), count, at[first] - start, digest))
+        if not out:
+            z = np.zeros(0, np.int64)
+            return z, np.zeros(0, np.uint64), z, z, z, np.zeros(0, np.uint64)
         return tuple(np.concatenate(c) for c in zip(*out))
 
+    def segments_of(self, col: pa.Array, digests: bool = False) -> tuple[np.ndarray, ...]:
+        """``segments`` of a batch's texts, as many at a time as fit in a
+        block: only a text of several blocks is cut between them, always at the same
+        places."""
+        out, texts, first, held = [], [], 0, 0
+        for i, t in enumerate(col):
+            t = t.as_py()
+            if texts and held + len(t) > _BLOCK:
+                out.append((first, self.segments(texts, digests)))
+                texts, first, held = [], i, 0
+            texts.append(t)
+            held += len(t)
+        out.append((first, self.segments(texts, digests)))
+        return tuple(np.concatenate(c) for c in zip(*((found[0] + k, *found[1:]) for k, found in out)))
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(31))) * _U(_MUL)
@@ -90,22 +160,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def _rolling(sym: np.ndarray, k: int) -> np.ndarray:
-    """Polynomial hash of every k symbols (by doubling)."""
-    out, done = None, 0
-    power, size, mul = sym, 1, _MUL
-    while True:
-        if k & size:
-            n = len(sym) - (done + size) + 1
-            out = power[:n] if out is None else out[:n] * _U(mul) + power[done:done + n]
-            done += size
-        if size * 2 > k:
-            return out
-        power = power[:-size] * _U(mul) + power[size:]
-        mul = mul * mul % 2**64
-        size *= 2
-
-
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     size = 1
     while size * 2 <= w:
@@ -114,6 +168,9 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (w - size)], x[w - size:]) if w > size else x
 
 
+_P0, _P1 = _Prefix(_MUL), _Prefix(0xD6E8FEB86659FD93)
+
+
 def pack(start: np.ndarray, offset: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """One long: start of the segment, anchor's offset, number of windows (at most 255)."""
     return (start << 16) | (offset << 8) | windows
@@ -145,8 +202,7 @@ class Repeats:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = [unit.segments(unit.cut(t.as_py())[0])[0] for t in b.column(0)]
-                h, n = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
+                h, n = np.unique(unit.segments_of(b.column(0))[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
         return self.docs.select("text").mapInArrow(run, "h long, n long")
@@ -155,22 +211,11 @@ class Repeats:
         unit = self.unit
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            digest = xxhash.xxh3_64_intdigest
             for b in batches:
-                hs, xs, ss, size = [], [], [], []
-                for t in b.column(2):
-                    sym, content = unit.cut(t.as_py())
-                    h, start, count, offset = unit.segments(sym)
-                    hs.append(h)
-                    xs.append(pack(start, offset, count))
-                    size.append(len(h))
-                    ss += [digest(content(a, z)) for a, z in zip(start.tolist(), (start + count + (unit.length - 1)).tolist())]
-                size = np.array(size, np.int64)
+                text, h, start, count, offset, digest = unit.segments_of(b.column(2), digests=True)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([*hs, np.zeros(0, np.uint64)]).view(np.int64)),
-                    pa.array(np.array(ss, np.uint64).view(np.int64)),
-                    pa.array(np.repeat(b.column(0).to_numpy(), size)), pa.array(np.repeat(b.column(1).to_numpy(), size)),
-                    pa.array(np.concatenate([*xs, np.zeros(0, np.int64)]).astype(np.int64))], ["h", "s", "did", "ver", "x"])
+                    pa.array(h.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(b.column(0).to_numpy()[text]),
+                    pa.array(b.column(1).to_numpy()[text]), pa.array(pack(start, offset, count))], ["h", "s", "did", "ver", "x"])
 
         return self.docs.select("did", "ver", "text").mapInArrow(run, "h long, s long, did long, ver int, x long")
 
@@ -182,8 +227,16 @@ class Repeats:
         s.drop("again")
         first = F.min(F.struct("did", "x", "ver")).alias("first")
         self.classes = s.write(self.occ.groupBy("h", "s").agg(first).select("h", "s", "first.*"), "classes")
-        several = self.classes.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+        several = s.write(self.classes.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "several")
         self.open = s.write(self.classes.join(several, "h"), "open")
+        # versions of one document may hold a class's first segment at the same place: each is one of its first
+        versions = s.write(self.occ.groupBy("did").agg(F.min("ver").alias("lo"), F.max("ver").alias("hi"))
+                           .filter("lo <> hi").select("did"), "versions")
+        if versions.take(1):
+            opened = self.open.select("h", "s", F.col("did").alias("d"), F.col("x").alias("at"), F.col("ver").alias("own"))
+            more = (self.occ.join(versions, "did", "left_semi").join(opened, ["h", "s"])
+                    .filter("did = d and x = at and ver <> own").select("h", "s", "did", "x", "ver").distinct())
+            self.open = self.open.unionByName(s.write(more, "open-versions"))
 
     def covered_whole(self) -> DataFrame:
         """did, ver, lo, hi of every segment that is not the first of its class."""
