@@ -133,13 +133,15 @@ def reputation(urls: DataFrame, labelled: DataFrame, scratch: Scratch, z: float
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT) -> DataFrame:
-    """page_id, host, path, rule, verdict of every page."""
+    """page_id, host, path, rule, verdict of every page, and its host's
+    evidence: n labelled pages, k of them bad, ``lower`` bound of the bad rate (six decimals)."""
     urls = split_url(pages)
     rep = reputation(urls, outcomes(labels), Scratch(pages.sparkSession, "url-reputation"))
     rule, verdict = match_rule(rules)
     mine = F.when(F.col("lower") > limit, "block").otherwise("allow")
-    return (urls.join(rep.select("host", "lower"), "host", "left")
-            .select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, mine).alias("verdict")))
+    return (urls.join(rep.select("host", "n", "k", "lower"), "host", "left")
+            .select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, mine).alias("verdict"),
+                    "n", "k", F.round("lower", 6).alias("lower")))
 
 
 def op4_url_filters(spark, sf_dir: str) -> DataFrame:
@@ -179,11 +181,11 @@ WITH u AS (
 ), ps AS (SELECT suffix, (k + w * mu) / (n + w) AS p FROM s, e WHERE lv = 's'
 ), pd AS (SELECT domain, (d.k + w * ps.p) / (d.n + w) AS p FROM d JOIN ps USING (suffix), e WHERE lv = 'd'
 ), ph AS (
-  SELECT host, k + w * pd.p AS a, n - k + w * (1 - pd.p) AS b FROM h JOIN pd USING (domain), e WHERE lv = 'h'
+  SELECT host, CAST(n AS BIGINT) AS n, CAST(k AS BIGINT) AS k, k + w * pd.p AS a, n - k + w * (1 - pd.p) AS b FROM h JOIN pd USING (domain), e WHERE lv = 'h'
 ), v AS (
-  SELECT host, a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS lower FROM ph
+  SELECT host, n, k, a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS lower FROM ph
 ), f AS (
-  SELECT page_id, host, path, lower,
+  SELECT page_id, host, path, lower, n, k,
     [x FOR x IN [
       {{'rule': 'www.example.com/en/', 'verdict': 'allow', 'host': 'www.example.com', 'path': '/en/'}},
       {{'rule': 'example.com/en/', 'verdict': 'block', 'host': 'example.com', 'path': '/en/'}},
@@ -194,6 +196,7 @@ WITH u AS (
   FROM p LEFT JOIN v USING (host)
 )
 SELECT page_id, host, path, hit.rule AS rule,
-       coalesce(hit.verdict, CASE WHEN lower > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(hit.verdict, CASE WHEN lower > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
+       n, k, round(lower, 6) AS lower
 FROM f
 """
