@@ -123,7 +123,8 @@ def grades_of(labels: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_ROWS, buckets: int = BUCKETS,
           steps: int = STEPS, text_col: str = "text") -> OrdinalModel:
-    """Fit on at most ``max_rows`` graded documents."""
+    """Fit on at most ``max_rows`` graded documents and at most as many rows
+    of them: rows that share a graded id stand in the order of their text's hash."""
     some = grades.select("doc_id", "grade").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,12 +132,14 @@ def train(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_ROWS, buckets:
             f = [features(t.as_py(), buckets) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in f], pa.list_(pa.int32())), pa.array([x for _, x in f], pa.list_(pa.float32())),
-                 b.column(1).cast(pa.int32()), b.column(2).cast(pa.int64())], ["at", "value", "grade", "doc_id"])
+                 b.column(1).cast(pa.int32()), b.column(2).cast(pa.int64()), b.column(3)], ["at", "value", "grade", "doc_id", "mark"])
 
     # the sample has a fixed bound, so it may be broadcast
     got = (docs.select("doc_id", F.col(text_col).cast("binary").alias("text")).join(F.broadcast(some), "doc_id")
-           .select("text", "grade", "doc_id").mapInArrow(run, "at array<int>, value array<float>, grade int, doc_id long")
-           .toArrow().sort_by("doc_id"))
+           .select("text", "grade", "doc_id", F.xxhash64("text").alias("mark"))
+           .mapInArrow(run, "at array<int>, value array<float>, grade int, doc_id long, mark long")
+           .orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(max_rows)
+           .toArrow().sort_by([("doc_id", "ascending"), ("mark", "ascending")]))
     at, value = got.column("at").combine_chunks(), got.column("value").combine_chunks()
     sizes = np.diff(at.offsets.to_numpy()) if len(at) else np.zeros(0, int)
     return fit(np.repeat(np.arange(len(sizes)), sizes), at.flatten().to_numpy().astype(np.int64),
