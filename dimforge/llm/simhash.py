@@ -22,7 +22,7 @@ Defined results
   * fewer words than a shingle: the whole sequence is the one shingle;
   * null doc_id: kept as a row of its own; it is linked like any other but
     never the smallest id of a component (a component of null ids only has null);
-  * repeated rows: one result row each, in the same component;
+  * repeated rows: one result row each, in the same component (``keep_one`` keeps one of them);
   * empty table: empty result; extra columns are not read by ``link`` and
     passed through by ``keep_one``.
 """
@@ -77,17 +77,30 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
     return out
 
 
+def _fingerprint_of(text: pa.Array, size: int) -> pa.Array:
+    fps = np.fromiter((fingerprint(x.as_py(), size) for x in text), dtype=np.uint64, count=len(text))
+    return pa.array(fps.view(np.int64))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(x.as_py(), size) for x in b.column(1)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), _fingerprint_of(b.column(1), size)], ["doc_id", "fp"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")) \
         .mapInArrow(run, "doc_id long, fp long")
 
 
+def fingerprints_by(rows: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id, mark and fp of rows with a ``key`` (doc_id, mark) and a ``text``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), _fingerprint_of(b.column(2), size)], ["doc_id", "mark", "fp"])
+
+    return rows.select("key.doc_id", "key.mark", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, mark long, fp long")
+
+
 def index_rows(max_bits: int):
     """Every distinct fingerprint under each combination of kept bytes."""
     kept = list(combinations(range(8), 8 - max_bits))
@@ -183,21 +196,26 @@ def key_links(max_bits: int):
     return run
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id of every row."""
-    scratch = Scratch(docs.sparkSession, "simhash")
-    fps = scratch.write(fingerprints(docs, id_col, text_col, size), "fps")
+def _roots(fps: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+    """fp, first_id, root of every distinct fingerprint; equal roots are one component."""
     per_fp = scratch.write(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "per-fp")
     keys = per_fp.select("fp").mapInArrow(index_rows(max_bits), "combo int, key long, fp long")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = (keys.repartition(n, "combo", "key").sortWithinPartitions("combo", "key")
              .mapInArrow(key_links(max_bits), "a long, b long").distinct())
     pairs = scratch.write(pairs, "links")
     comp = components(pairs, scratch)
     rooted = (per_fp.join(comp, per_fp.fp == comp.node, "left")
               .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    rooted = scratch.write(rooted, "rooted")
+    return scratch.write(rooted, "rooted")
+
+
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (hex), component_id of every row."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    fps = scratch.write(fingerprints(docs, id_col, text_col, size), "fps")
+    rooted = _roots(fps, max_bits, scratch)
     smallest = scratch.write(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
     by_fp = scratch.write(rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "by-fp")
     return fps.join(by_fp, "fp").select(
@@ -205,12 +223,32 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component
-    (rows with null doc_id are kept)."""
-    linked = link(docs, size=size, max_bits=max_bits)
-    lost = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    lost = Scratch(docs.sparkSession, "simhash").write(lost, "lost")
-    return docs.join(lost, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each component: that with the smallest doc_id (null only if
+    the component has no other), of rows that share it the one with the smallest row hash, of
+    identical rows one.  Rows are told apart by (doc_id, hash of all columns),
+    so an id with two texts loses only the text that repeats another."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(F.struct("doc_id", mark.alias("mark")).alias("key"), "text")
+    fps = scratch.write(fingerprints_by(packed, size), "fps")
+    rooted = _roots(fps, max_bits, scratch)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    rows = scratch.write(fps.join(rooted.select("fp", "root"), "fp").select("root", "doc_id", "mark"), "rows")
+    first = scratch.write(rows.groupBy("root").agg(F.min(order).alias("first")), "first")
+    judged = rows.join(first, "root").withColumn("lost", order != F.col("first"))
+    keys = scratch.write(judged.groupBy("doc_id", "mark").agg(F.max("lost").alias("lost"), F.count("*").alias("n"))
+                         .filter("lost or n > 1").select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "lost"), "keys")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    all_rows = docs.select(F.struct(*own).alias("row"), F.col("doc_id").alias("d0"), mark.alias("m0"))
+
+    def meets(part: DataFrame, how: str) -> DataFrame:
+        return all_rows.join(part.select("d", "m"), F.col("d0").eqNullSafe(F.col("d")) & (F.col("m0") == F.col("m")), how)
+
+    kept = meets(keys, "left_anti").select("row")
+    copies = keys.filter("not lost")
+    if copies.take(1):
+        kept = kept.unionByName(meets(copies, "left_semi").groupBy("d0", "m0").agg(F.first("row").alias("row")).select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op6_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
