@@ -10,19 +10,18 @@ p(w|v) = (c(v,w) + mu * p(w)) / (c(v) + mu), with p(w) the add-one unigram
 estimate over all words and one unknown token; the first token of a document
 follows a start token.
 
-By default every word and every bigram is counted under its own key, in
-tables that grow with the corpus; nothing of the corpus but three sums reaches
-the driver.  Documents are taken in chunks of about ``CHUNK`` tokens.  A chunk
+Every word and every bigram is counted under its own key, in tables that
+grow with the corpus; nothing of the corpus but three sums reaches the
+driver.  Documents are taken in chunks of about ``CHUNK`` tokens.  A chunk
 asks for the counts of its distinct words, contexts and bigrams (at most one
 row per key and chunk, so no key is hot), dealt to buckets by a hash of the
 key; a bucket sums its keys, compared in full, over all chunks and answers in
 the order asked; the chunk is scored with its answers.  The number of buckets
-follows the bytes of text, a chunk and a bucket fit in a task at any size.
-
-With a ``vocab_size`` and ``cells`` given, the bounded model is built instead:
-the ``vocab_size`` most frequent words (ties by word), every other word one
-unknown token, bigrams in a table of ``cells`` hashed cells, handed to every
-task.  It is an approximation and not what the query runs.
+follows the bytes of text, so a bucket's keys are as many at any size; how
+many chunks ask for a frequent one grows.  Beyond ``FAN_IN`` chunks the
+questions of a bucket are therefore summed in groups of chunks, the groups
+asked the same way, and their answers handed back down: no task ever reads more than
+``FAN_IN`` rows of one bucket.
 
 Two passes over the texts: their size, and the numbered words (this pass joins
 the labels).  Keys and scores are made from the written chunks.  Nothing is
@@ -41,7 +40,6 @@ Defined results
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,157 +47,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm._common import Scratch, ascii_lower, read
+from dimforge.llm._common import Scratch, read
 
-#: All words, and a cell of its own for every pair of token ids: no bounds.
-VOCAB_SIZE = None
-CELLS = 1 << 64
 MU = 64.0
 #: Tokens of the documents that are scored together, and bytes of text a bucket of keys.
 CHUNK = 4_000_000
 BUCKET = 1 << 22
+#: Rows of a bucket that are summed in one task.
+FAN_IN = 512
 #: Stands for the start of a document; words hold no white space.
 START = b"\t"
-#: Words of one task that are held before their counts are handed on.
-HELD = 400_000
-
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _text(col: str) -> Column:
-    return ascii_lower(F.coalesce(F.col(col), F.lit(""))).cast("binary")
-
-
-def cell_of(before: np.ndarray, after: np.ndarray, cells: int) -> np.ndarray:
-    """Cell of each bigram of token ids."""
-    x = (before.astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(29))) * _MIX
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(cells)).astype(np.int64)
-
-
-@dataclass
-class Vocabulary:
-    """Ids 1 ... n of known words; 0 is the unknown token, n + 1 the start."""
-
-    ids: dict[bytes, int]
-
-    @property
-    def size(self) -> int:
-        return len(self.ids) + 1
-
-    def encode(self, text: bytes) -> np.ndarray:
-        get = self.ids.get
-        return np.array([get(w, 0) for w in text.split()], dtype=np.int64)
-
-
-@dataclass
-class Model:
-    """Counts of one corpus; ``loss`` gives the negative log probabilities."""
-
-    unigrams: np.ndarray   # by id
-    contexts: np.ndarray   # by id of the token before, start included
-    bigrams: np.ndarray    # by cell
-    mu: float = MU
-
-    def __post_init__(self):
-        n = len(self.unigrams)
-        self.base = (self.unigrams + 1.0) / (self.unigrams.sum() + n)
-
-    def loss(self, ids: np.ndarray) -> np.ndarray:
-        before = np.concatenate(([len(self.unigrams)], ids[:-1]))
-        c = self.bigrams[cell_of(before, ids, len(self.bigrams))]
-        return -np.log((c + self.mu * self.base[ids]) / (self.contexts[before] + self.mu))
-
-
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n) over all texts; words are summed per task first."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(c: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
-
-        held: Counter = Counter()
-        for b in batches:
-            for t in b.column(0):
-                held.update(t.as_py().split())
-                if len(held) >= HELD:
-                    yield out(held)
-                    held = Counter()
-        yield out(held)
-
-    return (docs.select(_text(text_col).alias("text")).mapInArrow(run, "word binary, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")))
-
-
-def vocabulary(docs: DataFrame, size: int, text_col: str = "text") -> Vocabulary:
-    """The ``size`` most frequent words: at most that many rows reach the driver."""
-    top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(size).select("word").toArrow()
-    return Vocabulary({w: i for i, w in enumerate(top.column(0).to_pylist(), 1)})
-
-
-def train(spark: SparkSession, docs: DataFrame, is_target: str, vocab: Vocabulary,
-          cells: int, text_col: str = "text", mu: float = MU) -> tuple[Model, Model]:
-    """(target, background): counted in one pass; ``is_target`` names a boolean column."""
-    shared = spark.sparkContext.broadcast(vocab.ids)
-    n = vocab.size
-    # cells, then unigrams, then contexts, in one numbering
-    room = cells + n + n + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(shared.value)
-        counts = np.zeros((2, room), dtype=np.int64)
-        for b in batches:
-            for t, target in zip(b.column(0), b.column(1).to_pylist()):
-                ids = v.encode(t.as_py())
-                if not len(ids):
-                    continue
-                before = np.concatenate(([n], ids[:-1]))
-                at = np.concatenate((cell_of(before, ids, cells), cells + ids, cells + n + before))
-                np.add.at(counts[0], at, 1)
-                if target:
-                    np.add.at(counts[1], at, 1)
-        at = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0][at]), pa.array(counts[1][at])], ["at", "n", "t"])
-
-    rows = docs.select(_text(text_col).alias("text"), F.coalesce(F.col(is_target), F.lit(False)).alias("target"))
-    # at most ``room`` rows reach the driver
-    got = (rows.mapInArrow(run, "at long, n long, t long").groupBy("at")
-           .agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow())
-    at = got.column("at").to_numpy()
-    models = []
-    for c in ("t", "n"):
-        counts = np.zeros(room)
-        counts[at] = got.column(c).to_numpy()
-        models.append(Model(counts[cells:cells + n], counts[cells + n:], counts[:cells], mu))
-    return models[0], models[1]
-
-
-def score(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, target: Model, background: Model,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score (means per token)."""
-    shared = spark.sparkContext.broadcast((vocab.ids, target, background))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, t, g = shared.value
-        v = Vocabulary(ids)
-        for b in batches:
-            n, a, c = [], [], []
-            for text in b.column(1):
-                x = v.encode(text.as_py())
-                n.append(len(x))
-                a.append(float(t.loss(x).mean()) if len(x) else 0.0)
-                c.append(float(g.loss(x).mean()) if len(x) else 0.0)
-            a, c = np.array(a), np.array(c)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a), pa.array(c), pa.array(a - c)],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.select(F.col(id_col).alias("doc_id"), _text(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
-
-
 def _pack(x) -> bytes:
     """Bytes or an array of counts, compressed; the length leads."""
     if not isinstance(x, bytes):
@@ -257,7 +120,9 @@ class _Chunk:
         at = np.argsort(bucket, kind="stable")
         # the start is no word, and the last words of documents may be no context
         self.asked = at[self.n[at] > 0]
-        self.ends = np.searchsorted(bucket[self.asked], np.arange(self.buckets + 1))
+        # the buckets that occur, and where their keys end
+        self.which, first = np.unique(bucket[self.asked], return_index=True)
+        self.ends = np.append(first, len(self.asked))
 
     def counts(self, pick) -> np.ndarray:
         return np.concatenate([np.bincount(x[pick], minlength=m) for x, m in (
@@ -340,8 +205,8 @@ def ask(chunks: DataFrame, buckets: int) -> DataFrame:
                 names = pa.concat_arrays([_strings(row["words"], row["lengths"]), pa.array([b""], pa.binary())])
                 name, none = np.arange(c.size), np.full(c.size, c.size)
                 first, second = np.concatenate((none, name, c.before)), np.concatenate((name, none, c.after))
-                for g in np.flatnonzero(np.diff(c.ends)).tolist():
-                    x = c.asked[c.ends[g]:c.ends[g + 1]]
+                for g, lo, hi in zip(c.which.tolist(), c.ends[:-1].tolist(), c.ends[1:].tolist()):
+                    x = c.asked[lo:hi]
                     keys, lengths = _pack_strings(pc.binary_join_element_wise(
                         names.take(pa.array(first[x])), names.take(pa.array(second[x])), space))
                     yield _row(_ASKED, chunk=row["chunk"], bucket=g, keys=keys, lengths=lengths, n=_pack(c.n[x]), t=_pack(t[x]))
@@ -350,23 +215,70 @@ def ask(chunks: DataFrame, buckets: int) -> DataFrame:
             .mapInArrow(run, "chunk long, bucket long, keys binary, lengths binary, n binary, t binary"))
 
 
-def _answer(asked: pa.Table) -> pa.Table:
-    """All rows of one bucket: its keys summed over the chunks, for each chunk in the order asked."""
+_ANSWERS = "chunk long, bucket long, words long, n binary, t binary"
+
+
+def _coded(asked: pa.Table) -> tuple[pa.Table, pa.DictionaryArray, np.ndarray]:
+    """Rows of one bucket by chunk, their keys by number, and where each row's keys end."""
+    asked = asked.sort_by("chunk")
     parts = [_strings(k.as_py(), n.as_py()) for k, n in zip(asked.column("keys"), asked.column("lengths"))]
-    coded = pa.concat_arrays(parts).dictionary_encode()
-    at, cuts = coded.indices.to_numpy(), np.cumsum([len(p) for p in parts])[:-1]
-    words = pc.sum(pc.starts_with(coded.dictionary, b" ")).as_py()
+    return asked, pa.concat_arrays(parts).dictionary_encode(), np.cumsum([len(p) for p in parts])
+
+
+def _totals(asked: pa.Table, coded: pa.DictionaryArray, column: str) -> np.ndarray:
+    """The sum of every key (below 2^53: exact)."""
+    asks = np.concatenate([_numbers(x.as_py()) for x in asked.column(column)])
+    return np.bincount(coded.indices.to_numpy(), asks, minlength=len(coded.dictionary)).astype(np.int64)
+
+
+def _handed_back(asked: pa.Table, coded: pa.DictionaryArray, ends: np.ndarray, words: int, totals: dict[str, np.ndarray]) -> pa.Table:
+    """For each chunk the totals of its keys in the order asked."""
+    at = coded.indices.to_numpy()
     out = {"chunk": asked.column("chunk").combine_chunks(), "bucket": asked.column("bucket").combine_chunks(),
-           "words": pa.array([words] * len(parts), pa.int64())}
-    for c in ("n", "t"):
-        asks = np.concatenate([_numbers(x.as_py()) for x in asked.column(c)])
-        # sums below 2^53: exact
-        total = np.bincount(at, asks, minlength=len(coded.dictionary)).astype(np.int64)
-        out[c] = pa.array([_pack(x) for x in np.split(total[at], cuts)], pa.binary())
+           "words": pa.array([words] * len(ends), pa.int64())}
+    for c, total in totals.items():
+        out[c] = pa.array([_pack(x) for x in np.split(total[at], ends[:-1])], pa.binary())
     return pa.table(out)
 
 
-def score_exact(docs: DataFrame, labels: DataFrame, mu: float = MU, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+def _answer(asked: pa.Table) -> pa.Table:
+    """All rows of one bucket: its keys summed over the chunks, for each chunk in the order asked."""
+    asked, coded, ends = _coded(asked)
+    words = pc.sum(pc.starts_with(coded.dictionary, b" ")).as_py()
+    return _handed_back(asked, coded, ends, words, {c: _totals(asked, coded, c) for c in ("n", "t")})
+
+
+def _summed(key: tuple, asked: pa.Table) -> pa.Table:
+    """The rows of a bucket from one group of chunks as one row of that group."""
+    asked, coded, _ = _coded(asked)
+    keys, lengths = _pack_strings(coded.dictionary)
+    n, t = (_pack(_totals(asked, coded, c)) for c in ("n", "t"))
+    return pa.Table.from_batches([_row(_ASKED, chunk=key[1].as_py(), bucket=key[0].as_py(), keys=keys, lengths=lengths, n=n, t=t)])
+
+
+def _passed_on(asked: pa.Table, above: pa.Table) -> pa.Table:
+    """A group's answer (one row, keys in the order of ``_summed``) for each of its chunks."""
+    asked, coded, ends = _coded(asked.select([f.name for f in _ASKED]))
+    totals = {c: _numbers(above.column(c)[0].as_py()) for c in ("n", "t")}
+    return _handed_back(asked, coded, ends, above.column("words")[0].as_py(), totals)
+
+
+def answered(asked: DataFrame, chunks: int, fan_in: int, scratch: Scratch, level: int = 0) -> DataFrame:
+    """Every question with the totals of its keys (columns of ``_ANSWERS``); ``asked`` is a written table."""
+    if chunks <= fan_in:
+        return asked.groupBy("bucket").applyInArrow(_answer, _ANSWERS)
+    groups = -(-chunks // fan_in)
+    part = F.pmod(F.xxhash64(F.lit(level), "chunk"), F.lit(groups)).alias("part")
+    rows = asked.select("*", part)
+    above = scratch.write(rows.groupBy("bucket", "part").applyInArrow(
+        _summed, "chunk long, bucket long, keys binary, lengths binary, n binary, t binary"), f"asked-{level + 1}")
+    above = scratch.write(answered(above, groups, fan_in, scratch, level + 1), f"answers-{level + 1}")
+    return rows.groupBy("bucket", "part").cogroup(above.withColumnRenamed("chunk", "part").groupBy("bucket", "part")).applyInArrow(
+        _passed_on, _ANSWERS)
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, mu: float = MU, chunk: int = CHUNK, bucket: int = BUCKET,
+                             fan_in: int = FAN_IN) -> DataFrame:
     """Scores of all documents by models of all words and bigrams."""
     scratch = Scratch(docs.sparkSession, "lm-scoring")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -375,8 +287,10 @@ def score_exact(docs: DataFrame, labels: DataFrame, mu: float = MU, chunk: int =
     chunks = scratch.write(chunks_of(mark_target(text, labels, "doc_id").select(
         "doc_id", "text", F.coalesce("target", F.lit(False))), chunk), "chunks")
     scratch.release()
-    answers = scratch.write(ask(chunks, buckets).groupBy("bucket").applyInArrow(
-        _answer, "chunk long, bucket long, words long, n binary, t binary"), "answers")
+    asked, n_chunks = ask(chunks, buckets), chunks.count()
+    if n_chunks > fan_in:  # read at every level
+        asked = scratch.write(asked, "asked-0")
+    answers = scratch.write(answered(asked, n_chunks, fan_in, scratch), "answers")
     scratch.release()
     # three numbers: tokens of both corpora, and words
     tokens = chunks.agg(F.sum("targets"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()
@@ -413,18 +327,5 @@ def mark_target(docs: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select(*more, "text", "target")
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocab_size: int | None = VOCAB_SIZE,
-                             cells: int = CELLS, mu: float = MU) -> DataFrame:
-    """Scores of all documents: exact, or by the bounded model when both bounds are given."""
-    if vocab_size is None and cells == CELLS:
-        return score_exact(docs, labels, mu)
-    if vocab_size is None or cells == CELLS:
-        raise ValueError("the bounded model needs vocab_size and cells")
-    spark = docs.sparkSession
-    vocab = vocabulary(docs, vocab_size)
-    target, background = train(spark, mark_target(docs, labels), "target", vocab, cells, mu=mu)
-    return score(spark, docs, vocab, target, background)
-
-
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:
     return cross_entropy_difference(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

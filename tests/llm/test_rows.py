@@ -220,34 +220,22 @@ def _lm_brute(rows, good, size, cells, mu):
     return out
 
 
-@pytest.mark.parametrize("size,cells", [(50, 64), (1 << 16, 1 << 14)])
-def test_lm_scores(spark, edge_docs, edge_rows, no_docs, odd_docs, size, cells):
-    labels = spark.createDataFrame([(6, 1, 0), (6, 1, 0), (9, 1, 0), (10, 1, 1), (11, 0, 0), (12, None, 0), (None, 1, 0)],
-                                   "doc_id long, quality int, toxic int")
-    got = lm_scoring.cross_entropy_difference(edge_docs, labels, size, cells)
-    exp = _lm_brute(edge_rows, {6, 9}, size, cells, lm_scoring.MU)
-    for r in got.collect():
-        assert r.n_tokens == exp[r.doc_id][0] and abs(r.score - exp[r.doc_id][1]) < 1e-9
-    assert lm_scoring.cross_entropy_difference(no_docs, labels, size, cells).collect() == []
-    assert lm_scoring.cross_entropy_difference(odd_docs, labels.limit(0), size, cells).count() == odd_docs.count()
-
-
 def test_lm_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1 and toxic = 0").collect()}
-    exp = _lm_brute(rows, good, lm_scoring.VOCAB_SIZE, lm_scoring.CELLS, lm_scoring.MU)
+    exp = _lm_brute(rows, good, None, 2**64, lm_scoring.MU)
     for r in lm_scoring.op1_lm_scoring(spark, SF).collect():
         assert r.n_tokens == exp[r.doc_id][0] and abs(r.score - exp[r.doc_id][1]) < 1e-9
 
 
-@pytest.mark.parametrize("chunk,bucket", [(lm_scoring.CHUNK, lm_scoring.BUCKET), (40, 1 << 9)])
-def test_lm_counts_every_word_and_bigram(spark, edge_docs, edge_rows, no_docs, odd_docs, chunk, bucket):
-    """More words than 65,536 and more bigrams than 2^20: each has its own count, whatever the chunks."""
+@pytest.mark.parametrize("chunk,bucket,fan_in", [(lm_scoring.CHUNK, lm_scoring.BUCKET, lm_scoring.FAN_IN), (40, 1 << 9, 512), (40, 1 << 12, 4)])
+def test_lm_counts_every_word_and_bigram(spark, edge_docs, edge_rows, no_docs, odd_docs, chunk, bucket, fan_in):
+    """More words than 65,536 and more bigrams than 2^20: each has its own count, whatever the chunks and levels."""
     rows = [*edge_rows, *[(1000 + i, " ".join(f"w{i}x{k} w{k}" for k in range(1200))) for i in range(60 if chunk > 40 else 2)]]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(6, 1, 0), (9, 1, 0), (1001, 1, 0), (12, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     exp = _lm_brute(rows, {6, 9, 1001}, None, 2**64, lm_scoring.MU)
-    got = lm_scoring.score_exact(docs, labels, chunk=chunk, bucket=bucket).collect()
+    got = lm_scoring.cross_entropy_difference(docs, labels, chunk=chunk, bucket=bucket, fan_in=fan_in).collect()
     assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
     for r in got:
         assert r.n_tokens == exp[r.doc_id][0] and abs(r.score - exp[r.doc_id][1]) < 1e-9
@@ -300,3 +288,38 @@ def test_fit_gradient():
             w = m.weights.copy()
             w[k] += d
             assert loss(w, m.thetas) >= best - 1e-6
+
+
+# -- edits and evidence -----------------------------------------------------------------
+EDITED = "A shop sold 48 clips to Bob and then it sold half as many in May"
+
+
+def test_decontamination_edits(spark):
+    """One inserted or dropped word does not hide an item of sixteen words."""
+    bench = spark.createDataFrame([(1, EDITED), (2, EDITED + " and she kept the other half for herself in Rome")], "item_id long, text string")
+    w = EDITED.split()
+    docs = [(0, EDITED)] + [(10 + k, " ".join([*w[:k], "really", *w[k:]])) for k in range(len(w) + 1)]
+    docs += [(100 + k, " ".join(w[:k] + w[k + 1:])) for k in (0, 1, 2, 3, len(w) - 1)] + [(300, " ".join(w[:8] + ["but", "nothing", "else"])),
+             (301, "we saw " + " ".join(w[8:]) + " and so it goes"), (302, "no word of it here or anywhere else in this text at all")]
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert {d for d, i in got if i == 1} == {d for d, _ in docs if d < 300}
+    whole = got[0, 1]
+    assert whole.n_matched == whole.n_windows == 9 and got[18, 1].n_matched == 2 and got[15, 1].n_matched == 4
+    # a name of another length, in an item with windows on both sides
+    other = bench.filter("item_id = 2").first().text.replace("Bob", "Mary Ann")
+    named = {r.item_id: r.n_matched for r in decontamination.find(spark.createDataFrame([(1, other)], "doc_id long, text string"), bench).collect()}
+    assert set(named) == {1, 2} and 2 <= named[1] < 5 <= named[2]
+    # alignments far apart do not count together
+    far = " ".join(w[:8]) + " x y z" * 5 + " " + " ".join(w[8:])
+    assert decontamination.find(spark.createDataFrame([(1, far)], "doc_id long, text string"), bench).collect() == []
+
+
+def test_url_evidence(spark):
+    """The counts and the bound behind a verdict."""
+    pages = [(k, f"http://bad.org/{k}") for k in range(60)] + [(100 + k, f"http://good.org/{k}") for k in range(60)] + [(500, "http://new.org/")]
+    labels = [(k, 0, 0) for k in range(40)] + [(100 + k, 1, 0) for k in range(50)]
+    got = {r.page_id: r for r in url_reputation.judge(spark.createDataFrame(pages, "page_id long, url string"),
+                                                      spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert (got[0].n, got[0].k, got[0].verdict) == (40, 40, "block") and (got[100].n, got[100].k, got[100].verdict) == (50, 0, "allow")
+    assert (got[500].n, got[500].k, got[500].verdict) == (0, 0, "allow")
+    assert got[0].lower > 0.5 > max(got[500].lower, got[100].lower)
