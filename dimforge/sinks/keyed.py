@@ -108,7 +108,7 @@ class BucketedTable(_Keyed):
         rows = self._accept(incoming, self.read() if there else None, quarantine_path, constraints, refs, counted)
         out = self.merged(rows, defaults) if there else \
             T.with_defaults(rows, defaults).repartition(self.buckets, self.key)
-        self._remember_layout()
+        self._remember_layout()  # before any row
         version = T._next_version(self.spark, self.path)
         folder = f"{self.path}/v={version}"
         (out.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key)
@@ -135,6 +135,10 @@ class PartitionedTable(_Keyed):
     def read(self) -> DataFrame:
         return self._read().drop(PART)
 
+    def _has_rows(self) -> bool:
+        fs, p, _ = T._fs(self.spark, self.path)
+        return fs.exists(p) and any(st.getPath().getName().startswith(f"{PART}=") for st in fs.listStatus(p))
+
     def touched(self, accepted: DataFrame) -> list[int]:
         """The partitions a batch belongs to (numbers of partitions, not rows)."""
         return sorted(r[0] for r in accepted.select(self.part.alias(PART)).distinct().collect())
@@ -143,7 +147,8 @@ class PartitionedTable(_Keyed):
                constraints: Constraints | None = None, refs: Mapping[str, DataFrame] | None = None,
                counted: Observation | None = None) -> list[int]:
         """Merge ``incoming``; returns the partitions that were rewritten."""
-        there = not self._new
+        self._remember_layout()  # before any row
+        there = self._has_rows()
         rows = self._accept(incoming, self.read() if there else None, quarantine_path, constraints, refs, counted)
         parts = self.touched(rows)
         rows = rows.withColumn(PART, self.part)
@@ -154,5 +159,4 @@ class PartitionedTable(_Keyed):
         # rebalance: the files of a partition follow its size, small ones are not scattered
         (out.hint("rebalance", F.col(PART)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(PART).parquet(self.path))
-        self._remember_layout()
         return parts

@@ -154,6 +154,11 @@ def test_partial_rewrite(spark, scratch):
     # the same batch again changes nothing
     again.upsert(batch, {"w": F.lit(7)})
     assert {r.k: (r.v, r.w) for r in again.read().collect()} == rows
+    # a first load that died after its layout was written is simply loaded
+    dead = PartitionedTable(spark, f"{scratch}/dead", "k", parts=4)
+    dead._remember_layout()
+    PartitionedTable(spark, f"{scratch}/dead", "k", parts=4).upsert(spark.range(5).withColumnRenamed("id", "k"))
+    assert PartitionedTable(spark, f"{scratch}/dead", "k", parts=4).read().count() == 5
     # a hashed layout, with constraints
     h = PartitionedTable(spark, f"{scratch}/h", "k", parts=16)
     h.upsert(spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("u")))
