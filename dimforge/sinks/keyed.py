@@ -11,11 +11,13 @@ stay as they are.  Ranges suit keys that grow with time, where a batch
 touches few partitions; with hashes a small batch does.
 
 Versions of a bucketed table are visible once committed, as in
-``sinks.tables``.  The partitioned table has one version: Spark moves the new
-partitions into place when all tasks have ended, so lost executors and failed
-tasks change nothing, but a driver that dies during that last move may leave
-some partitions replaced and others not; loading the batch again mends that.
-Where readers must never see such a state, use the versioned tables.
+``sinks.tables``.  The partitioned table has one version.  Its merged
+partitions are first written beside it (``<table>.merge``) and then overwritten
+from there, so nothing is read and replaced by one job: lost executors change nothing,
+and a driver that dies while Spark replaces the partitions leaves the merged ones
+committed; ``finish`` (the next ``upsert`` begins with it) replaces them
+again.  Readers in between may see some partitions new and others not; where
+they must not, use the versioned tables.
 """
 
 from __future__ import annotations
@@ -126,6 +128,7 @@ class PartitionedTable(_Keyed):
         if (parts is None) == (width is None):
             raise ValueError("PartitionedTable: give either parts or width")
         super().__init__(spark, path, key=key, parts=parts, width=width)
+        self.merge_path = f"{self.path}.merge"
         k = F.col(key)
         self.part = F.pmod(F.xxhash64(k), F.lit(parts)).cast("int") if parts else F.floor(k / F.lit(width)).cast("int")
 
@@ -148,15 +151,28 @@ class PartitionedTable(_Keyed):
                counted: Observation | None = None) -> list[int]:
         """Merge ``incoming``; returns the partitions that were rewritten."""
         self._remember_layout()  # before any row
+        self.finish()
         there = self._has_rows()
         rows = self._accept(incoming, self.read() if there else None, quarantine_path, constraints, refs, counted)
         parts = self.touched(rows)
+        if not parts:  # nothing to merge
+            return parts
         rows = rows.withColumn(PART, self.part)
         if there:
             out = merge(self._read().where(F.col(PART).isin(parts)), rows, self.key, defaults)
         else:
             out = T.with_defaults(rows, defaults)
         # rebalance: the files of a partition follow its size, small ones are not scattered
-        (out.hint("rebalance", F.col(PART)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PART).parquet(self.path))
+        out.hint("rebalance", F.col(PART)).write.mode("overwrite").partitionBy(PART).parquet(self.merge_path)
+        self.finish()
         return parts
+
+    def finish(self) -> bool:
+        """Replaces the partitions that a merge has written; whether there were any."""
+        fs, p, jvm = T._fs(self.spark, self.merge_path)
+        done = fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+        if done:
+            (self.spark.read.parquet(self.merge_path).hint("rebalance", F.col(PART)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path))
+        fs.delete(p, True)
+        return done
