@@ -3,11 +3,15 @@
 Words lose surrounding punctuation; numbers, units and names become typed
 placeholders, other words are lower-cased.  Windows of ``WINDOW`` template
 tokens of every document are hash-joined with those of the benchmark.  A
-document contains an item when, on one alignment, enough of the item's
-windows match and the placeholders are filled consistently: within a type
-each item value stands for exactly one document value and the other way
-round.  A verbatim passage fills every slot with itself; a re-parameterised
-question renames its values one to one.
+document contains an item when enough of the item's windows match on
+neighbouring alignments (shifts at most ``MAX_SHIFT`` apart, so that an inserted or
+dropped word, or a name of another length, does not split the count), or when
+only windows that one edit can touch are missing there (at most ``WINDOW`` in
+a row; a short item has few others) and the rest cover more than half of the item, and the
+placeholders are filled consistently: within a type each item value stands
+for exactly one document value and the other way round.  A verbatim passage
+fills every slot with itself; a re-parameterised question renames its values
+one to one.
 
 A window with fewer than ``MIN_LITERALS`` literal tokens (number-dense, title-case
 or all-caps text, short items) says too little as a template; it counts where a
@@ -37,7 +41,7 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.llm._common import Scratch, read, words_of
@@ -46,6 +50,8 @@ WINDOW = 8
 MIN_LITERALS = 4
 #: Windows of an item that must match on one alignment (all, if it has fewer).
 MIN_WINDOWS = 5
+#: Alignments whose windows count together differ by so many words at most.
+MAX_SHIFT = 2
 STRIP = ".,;:!?()[]{}\"'#*$%&|<>_-"
 NUMBER, UNIT, NAME = "<num>", "<unit>", "<name>"
 #: Words that name a unit.
@@ -94,8 +100,8 @@ def _is_slot(t):
 
 
 def _item_windows(bench: DataFrame) -> DataFrame:
-    """item_id, key, pos, len, exact, n_windows, n_templates of all windows;
-    those with too few literals are ``exact``."""
+    """item_id, key, pos, len, exact, n_windows, n_templates, n_tokens of all
+    windows; those with too few literals are ``exact``."""
     n = F.size("tmpl")
     b = bench.select("id", "tmpl", F.transform("value", F.lower).alias("value"), F.least(n, F.lit(WINDOW)).alias("len")).filter("len > 0")
     b = b.withColumn("pos", F.explode(F.sequence(F.lit(0), n - F.col("len"))))
@@ -108,15 +114,16 @@ def _item_windows(bench: DataFrame) -> DataFrame:
         key = F.when(F.col("len") == k, F.xxhash64(F.when(F.col("exact"), F.lit(-k)).otherwise(F.lit(k)),
                                                    *[F.xxhash64(F.get(F.col("win"), i)) for i in range(k)])).otherwise(key)
     b = b.select(F.col("id").alias("item_id"), key.alias("key"), "pos", "len", "exact").distinct()
-    per_item = b.groupBy("item_id").agg(F.count("*").alias("n_windows"), F.count(F.when(~F.col("exact"), 1)).alias("n_templates"))
+    per_item = b.groupBy("item_id").agg(F.count("*").alias("n_windows"), F.count(F.when(~F.col("exact"), 1)).alias("n_templates"),
+                                      F.max(F.col("pos") + F.col("len")).alias("n_tokens"))
     return b.join(per_item, "item_id")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS) -> DataFrame:
     """One row per (doc_id, item_id): the document contains the item.
 
-    ``n_matched`` windows of ``n_windows`` on the best alignment, ``n_slots``
-    distinct slot values there, ``changed`` of them with another value."""
+    ``n_matched`` windows of ``n_windows`` on the best alignment and its
+    neighbours, ``n_slots`` distinct slot values there, ``changed`` of them with another value."""
     scratch = Scratch(docs.sparkSession, "decontamination")
     bench_tokens = scratch.write(tokens(benchmark, "item_id"), "items")
     iw = scratch.write(_item_windows(bench_tokens), "item-windows")
@@ -126,11 +133,20 @@ def find(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS)
     hits = windows(tokens(docs, "doc_id"), [n for n, e in found if not e], [n for n, e in found if e]).join(keys, "key", "left_semi")
     hits = scratch.write(hits.select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "key").distinct(), "hits")
     runs = (hits.join(iw, "key")
-            .groupBy("doc_id", "item_id", "n_windows", "n_templates", (F.col("at") - F.col("pos")).alias("shift"))
-            .agg(F.countDistinct("pos").alias("n_matched"), F.min("pos").alias("lo"),
-                 F.size(F.collect_set(F.when(~F.col("exact"), F.col("pos")))).alias("templates"), F.max(F.col("pos") + F.col("len")).alias("hi"))
-            .filter((F.col("n_matched") >= F.least(F.col("n_windows"), F.lit(min_windows)))
-                    | (F.col("n_templates") > 0) & (F.col("templates") >= F.least(F.col("n_templates"), F.lit(min_windows)))))
+            .groupBy("doc_id", "item_id", "n_windows", "n_templates", "n_tokens", (F.col("at") - F.col("pos")).alias("shift"))
+            .agg(F.collect_set("pos").alias("windows"), F.collect_set(F.when(~F.col("exact"), F.col("pos"))).alias("templates"),
+                 F.min("pos").alias("lo"), F.max(F.col("pos") + F.col("len")).alias("hi"), F.max("len").alias("len")))
+    # a pair of document and item has at most as many alignments as the document has words
+    near = Window.partitionBy("doc_id", "item_id").orderBy("shift").rangeBetween(-MAX_SHIFT, MAX_SHIFT)
+    together = lambda c: F.array_distinct(F.flatten(F.collect_list(c).over(near)))
+    runs = runs.withColumn("all", together("windows")).withColumn("named", together("templates"))
+    runs = runs.withColumn("lost", F.array_except(F.sequence(F.lit(0), F.col("n_windows").cast("int") - 1), "all"))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("all", lambda p: F.sequence(p, p + F.col("len") - 1)))))
+    n = F.size("all")
+    enough = ((n >= F.least(F.col("n_windows"), F.lit(min_windows)))
+              | (F.col("n_templates") > 0) & (F.size("named") >= F.least(F.col("n_templates"), F.lit(min_windows)))
+              | (n >= 2) & (F.array_max("lost") - F.array_min("lost") < WINDOW) & (2 * covered > F.col("n_tokens")))
+    runs = runs.filter(enough).select("doc_id", "item_id", "n_windows", "shift", n.cast("long").alias("n_matched"), "lo", "hi")
     runs = scratch.write(runs, "runs")
     # words of the matched stretches
     per_doc = runs.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(
@@ -203,11 +219,23 @@ WITH d AS ({_tokens_sql('documents', 'doc_id')}
 ), dw AS (SELECT * FROM ({_windows_sql('d', str(WINDOW - 1))}) WHERE len(k) = {WINDOW}
 ), bw AS (SELECT * FROM ({_windows_sql('b', str(WINDOW - 1))}) WHERE len(k) = {WINDOW} AND lits >= {MIN_LITERALS}
 ), nw AS (SELECT id, count(*) AS n_windows FROM bw GROUP BY id
+), hit AS (
+  SELECT dw.id AS doc_id, bw.id AS item_id, n_windows, dw.pos - bw.pos AS shift, bw.pos AS pos
+  FROM dw JOIN bw ON dw.k = bw.k JOIN nw ON nw.id = bw.id
+), one AS (
+  SELECT doc_id, item_id, n_windows, shift, min(pos) AS lo, max(pos) + {WINDOW} AS hi FROM hit GROUP BY ALL
+), near AS (
+  SELECT o.*, h.pos FROM one o JOIN hit h ON h.doc_id = o.doc_id AND h.item_id = o.item_id AND abs(h.shift - o.shift) <= {MAX_SHIFT}
+), n AS (
+  SELECT doc_id, item_id, n_windows, shift, lo, hi, count(DISTINCT pos) AS n_matched,
+         len(list_distinct(flatten(list(range(pos, pos + {WINDOW}))))) AS covered, list(DISTINCT pos) AS ps
+  FROM near GROUP BY ALL
+), size AS (SELECT id AS item_id, count(*) AS n_tokens FROM b GROUP BY id
 ), runs AS (
-  SELECT dw.id AS doc_id, bw.id AS item_id, n_windows, dw.pos - bw.pos AS shift,
-         count(*) AS n_matched, min(bw.pos) AS lo, max(bw.pos) + {WINDOW} AS hi
-  FROM dw JOIN bw ON dw.k = bw.k JOIN nw ON nw.id = bw.id GROUP BY ALL
-  HAVING count(*) >= least(n_windows, {MIN_WINDOWS})
+  SELECT doc_id, item_id, n_windows, shift, lo, hi, n_matched FROM (
+    SELECT n.*, n_tokens, list_filter(range(n_windows), lambda x: NOT list_contains(ps, x)) AS lost FROM n JOIN size USING (item_id))
+  WHERE n_matched >= least(n_windows, {MIN_WINDOWS})
+     OR n_matched >= 2 AND list_max(lost) - list_min(lost) < {WINDOW} AND 2 * covered > n_tokens
 ), al AS (
   SELECT r.*, b.tmpl AS t, lower(b.value) AS x, lower(d.value) AS y
   FROM runs r JOIN b ON b.id = r.item_id AND b.pos >= lo AND b.pos < hi
