@@ -162,7 +162,7 @@ def profile_all(spark: SparkSession, staging_root: str, out_dir: str, log_path:
 
         def one(name: str, df: DataFrame) -> None:
             try:   # one row per column: tiny, one file
-                p = profile(df, name, exact=exact, sample_k=sample_k if exact else 0)
+                p = profile(df, name, exact=exact, sample_k=sample_k if exact else 0, stored=True)
                 T.write_table(p.coalesce(1), f"{out}/profile/{name}")
                 done.append(name)
                 log.add(step="Profiling", status="Success", source="from Staging", table_name=name)

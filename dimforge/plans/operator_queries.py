@@ -336,7 +336,7 @@ for _name in STAGED:
 def _profile_base(table):
     def q(spark, d):
         register_base_tables(spark, d, (table,))
-        return profile(spark.table(table), table)
+        return profile(spark.table(table), table, stored=True)
     return q
 
 

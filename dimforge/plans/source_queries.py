@@ -126,7 +126,7 @@ def q_profile_merged(spark, d):
     open_items = F.coalesce(F.col("l_linestatus") == "O", F.lit(False))
     for batch, rows in (("closed", items.where(~open_items)), ("open", items.where(open_items)), ("closed", items.where(~open_items))):
         profile_state.store(rows, path, batch)
-    exact = profile(items, "lineitem").select("column_name", F.col("unique_count").alias("exact"))
+    exact = profile(items, "lineitem", stored=True).select("column_name", F.col("unique_count").alias("exact"))
     near = F.abs(F.col("unique_count") - F.col("exact")) <= F.greatest(F.lit(1), 0.03 * F.col("exact"))
     return profile_state.merged(spark, path, "lineitem").join(F.broadcast(exact), "column_name") \
         .withColumn("distinct_close", near).drop("unique_count", "exact")

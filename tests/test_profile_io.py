@@ -145,3 +145,19 @@ def test_uncommitted_version_is_not_read(spark, scratch):
     os.remove(f"{path}/v=1/_SUCCESS")
     with pytest.raises(FileNotFoundError):
         T.read_table(spark, path)
+
+
+def test_profile_orders_few_values(spark, monkeypatch):
+    """Extremes and the smallest values are exact wherever they stand, whatever the bounds; no text is sorted for them."""
+    from dimforge.operators import profile as P
+    monkeypatch.setattr(P, "BOUND_ROWS", 10)
+    rows = [(1000 - i, f"k{1000 - i:04d}", None if i < 20 else f"t{i % 7}", -0.0 if i % 2 else 0.0, None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "n int, s string, late string, z double, nothing string")
+    p = {r.column_name: r for r in profile(df, "t", sample_k=3).collect()}
+    assert p["n"].sample_values == ["1", "2", "3"] and (p["n"].min_value, p["n"].max_value) == ("1", "1000")
+    assert p["s"].sample_values == ["k0001", "k0002", "k0003"] and p["s"].max_value == "k1000" and p["s"].unique_count == 1000
+    assert p["late"].sample_values == ["t0", "t1", "t2"] and (p["late"].null_count, p["late"].unique_count) == (20, 8)
+    assert p["z"].unique_count == 1 and p["z"].min_value == "0.0"
+    assert p["nothing"].sample_values is None and p["nothing"].unique_count == 1 and p["nothing"].max_value is None
+    text = profile(df, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "ObjectHashAggregate" in text
