@@ -152,3 +152,14 @@ def test_split_incoming(spark):
     assert sorted(map(tuple, unique.collect())) == [(1, "b"), (2, None), (3, "c")]
     assert sorted(map(repr, map(tuple, rejected.collect()))) == sorted(map(repr, [
         (1, "a", "duplicate key"), (1, "b", "duplicate key"), (2, None, "duplicate key"), (None, "x", "NULL key"), (None, "x", "NULL key")]))
+
+
+def test_keep_one_record(spark):
+    """The rows that ``keep_one`` keeps; only rows of repeated ids are shuffled and sorted."""
+    from dimforge.operators.dedupe import keep_one, keep_one_record
+    rows = [(i, f"r{i}", i) for i in range(50)] + [(7, "newer", 99), (7, "older", 1), (None, "a", 1), (None, "b", 2), (9, "r9", 9)]
+    df = spark.createDataFrame(rows, "k int, v string, at int").repartition(5)
+    got = keep_one_record(df, "k", ["at"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, keep_one(df, ["k"], ["at"]).collect()))
+    unique = df.where("k < 7")
+    assert keep_one_record(unique, "k", ["at"]) is unique
