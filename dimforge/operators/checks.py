@@ -7,12 +7,12 @@ table are fused into a single aggregate pass where they can be.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.operators.refcheck import key_set, keep_missing
+from dimforge.operators.refcheck import flag_matches, key_set, keep_missing
 
 RESULT_COLUMNS = ["table_name", "check_name", "column_name", "violations"]
 
@@ -57,6 +57,22 @@ def foreign_key(df: DataFrame, table: str, column: str, ref: DataFrame, ref_colu
         F.lit(column).alias("column_name"), F.col("violations").cast("long").alias("violations"))
 
 
+def foreign_keys(tables: Mapping[str, DataFrame], declared: Sequence[tuple[str, str, str, str]],
+                 keys: Callable[[str, str], DataFrame]) -> DataFrame:
+    """``foreign_key`` for all ``declared`` (table, column, referenced table,
+    referenced column): a table is read once for all its references.
+    ``keys(table, column)`` gives the distinct non-NULL keys of a referenced column."""
+    parts = []
+    for table in dict.fromkeys(t for t, _, _, _ in declared):
+        refs = [(c, rt, rc) for t, c, rt, rc in declared if t == table]
+        df = tables[table].select(*dict.fromkeys(c for c, _, _ in refs))
+        for i, (c, rt, rc) in enumerate(refs):
+            df = flag_matches(df, keys(rt, rc), [c], f"__known{i}")
+        parts.append(_rows(df, table, "foreign_key", {
+            c: F.count_if(F.col(c).isNotNull() & ~F.col(f"__known{i}")) for i, (c, _, _) in enumerate(refs)}))
+    return union_all(parts)
+
+
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dimforge.operators.refcheck import key_set, written
 from dimforge.plans import warehouse as W
 from dimforge.plans.fixtures import staged
 
@@ -21,13 +22,35 @@ def query(name: str):
 
 
 class Warehouse:
-    """Lazily built transforms over one data dir (dims are shared plans)."""
+    """Lazily built transforms over one data dir (dims are shared plans).
+    Queries over several tables first write what these share (``entity``,
+    ``keys_of``), as ``jobs.build_warehouse`` does; the tables then read it."""
 
     def __init__(self, spark: SparkSession, data_dir: str, mode: str = "compat"):
         self.st = staged(spark, data_dir)
         self.mode = mode
         self._cache: dict[str, W.Built] = {}
         self._keys: W.Keys | None = None
+        self._rows: dict[str, DataFrame] = {}
+        self._sets: dict[tuple[str, str], DataFrame] = {}
+
+    def keys_of(self, table: str, column: str) -> DataFrame:
+        """The distinct non-NULL values of a referenced column, written once."""
+        if (table, column) not in self._sets:
+            self._sets[table, column] = key_set(self.get(table).valid, column)
+        return self._sets[table, column]
+
+    def rows(self, name: str) -> DataFrame:
+        """A staged relation whose recipe shuffles, written once (its transform reads it twice)."""
+        if name not in self._rows:
+            self._rows[name] = written(self.st[name])
+        return self._rows[name]
+
+    def entity(self, name: str) -> W.Built:
+        """A dimension with its valid rows written; call it before what refers to it."""
+        built = self.get(name)
+        self._cache[name] = W.Built(built.table, written(built.valid), built.key)
+        return self._cache[name]
 
     def get(self, name: str) -> W.Built:
         if name not in self._cache:
@@ -53,10 +76,11 @@ class Warehouse:
         if name == "dim_funding_rounds":
             return W.transform_funding_rounds(st["funding_rounds"], company, people, mode=m, keys=k)
         if name == "fact_relationship":
-            return W.transform_relationship(st["relationship"], company, people, mode=m, keys=k)
+            return W.transform_relationship(self.rows("relationship"), company, people, mode=m, keys=k)
         if name == "fact_investments":
-            rounds = self.get("dim_funding_rounds").valid
-            return W.transform_investments(st["investments"], company, people, rounds, mode=m, keys=k)
+            rounds = self._sets.get(("dim_funding_rounds", "funding_round_id"))
+            rounds = self.get("dim_funding_rounds").valid if rounds is None else rounds
+            return W.transform_investments(self.rows("investments"), company, people, rounds, mode=m, keys=k)
         if name == "dim_funds":
             return W.transform_funds(st["funds"], mode=m)
         raise KeyError(name)

@@ -239,7 +239,7 @@ QUERIES["poly_fk_funding"] = QUERIES["dim_funding_rounds"]
 @query("poly_fk_untyped")
 def q_poly_fk_untyped(spark, d):
     wh = Warehouse(spark, d)
-    i = W.investments_prepared(wh.st["investments"])
+    i = W.investments_prepared(wh.rows("investments"))
     r = W.resolve_funded_type(i, wh.get("dim_company").valid, wh.get("dim_people").valid)
     return r.select("investment_id", "funded_object_id", "funded_entity_type")
 
@@ -247,7 +247,7 @@ def q_poly_fk_untyped(spark, d):
 @query("poly_fk_typed_investor")
 def q_poly_fk_typed_investor(spark, d):
     wh = Warehouse(spark, d)
-    i = W.investments_prepared(wh.st["investments"])
+    i = W.investments_prepared(wh.rows("investments"))
     typed = typed_key_set(c=(wh.get("dim_company").valid, "company_object_id"),
                           p=(wh.get("dim_people").valid, "people_object_id"))
     return keep_matching(i, typed, ["investor_entity_type", "investor_object_id"]).select(
@@ -257,7 +257,7 @@ def q_poly_fk_typed_investor(spark, d):
 @query("fk_funding_round")
 def q_fk_funding_round(spark, d):
     wh = Warehouse(spark, d)
-    i = W.investments_prepared(wh.st["investments"])
+    i = W.investments_prepared(wh.rows("investments"))
     return keep_matching(i, key_set(wh.get("dim_funding_rounds").valid, "funding_round_id"),
                          ["funding_round_id"]).select("investment_id", "funding_round_id")
 
@@ -285,7 +285,7 @@ def q_dedupe_milestones_entity(spark, d):
 
 @query("dedupe_relationship")
 def q_dedupe_relationship(spark, d):
-    return W.relationship_prepared(fixture(spark, d, "relationship"))
+    return W.relationship_prepared(Warehouse(spark, d).rows("relationship"))
 
 
 @query("dedupe_lineitem")
@@ -360,8 +360,15 @@ def q_profile_all(spark, d):
 
 
 # ------------------------------------------------------------------ C1-C5 declared constraints
-def _warehouse(spark, d) -> dict[str, DataFrame]:
+def _with_entities(spark, d) -> Warehouse:
     wh = Warehouse(spark, d)
+    for dim in ("dim_company", "dim_people"):
+        wh.entity(dim)
+    return wh
+
+
+def _warehouse(spark, d) -> dict[str, DataFrame]:
+    wh = _with_entities(spark, d)
     return {t: wh.get(t).valid for t in WAREHOUSE_TABLES}
 
 
@@ -391,8 +398,11 @@ def q_check_decimal(spark, d):
 
 @query("check_fk")
 def q_check_fk(spark, d):
-    tb = _warehouse(spark, d)
-    return C.union_all([C.foreign_key(tb[t], t, c, tb[rt], rc) for t, c, rt, rc in S.FOREIGN_KEYS])
+    wh = _with_entities(spark, d)
+    for _, _, table, column in S.FOREIGN_KEYS:
+        wh.keys_of(table, column)
+    tables = {t: wh.get(t).valid for t, _, _, _ in S.FOREIGN_KEYS}
+    return C.foreign_keys(tables, S.FOREIGN_KEYS, lambda table, column: wh.keys_of(table, column))
 
 
 # ------------------------------------------------------------------ S1/S5/S6 sources, K1/K2 sinks

@@ -151,7 +151,7 @@ def q_fk_runtime_filter(spark, d):
     """Investments whose funding round was raised in other than US dollars, by a runtime filter."""
     path, facts = scratch(spark, "rounds"), scratch(spark, "investments")
     T.write_table(W._rounds_clean(fixture(spark, d, "funding_rounds")), path)
-    T.write_table(W.investments_prepared(fixture(spark, d, "investments")), facts)
+    T.write_table(W.investments_prepared(written(fixture(spark, d, "investments"))), facts)
     with runtime_filters(spark, fact_at_least="0", keys_at_most="1GB"):
         return written(keep_matching_where(spark.read.parquet(facts), spark.read.parquet(path), ["funding_round_id"],
                                            ["funding_round_id"], "raised_currency <> 'USD'"))

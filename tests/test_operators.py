@@ -163,3 +163,23 @@ def test_keep_one_record(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, keep_one(df, ["k"], ["at"]).collect()))
     unique = df.where("k < 7")
     assert keep_one_record(unique, "k", ["at"]) is unique
+
+
+def test_foreign_keys_share_keys_and_tables(spark):
+    from dimforge.operators import checks as C
+    from dimforge.operators.refcheck import key_set
+    ref = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
+    fact = spark.createDataFrame([(1, 1), (1, 3), (None, 4), (5, None)], "a int, b int")
+    declared = [("t", "a", "r", "id"), ("u", "a", "r", "id"), ("t", "b", "r", "id")]
+    made = key_set(ref, "id")
+    got = C.foreign_keys({"t": fact, "u": fact}, declared, lambda table, column: made)
+    want = C.union_all([C.foreign_key(fact, t, c, ref, rc) for t, c, _, rc in declared])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.dtypes == want.dtypes
+
+
+def test_warehouse_writes_shared_dimensions_once(spark):
+    """Tables read the written company dimension: its text cleaning is in none of their plans."""
+    from conftest import SF_SMALL
+    from dimforge.plans.operator_queries import _warehouse
+    plans = {t: df._jdf.queryExecution().optimizedPlan().toString() for t, df in _warehouse(spark, SF_SMALL).items()}
+    assert "nfkd_ascii" not in plans["dim_company"] + plans["fact_acquisition"]
