@@ -25,6 +25,7 @@ from dimforge.sources.catalog import extract_catalog, register
 from dimforge.sources.files import read_csv_checked
 
 PAGES = 4
+PAGE_ROWS = 1000  # about as many records a page where a day has more than fit on these
 
 
 # ------------------------------------------------------------------ S6 API
@@ -49,11 +50,14 @@ def write_answers(answers: DataFrame, folder: str) -> str:
 def _milestone_answers(spark, d) -> str:
     """All milestones as paged daily answers; before them a day that answers
     503, one with a broken body, one without records and one that is missing."""
-    m = fixture(spark, d, "milestones")
-    pages = m.groupBy(F.col("milestone_at").alias("day"), (F.pmod(F.xxhash64("milestone_id"), F.lit(PAGES)) + 1).cast("int").alias("page")).agg(
-        F.concat(F.lit('{"data": {"items": ['), F.array_join(F.collect_list(F.to_json(F.struct(*m.columns))), ","), F.lit("]}}")).alias("body"))
+    m = fixture(spark, d, "milestones").withColumn("day", F.col("milestone_at"))
+    # a busier day has more pages, not longer ones
+    days = written(m.groupBy("day").agg(F.greatest(F.lit(PAGES), F.ceil(F.count(F.lit(1)) / PAGE_ROWS).cast("int")).alias("n_pages")))
+    body = F.to_json(F.struct(*[c for c in m.columns if c != "day"]))
+    pages = m.join(F.broadcast(days), "day").groupBy("day", (F.pmod(F.xxhash64("milestone_id"), "n_pages") + 1).cast("int").alias("page")).agg(
+        F.concat(F.lit('{"data": {"items": ['), F.array_join(F.collect_list(body), ","), F.lit("]}}")).alias("body"))
     # a page may have no milestone by hash: every day has all its pages, and an empty one after them
-    every = m.select(F.col("milestone_at").alias("day")).distinct().withColumn("page", F.explode(F.sequence(F.lit(1), F.lit(PAGES + 1))))
+    every = days.select("day", F.explode(F.sequence(F.lit(1), F.col("n_pages") + 1)).alias("page"))
     none = F.lit('{"data": {"items": []}}')
     answers = every.join(pages, ["day", "page"], "left").select(
         "day", "page", F.lit(200).alias("status"), F.coalesce("body", none).alias("body"))

@@ -197,3 +197,19 @@ def test_staging_through_a_database(spark, scratch):
     counts = jobs.stage_all(spark, SF_SMALL, f"{scratch}/staging", database=db)
     staged = jobs.read_staged(spark, f"{scratch}/staging", database=db)
     assert set(staged) == set(jobs.STAGED_NAMES) and {n: d.count() for n, d in staged.items()} == counts
+
+
+def test_busy_days_have_more_pages(spark, scratch, monkeypatch):
+    """Milestone answers: a page's size does not grow with its day."""
+    import glob
+    import json
+
+    from dimforge.plans import source_queries as Q
+    rows = [(i, "c:1", "2024-01-01" if i < 300 else "2024-01-02") for i in range(320)]
+    m = spark.createDataFrame(rows, "milestone_id long, object_id string, milestone_at string")
+    monkeypatch.setattr(Q, "fixture", lambda *_: m)
+    monkeypatch.setattr(Q, "PAGE_ROWS", 10)
+    monkeypatch.setattr(Q, "scratch", lambda *_: f"{scratch}/answers")
+    assert Q._milestone_answers(spark, None).startswith(f"landed:{scratch}/answers/")
+    sizes = [len(json.loads(open(f, "rb").read().split(b"\r\n\r\n")[1])["data"]["items"]) for f in glob.glob(f"{scratch}/answers/2024-*.http")]
+    assert sum(sizes) == 320 and max(sizes) < 40 and len(sizes) == 31 + 5
