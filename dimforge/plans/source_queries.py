@@ -26,6 +26,7 @@ from dimforge.sources.files import read_csv_checked
 
 PAGES = 4
 PAGE_ROWS = 1000  # about as many records a page where a day has more than fit on these
+PAGE_BATCH = 16  # pages handed to a Python worker at a time
 
 
 # ------------------------------------------------------------------ S6 API
@@ -43,7 +44,13 @@ def write_answers(answers: DataFrame, folder: str) -> str:
                     f.write(head.encode() + body)
             yield pd.DataFrame({"n": [len(frame)]})
 
-    answers.mapInPandas(run, "n long").agg(F.sum("n")).collect()
+    size, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", answers.sparkSession.conf
+    before = conf.get(size, None)
+    conf.set(size, PAGE_BATCH)   # a row is a whole page: the default would hand over a partition at once
+    try:
+        answers.mapInPandas(run, "n long").agg(F.sum("n")).collect()
+    finally:
+        conf.unset(size) if before is None else conf.set(size, before)
     return f"landed:{folder}/{{start}}_{{page}}.http"
 
 

@@ -213,3 +213,24 @@ def test_busy_days_have_more_pages(spark, scratch, monkeypatch):
     assert Q._milestone_answers(spark, None).startswith(f"landed:{scratch}/answers/")
     sizes = [len(json.loads(open(f, "rb").read().split(b"\r\n\r\n")[1])["data"]["items"]) for f in glob.glob(f"{scratch}/answers/2024-*.http")]
     assert sum(sizes) == 320 and max(sizes) < 40 and len(sizes) == 31 + 5
+    assert Q.PAGE_BATCH * Q.PAGE_ROWS <= 16_000 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(Q.PAGE_BATCH)
+
+
+def test_answers_are_handed_over_in_small_batches(spark, scratch, monkeypatch):
+    """A worker holds a few pages, not those of a whole partition."""
+    from dimforge.plans import source_queries as Q
+    sizes = []
+
+    class Frames:
+        def __init__(self, df):
+            self.df, self.sparkSession = df, df.sparkSession
+
+        def mapInPandas(self, run, schema):
+            sizes.append(self.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+            return self.df.mapInPandas(run, schema)
+
+    df = spark.range(40).selectExpr("'2024-01-01' AS day", "int(id) AS page", "200 AS status", "'[]' AS body").coalesce(1)
+    Q.write_answers(Frames(df), f"{scratch}/a")
+    assert sizes == [str(Q.PAGE_BATCH)]
+    import os
+    assert len(os.listdir(f"{scratch}/a")) == 40
