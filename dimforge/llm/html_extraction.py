@@ -1,31 +1,36 @@
-"""HTML extraction: article text, with host-wide repeated substrings for pages
-whose markup does not say where the article is.
+"""HTML extraction: article text, by host-wide repeated substrings and markup.
 
 Step 1 reads a page's markup once, in time linear in its length whatever it
 holds: text inside menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments is left out (elements, roles and
 the words of class and id attributes say so), the rest is cut into blocks at
-block-level tags.  A page is marked if most of this text (at least one part
-in ``MARKED_PART``) stands inside ``article`` or ``main``; the text of a marked
-page is exactly the blocks inside.
+block-level tags, marked if they stand inside ``article`` or ``main``.
 
 Inside a marked container authors name headings and paragraphs after their
 content: headings are never left out for a word, other elements that hold
 text of their own (and the containers themselves) only for a class that is one
 of the words as a whole, never for an id.
 
-Step 2 serves the other pages.  The token streams of a host's pages form one
-sequence; suffixes that share their first ``MIN_RUN`` tokens would stand side by
-side in its suffix array, so grouping all suffixes by that prefix (hashed,
-with the host) finds the same neighbours without ordering what follows.
-Where they belong to distinct pages the substring is boilerplate; tokens
-covered by one go, the unique runs stay.  The key is host and prefix, so a host with
-a third of all pages is spread over all tasks, and a prefix leaves a task
-once however often it occurs.
-
-Why not step 2 for every page: menus, adverts and footers that differ from
-page to page would stay, and an article that a host publishes twice would go
-(see the README for figures, and for the share of pages that reach step 2).
+Step 2 takes the token streams of all pages of a host as one sequence and
+finds the substrings of ``MIN_RUN`` tokens or more that belong to distinct
+pages, as neighbours in the order of its suffixes:
+
+1. Only suffixes that can have a twin are ordered: those in segments whose
+   winnowed anchor (hashed with the host, see ``_anchors``) occurs again.
+   Equal segments are one class; a class on two pages is repeated whole.
+2. Where classes of one page share their anchor with others, the suffixes of
+   one segment a class are sorted by their first ``MIN_RUN`` tokens in every
+   task, neighbours that share them become one entry with its smallest and
+   largest page, and the orders of the tasks are merged entry by entry.  So
+   neither a host with a third of all pages nor a line on all of them meets in
+   one task.
+3. Overlapping repeats are joined to maximal runs.
+
+Step 3 judges every page by its runs.  Text outside of marked containers is
+boilerplate where a run covers it.  The containers are the article unless
+what is left outside outweighs them ``MARKED_PART`` - 1 times.  As the exact
+check by markup, containers that are the article give their blocks whole, so
+an article that a host publishes twice stays; other pages give their unique runs.
 
 Defined results
   * null or empty html: empty text;
@@ -42,16 +47,24 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimforge.llm._anchors import Unit, _mix, merged, pack, unpack
 from dimforge.llm._common import Scratch, ascii_lower, read
 
-#: Tokens a repeated substring must have.
+#: Tokens a repeated substring must have, and tokens of an anchor.
 MIN_RUN = 12
+GRAM = 4
+
+#: Segments and texts are shuffled in so many rounds, so that only a part of them is on disk at a time.
+ROUNDS = 2
+TEXT_ROUNDS = 3
 
 #: A page whose text inside marked containers is less than one part in this many is not marked.
 MARKED_PART = 6
@@ -275,10 +288,14 @@ def blocks(page: str | None) -> tuple[list[str], list[str]]:
     return [t for m, t in found if m], [t for m, t in found if not m]
 
 
-def is_marked(found: list[tuple[bool, str]]) -> bool:
-    """Whether the text inside marked containers is (most of) what the page has."""
+def is_marked(found: list[tuple[bool, str]], unique: list[str] | None = None) -> bool:
+    """Whether the text inside marked containers is (most of) what the page has.
+
+    ``unique``: of every block, what no other page of the host repeats."""
+    unique = [t for _, t in found] if unique is None else unique
     inside = sum(len(t) for m, t in found if m)
-    return not found or inside * MARKED_PART >= sum(len(t) for _, t in found)
+    outside = sum(len(u) for (m, _), u in zip(found, unique) if not m)
+    return not found or inside * MARKED_PART >= inside + outside
 
 
 def _host(url):
@@ -286,79 +303,180 @@ def _host(url):
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, the text if the page is marked, else its blocks."""
+    """page_id, url, host and the blocks of every page."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text: list[str | None] = []
-            rest: list[list[str] | None] = []
-            for t in b.column(3):
-                found = ordered_blocks(t.as_py())
-                marked = is_marked(found)
-                text.append("\n".join(t for m, t in found if m) if marked else None)
-                rest.append(None if marked else [t for _, t in found])
+            found = [ordered_blocks(t.as_py()) for t in b.column(3)]
+            ends = np.cumsum([0, *map(len, found)])
+            of_all = pa.StructArray.from_arrays([pa.array([m for f in found for m, _ in f], pa.bool_()),
+                                                 pa.array([t for f in found for _, t in f], pa.string())], ["main", "text"])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), b.column(1), b.column(2), pa.array(text, pa.string()), pa.array(rest, pa.list_(pa.string()))],
-                ["page_id", "url", "host", "text", "blocks"])
+                [b.column(0).cast(pa.int64()), b.column(1), b.column(2), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), of_all)],
+                ["page_id", "url", "host", "blocks"])
 
     return pages.select("page_id", "url", _host(F.col("url")).alias("host"), "html").mapInArrow(
-        run, "page_id long, url string, host string, text string, blocks array<string>")
+        run, "page_id long, url string, host string, blocks array<struct<main:boolean,text:string>>")
 
 
-def _suffixes(size: int):
-    """(host, 128-bit prefix, page, at) of every suffix of a page's token stream."""
+def _per_page(col: pa.Array, field: int) -> Iterator[list]:
+    """One field of the blocks of every page."""
+    values, at = col.flatten().field(field).to_pylist(), 0
+    for n in col.value_lengths().to_pylist():
+        yield values[at:at + n]
+        at += n
+
+
+def _streams(col: pa.Array) -> list[str]:
+    """The token stream of every page: its blocks, tokens joined by spaces."""
+    return [" ".join(texts) for texts in _per_page(col, 1)]
+
+
+def _segments(unit: Unit, hosts: pa.Array, col: pa.Array, digests: bool = False) -> tuple[np.ndarray, ...]:
+    """``segments_of`` the token streams, anchors hashed with the host."""
+    text, h, *rest = unit.segments_of(pa.array([t.encode() for t in _streams(col)], pa.binary()), digests)
+    host = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in hosts.to_pylist()), np.uint64, len(hosts))
+    return text, _mix(h ^ host[text]).view(np.int64), *rest
+
+
+def _anchors(unit: Unit):
+    """(h, n): how often an anchor of a host occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h, n = np.unique(_segments(unit, b.column(0), b.column(1))[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
+
+    return run
+
+
+def _occurrences(unit: Unit, turn: int):
+    """(anchor, digest, page, row, place) of the segments of one round."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for host, page, row, bl in zip(*(b.column(i).to_pylist() for i in range(4))):
-                t = [w for x in bl for w in x.split(" ")]
-                keys = [xxhash.xxh3_128_digest("\0".join(t[i:i + size]).encode()) for i in range(len(t) - size + 1)]
-                n = len(keys)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([host] * n, pa.string()), pa.array(keys, pa.binary()), pa.array([page] * n, pa.int64()),
-                     pa.array([row] * n, pa.int64()), pa.array(range(n), pa.int32())], ["host", "prefix", "page", "row", "at"])
+            found = _segments(unit, b.column(0), b.column(1), digests=True)
+            mine = found[1] % ROUNDS == turn
+            text, h, start, count, offset, digest = (c[mine] for c in found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(digest.view(np.int64)), pa.array(b.column(2).to_numpy()[text]),
+                 pa.array(b.column(3).to_numpy()[text]), pa.array(pack(start, offset, count))], ["h", "s", "page", "row", "x"])
 
     return run
 
 
-def _cut(size: int):
+def _suffixes(size: int):
+    """Every suffix of the given segments: host, first tokens, class, place in the segment, the class's pages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = []
-            for bl, starts in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                covered = {i for s in starts or () for i in range(s, s + size)}
-                at, out = 0, []
-                for x in bl:
-                    words = x.split(" ")
-                    kept = [w for i, w in enumerate(words, at) if i not in covered]
-                    at += len(words)
-                    if kept:
-                        out.append(" ".join(kept))
-                text.append("\n".join(out))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], ["page_id", "url", "text"])
+            rows = []
+            for host, stream, found in zip(b.column(0).to_pylist(), _streams(b.column(1)), b.column(2).to_pylist()):
+                t = stream.split(" ")
+                for f in found:
+                    start, _, n = unpack(f["x"])
+                    rows += [(host, " ".join(t[start + i:start + i + size]), f["h"], f["s"], i, f["lo"], f["hi"]) for i in range(n)]
+            cols = list(zip(*rows)) or [()] * 7
+            types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], ["host", "prefix", "h", "s", "i", "lo", "hi"])
 
     return run
 
 
-def remove_repeats(unmarked: DataFrame, scratch: Scratch, size: int = MIN_RUN) -> DataFrame:
-    """page_id, url, text: the runs of tokens that no other page of the host repeats."""
-    u = scratch.write(unmarked.select("page_id", "url", "host", "blocks").withColumn("row", F.monotonically_increasing_id()), "unmarked")
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """host, prefix, lo, hi: one entry for neighbours in the order that share their first tokens (and one a batch)."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        host, prefix = b.column(0).to_pylist(), b.column(1).to_pylist()
+        first = [i for i in range(len(host)) if not i or prefix[i] != prefix[i - 1] or host[i] != host[i - 1]]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(first)), b.column(1).take(pa.array(first)),
+             pa.array(np.minimum.reduceat(b.column(2).to_numpy(), first)), pa.array(np.maximum.reduceat(b.column(3).to_numpy(), first))],
+            ["host", "prefix", "lo", "hi"])
+
+
+def find_repeats(parsed: DataFrame, scratch: Scratch, size: int = MIN_RUN) -> DataFrame:
+    """row, ranges: the token ranges [lo, hi) of a page that another page of its host repeats (they may overlap).
+
+    ``parsed`` is a written table with a column ``row`` that numbers its rows."""
+    unit = Unit(size, GRAM, words=True)
+    s = scratch
+    counts = parsed.select("host", "blocks").mapInArrow(_anchors(unit), "h long, n long")
+    again = s.write(counts.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "again")
     own = F.coalesce("page_id", -F.col("row") - 1)
-    suf = u.select("host", own.alias("page"), "row", "blocks").mapInArrow(
-        _suffixes(size), "host string, prefix binary, page long, row long, at int")
-    repeated = scratch.write(suf.groupBy("host", "prefix").agg(F.min("page").alias("lo"), F.max("page").alias("hi"))
-                             .filter("lo <> hi").select("host", "prefix"), "repeated")
-    starts = suf.join(repeated, ["host", "prefix"], "left_semi").groupBy("row").agg(F.collect_list("at").alias("starts"))
-    return u.join(starts, "row", "left").select("page_id", "url", "blocks", "starts").mapInArrow(
-        _cut(size), "page_id long, url string, text string")
+    streams = parsed.select("host", "blocks", own.alias("page"), "row")
+    found = []
+    for k in range(ROUNDS):
+        s.release()
+        each = streams.mapInArrow(_occurrences(unit, k), "h long, s long, page long, row long, x long")
+        found.append(s.write(each.join(again.hint("shuffle_hash"), "h"), f"occurrences-{k}"))
+    occ = reduce(DataFrame.unionByName, found)
+    s.drop("again")
+    classes = s.write(occ.groupBy("h", "s").agg(F.min("page").alias("lo"), F.max("page").alias("hi"),
+                                                F.min(F.struct("row", "x")).alias("first")).select("h", "s", "lo", "hi", "first.*"), "classes")
+    start, windows = F.shiftright("x", 16), F.col("x").bitwiseAND(255)
+    s.release()
+    whole = (occ.join(classes.filter("lo <> hi").select("h", "s"), ["h", "s"])
+             .select("row", start.alias("lo"), (start + windows + (size - 1)).alias("hi")))
+    whole = s.write(whole, "whole")
+
+    # classes of one page that share their anchor with another page
+    mixed = (classes.groupBy("h").agg(F.min("lo").alias("a"), F.max("hi").alias("z"), F.max(F.expr("lo = hi")).alias("open"))
+             .filter("a <> z and open").select("h"))
+    need = classes.join(s.write(mixed, "mixed"), "h").groupBy("row").agg(F.collect_list(F.struct("h", "s", "x", "lo", "hi")).alias("found"))
+    need = s.write(need, "open")
+    found = []
+    for k in range(TEXT_ROUNDS):
+        s.release()
+        mine = F.col("row") % TEXT_ROUNDS == k
+        texts = parsed.select("row", "host", "blocks").filter(mine).join(need.filter(mine), "row").select("host", "blocks", "found")
+        found.append(s.write(texts.mapInArrow(
+            _suffixes(size), "host string, prefix string, h long, s long, i int, lo long, hi long"), f"suffixes-{k}"))
+    suffixes = reduce(DataFrame.unionByName, found)
+    s.drop("mixed", "open")
+    order = suffixes.select("host", "prefix", "lo", "hi").sortWithinPartitions("host", "prefix").mapInArrow(
+        _neighbours, "host string, prefix string, lo long, hi long")
+    repeated = s.write(order.groupBy("host", "prefix").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+                       .filter("lo <> hi").select("host", "prefix"), "repeated")
+    single = suffixes.filter("lo = hi").join(repeated, ["host", "prefix"], "left_semi").select("h", "s", "i")
+    s.release()
+    at = start + F.col("i")
+    partly = occ.join(single, ["h", "s"]).select("row", at.alias("lo"), (at + size).alias("hi"))
+    out = s.write(whole.unionByName(partly).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
+    s.drop("classes", "whole", "repeated", *[f"occurrences-{k}" for k in range(ROUNDS)], *[f"suffixes-{k}" for k in range(TEXT_ROUNDS)])
+    return out
+
+
+def article(found: list[tuple[bool, str]], runs: list[tuple[int, int]]) -> str:
+    """The text of a page from its blocks and the runs of tokens that its host repeats."""
+    texts = [t for _, t in found]
+    if runs and not all(m for m, _ in found):
+        covered = {i for lo, hi in runs for i in range(lo, hi)}
+        at = 0
+        for k, t in enumerate(texts):
+            words = t.split(" ")
+            texts[k] = " ".join(w for i, w in enumerate(words, at) if i not in covered)
+            at += len(words)
+    if is_marked(found, texts):
+        return "\n".join(t for m, t in found if m)
+    return "\n".join(t for t in texts if t)
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        blocks = b.column(2)
+        text = [article(list(zip(*page)), runs) for *page, runs in zip(_per_page(blocks, 0), _per_page(blocks, 1), merged(b.column(3)))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page; each page is parsed once."""
     scratch = Scratch(pages.sparkSession, "html")
-    parsed = scratch.write(parse(pages), "parsed")
-    marked = parsed.filter("text is not null").select("page_id", "url", "text")
-    unmarked = parsed.filter("text is null")
-    out = marked.unionByName(remove_repeats(unmarked, scratch)) if unmarked.take(1) else marked
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    parsed = scratch.write(parse(pages).withColumn("row", F.monotonically_increasing_id()), "parsed")
+    repeats = find_repeats(parsed, scratch)
+    # runs say nothing about a page without text outside of its containers: its blocks need not meet them
+    free = F.exists("blocks", lambda b: ~b["main"])
+    pages = (parsed.filter(free).join(repeats, "row", "left").select("page_id", "url", "blocks", "ranges")
+             .unionByName(parsed.filter(~free).select("page_id", "url", "blocks", F.lit(None).cast(repeats.schema["ranges"].dataType).alias("ranges"))))
+    judged = pages.mapInArrow(_judge, "page_id long, url string, text string")
+    return judged.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op2_html_extraction(spark, sf_dir: str) -> DataFrame:
