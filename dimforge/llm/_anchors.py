@@ -42,6 +42,8 @@ _INDEX = 20  # low bits of a gram's key hold its place in the block
 _BLOCK = 1 << 15
 _TERMS = _BLOCK + 4096  # symbols of a block: its windows and the rest of the last one
 _PLACES = np.arange(_TERMS)
+_SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", np.uint8))
+_LONG_WORD = 64  # bytes of a word that sums of its bytes tell apart well; xxh3 takes longer ones
 NULL_ID = -(2**63)
 
 
@@ -95,9 +97,13 @@ class Unit:
         if not self.words:
             flat = np.frombuffer(b"".join(texts), np.uint8)
             return lambda which, a, b: _RANDOM[which][flat[a:b]], np.fromiter(map(len, texts), np.int64, len(texts))
-        split = [t.split() for t in texts]
-        size = np.fromiter(map(len, split), np.int64, len(split))
-        sym = np.fromiter((xxhash.xxh3_64_intdigest(w) for t in split for w in t), np.uint64, int(size.sum()))
+        joined = b" ".join(texts)
+        gap = np.concatenate(([True], _SPACE[np.frombuffer(joined, np.uint8)], [True]))
+        edges = np.flatnonzero(gap[1:] != gap[:-1])
+        lo, hi = edges[::2], edges[1::2]
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        size = np.diff(np.searchsorted(lo, begins))
+        sym = _word_hashes(joined, lo, hi)
         return lambda which, a, b: _mix(sym[a:b]) if which else sym[a:b], size
 
     def segments(self, texts: list[bytes], digests: bool = False) -> tuple[np.ndarray, ...]:
@@ -171,6 +177,23 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 _P0, _P1 = _Prefix(_MUL), _Prefix(0xD6E8FEB86659FD93)
 
 
+def _word_hashes(text: bytes, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A hash of every word text[lo:hi], of its bytes only."""
+    flat, out = np.frombuffer(text, np.uint8), np.zeros(len(lo), np.uint64)
+    long = hi - lo > _LONG_WORD
+    i = 0
+    while i < len(lo):
+        a = lo[i]
+        k = max(i + 1, int(np.searchsorted(hi, a + _TERMS, side="right")))
+        if not long[i:k].all():
+            sums = _P0.sums(_RANDOM[0][flat[a:hi[k - 1]]])
+            out[i:k] = _mix(_P0.runs(sums, lo[i:k] - a, hi[i:k] - a))
+        i = k
+    for i in np.flatnonzero(long):
+        out[i] = xxhash.xxh3_64_intdigest(text[lo[i]:hi[i]])
+    return out
+
+
 def pack(start: np.ndarray, offset: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """One long: start of the segment, anchor's offset, number of windows (at most 255)."""
     return (start << 16) | (offset << 8) | windows

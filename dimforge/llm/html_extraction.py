@@ -63,7 +63,7 @@ MIN_RUN = 12
 GRAM = 4
 
 #: Segments and texts are shuffled in so many rounds, so that only a part of them is on disk at a time.
-ROUNDS = 2
+ROUNDS = 3
 TEXT_ROUNDS = 3
 
 #: A page whose text inside marked containers is less than one part in this many is not marked.
@@ -422,6 +422,7 @@ def find_repeats(parsed: DataFrame, scratch: Scratch, size: int = MIN_RUN) -> Da
              .filter("a <> z and open").select("h"))
     need = classes.join(s.write(mixed, "mixed"), "h").groupBy("row").agg(F.collect_list(F.struct("h", "s", "x", "lo", "hi")).alias("found"))
     need = s.write(need, "open")
+    s.drop("classes", "mixed")
     found = []
     for k in range(TEXT_ROUNDS):
         s.release()
@@ -430,17 +431,24 @@ def find_repeats(parsed: DataFrame, scratch: Scratch, size: int = MIN_RUN) -> Da
         found.append(s.write(texts.mapInArrow(
             _suffixes(size), "host string, prefix string, h long, s long, i int, lo long, hi long"), f"suffixes-{k}"))
     suffixes = reduce(DataFrame.unionByName, found)
-    s.drop("mixed", "open")
+    s.drop("open")
     order = suffixes.select("host", "prefix", "lo", "hi").sortWithinPartitions("host", "prefix").mapInArrow(
         _neighbours, "host string, prefix string, lo long, hi long")
     repeated = s.write(order.groupBy("host", "prefix").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
                        .filter("lo <> hi").select("host", "prefix"), "repeated")
-    single = suffixes.filter("lo = hi").join(repeated, ["host", "prefix"], "left_semi").select("h", "s", "i")
-    s.release()
+    # each of the last shuffles is a step of its own: what the one before read is deleted first
+    open_at = []
+    for k, part in enumerate(found):
+        part = part.filter("lo = hi").join(repeated, ["host", "prefix"], "left_semi").select("h", "s", "i")
+        open_at.append(s.write(part, f"single-{k}"))
+        s.drop(f"suffixes-{k}")
+    single = reduce(DataFrame.unionByName, open_at)
+    s.drop("repeated")
     at = start + F.col("i")
-    partly = occ.join(single, ["h", "s"]).select("row", at.alias("lo"), (at + size).alias("hi"))
+    partly = s.write(occ.join(single, ["h", "s"]).select("row", at.alias("lo"), (at + size).alias("hi")), "partly")
+    s.drop(*[f"single-{k}" for k in range(TEXT_ROUNDS)], *[f"occurrences-{k}" for k in range(ROUNDS)])
     out = s.write(whole.unionByName(partly).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
-    s.drop("classes", "whole", "repeated", *[f"occurrences-{k}" for k in range(ROUNDS)], *[f"suffixes-{k}" for k in range(TEXT_ROUNDS)])
+    s.drop("whole", "partly")
     return out
 
 

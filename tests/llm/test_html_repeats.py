@@ -1,11 +1,13 @@
 """The host step of op 2 runs over all pages: against brute force, and where it decides."""
 
+import os
 import random
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from dimforge.llm import html_extraction
+from dimforge.llm import _anchors, html_extraction
 from dimforge.llm._common import Scratch
 
 SCHEMA = "page_id long, url string, html string"
@@ -59,3 +61,44 @@ def test_marked_pages_take_part_in_the_host_step(spark):
         (30, "http://short.org/", f"<article>Short.</article><p>{links}</p>"), (31, "http://short.org/", f"<p>{links}</p>")]
     got = {x.page_id: x.text for x in html_extraction.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {10: own[3], 11: own[4], 20: twice, 21: twice, 30: "Short.", 31: ""}
+
+
+def test_tables_are_deleted_before_later_steps_shuffle(spark):
+    class Watched(Scratch):
+        def write(self, df, tag):
+            if os.path.isdir(self.root.removeprefix("file:")):
+                there[tag] = {x.split("-")[0] for x in os.listdir(self.root.removeprefix("file:"))}
+            out = super().write(df, tag)
+            rows[tag] = out.count()
+            return out
+
+    there, rows = {}, {}
+    r = random.Random(4)
+    lines = [line(r, 40) for _ in range(8)]
+    data = [(i, "http://a.org/", f"<p>{r.choice(lines)} {line(r, 20)}</p>") for i in range(40)]
+    scratch = Watched(spark, "test")
+    parsed = scratch.write(html_extraction.parse(spark.createDataFrame(data, SCHEMA)).withColumn("row", F.monotonically_increasing_id()), "parsed")
+    assert html_extraction.find_repeats(parsed, scratch).count() == 40
+    # the ordered suffixes are gone when the occurrences are shuffled again, these when the runs are joined
+    assert rows["suffixes-0"] and rows["occurrences-0"]
+    assert not {"suffixes", "repeated", "classes", "open"} & there["partly"]
+    assert there["ranges"] == {"parsed", "whole", "partly"}
+    assert set(os.listdir(scratch.root.removeprefix("file:"))) == {"parsed", "ranges"}
+
+
+def test_word_hashes():
+    unit = _anchors.Unit(SIZE, html_extraction.GRAM, words=True)
+    r = random.Random(5)
+    pieces = [b"a", b"b", b"ab", b"ba", b"\x1c", "é\u2003".encode(), b"v" * 64, b"v" * 65, b"v" * 40000, b"u" * 40000]
+    gaps = [b" ", b"\t", b"\n", b"\x0b", b"\f", b"\r", b"  "]
+    hashes = {}
+    for _ in range(60):
+        texts = [b"".join(r.choice(pieces if r.random() < .6 else gaps) for _ in range(r.randint(0, 30))) for _ in range(r.randint(0, 5))]
+        symbols, size = unit._symbols(texts)
+        words = [w for t in texts for w in t.split()]
+        assert size.tolist() == [len(t.split()) for t in texts]
+        got = symbols(0, 0, len(words))
+        assert got.dtype == np.uint64 and len(got) == len(words)
+        for w, h in zip(words, got.tolist()):
+            assert hashes.setdefault(w, h) == h
+    assert len(hashes) > 100 and len(set(hashes.values())) == len(hashes)
