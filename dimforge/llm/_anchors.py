@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm._common import Scratch
+from dimforge.llm._common import Scratch, bounded_batches
 
 _U = np.uint64
 _MUL = 0x9E3779B97F4A7C15
@@ -215,6 +215,7 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 class Repeats:
     def __init__(self, docs: DataFrame, unit: Unit, name: str, id_col: str = "doc_id", text_col: str = "text"):
         self.spark = docs.sparkSession
+        bounded_batches(self.spark)
         self.unit = unit
         self.docs = identified(docs, id_col, text_col)
         self.scratch = Scratch(self.spark, name)

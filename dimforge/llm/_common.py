@@ -15,6 +15,23 @@ WORD_SEPARATOR = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+#: Bytes of rows that reach a Python function at once, and rows that the widening functions return at once.
+BATCH_BYTES = 4 << 20
+PIECE = 1 << 15
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows reach Python functions in batches of about ``BATCH_BYTES``.
+
+    Spark's own bound is 64 MB a batch, which each running task holds several
+    times: as Arrow buffers and as bytes for the pipe in the executor, as
+    batch, objects and results in the Python worker, which keeps its peak while it lives.  A
+    bound that the session already has stays.  The setting outlives the
+    call, since the frames of an operator run after it has returned."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if size not in spark.conf.getAll:
+        spark.conf.set(size, BATCH_BYTES)
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -41,7 +41,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm._common import read
+from dimforge.llm._common import bounded_batches, read
 
 MAX_WORDS = 300_000
 MAX_PAIRS = 500_000
@@ -273,6 +273,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
            digest: bool = False) -> DataFrame:
     """doc_id, n_tokens and, per document, either ids (array<int>) and decoded
     text, or their SHA-256 digests."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, n_tokens long, " + (
         "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string")

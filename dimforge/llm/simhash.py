@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm._common import LOWER, UPPER, Scratch, read
+from dimforge.llm._common import LOWER, UPPER, Scratch, bounded_batches, read
 from dimforge.llm._graph import components
 
 SHINGLE = 3
@@ -84,6 +84,8 @@ def _fingerprint_of(text: pa.Array, size: int) -> pa.Array:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of every row."""
+    bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), _fingerprint_of(b.column(1), size)], ["doc_id", "fp"])
@@ -94,6 +96,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def fingerprints_by(rows: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, mark and fp of rows with a ``key`` (doc_id, mark) and a ``text``."""
+    bounded_batches(rows.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), _fingerprint_of(b.column(2), size)], ["doc_id", "mark", "fp"])

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.llm._anchors import Repeats, Unit, merged, unpack
-from dimforge.llm._common import read
+from dimforge.llm._common import PIECE, read
 
 LENGTH = 100
 GRAM = 24
@@ -65,24 +65,36 @@ def step_of(length: int) -> int:
 
 
 def _segment_texts(unit: Unit):
-    """The bytes of every open segment."""
+    """The bytes of every open segment, a bounded number of segments at a time."""
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        did, ver, x, text = cols = [], [], [], []
         for b in batches:
-            did, ver, x, text = [], [], [], []
-            for d, v, t, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
+            for d, v, t, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
                 t = t.as_py()
-                for o in found:
-                    start, _, n = unpack(o)
-                    did.append(d)
-                    ver.append(v)
-                    x.append(o)
-                    text.append(t[start:start + n - 1 + unit.length])
-            yield pa.RecordBatch.from_arrays([pa.array(did, pa.int64()), pa.array(ver, pa.int32()), pa.array(x, pa.int64()),
-                                              pa.array(text, pa.binary())], ["did", "ver", "x", "text"])
+                for at in range(0, len(found), PIECE):
+                    for o in found.values.slice(at, PIECE).to_pylist():
+                        start, _, n = unpack(o)
+                        did.append(d)
+                        ver.append(v)
+                        x.append(o)
+                        text.append(t[start:start + n - 1 + unit.length])
+                    if len(x) >= PIECE:
+                        yield _batch(cols, types, ["did", "ver", "x", "text"])
+            yield _batch(cols, types, ["did", "ver", "x", "text"])
 
     return run
 
 
+def _batch(cols: tuple[list, ...], types: tuple[pa.DataType, ...], names: list[str]) -> pa.RecordBatch:
+    """A batch of the columns, which are emptied."""
+    out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], names)
+    for c in cols:
+        c.clear()
+    return out
+
+
 def _blocks(step: int):
     """(sid, j, key): the bytes at every sampled position; j counts steps from the first one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,14 +146,16 @@ def _names(found: list[int]) -> dict[int, int]:
 
 
 def _suffixes(unit: Unit, step: int):
-    """(first, last, rest, did, p, ver) of every suffix that kept both its triples."""
+    """(first, last, rest, did, p, ver) of every suffix that kept both its
+    triples, a bounded number at a time: a segment has many times its bytes in suffixes."""
     whole = (unit.length - step + 1) // step  # whole steps in any window
     one = [bytes((i,)) for i in range(step)]
+    types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
+    names = ["first", "last", "rest", "did", "p", "ver"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last, rest, dids, at, vers = cols = [], [], [], [], [], []
         for b in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [], [])
-            first, last, rest, dids, at, vers = cols
             for did, ver, x, t, found in zip(*(b.column(i).to_pylist() for i in range(5))):
                 start, offset, n = unpack(x)
                 zero = offset % step
@@ -162,8 +176,9 @@ def _suffixes(unit: Unit, step: int):
                     dids += [did] * (z - a)
                     at += range(start + a, start + z)
                     vers += [ver] * (z - a)
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], ["first", "last", "rest", "did", "p", "ver"])
+                if len(at) >= PIECE:
+                    yield _batch(cols, types, names)
+            yield _batch(cols, types, names)
 
     return run
 
