@@ -36,6 +36,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -44,7 +45,9 @@ from pyspark.sql import functions as F
 from dimforge.llm._common import bounded_batches, read
 
 MAX_WORDS = 300_000
+NO_RANK = 1 << 30
 MAX_PAIRS = 500_000
+OUT_BYTES = 1 << 20  # of ids in a batch of results
 
 
 def byte_symbols() -> list[str]:
@@ -70,7 +73,6 @@ class WordBpe:
         self.end = model["end_of_word_suffix"]
         self.vocab: dict[str, int] = model["vocab"]
         self.token = {i: t for t, i in self.vocab.items()}
-        self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): r for r, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token.update({i: t for t, i in self.special.items()})
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -79,7 +81,8 @@ class WordBpe:
         # token -> (rank, left part, right part) of the merge that makes it; pair -> rank
         self.made: dict[int, tuple[int, int, int]] = {}
         self.join: dict[tuple[int, int], int] = {}
-        for (x, y), r in self.rank.items():
+        rank = {tuple(m if isinstance(m, list) else m.split(" ")): r for r, m in enumerate(model["merges"])}
+        for (x, y), r in rank.items():
             pair = self.vocab[x], self.vocab[y]
             self.join[pair] = r
             self.made.setdefault(self.vocab[x + y], (r, *pair))
@@ -91,7 +94,7 @@ class WordBpe:
         self.lens = {i: len(t) for t, i in [*self.mid.items(), *self.last.items()]}
         self.longest = max(map(len, self.mid), default=1)
         self.longest_last = max(map(len, self.last), default=1)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by a << 32 | b: a number takes half a tuple's room
 
     # -- text to words -------------------------------------------------
     def words(self, text: str) -> list[str]:
@@ -118,12 +121,15 @@ class WordBpe:
             at = m.end()
         yield from self.words(text[at:])
 
+    def _rank(self, pair: tuple[str, str]) -> int:
+        return self.join.get((self.vocab.get(pair[0]), self.vocab.get(pair[1])), NO_RANK)
+
     # -- merge rules on a token pair -------------------------------------
     def merge(self, symbols: list[str]) -> list[str]:
         """The merge rules applied to symbols, as defined."""
         while len(symbols) > 1:
-            best = min(zip(symbols, symbols[1:]), key=lambda p: self.rank.get(p, 1 << 30))
-            if best not in self.rank:
+            best = min(zip(symbols, symbols[1:]), key=self._rank)
+            if self._rank(best) == NO_RANK:
                 break
             out, i = [], 0
             while i < len(symbols):
@@ -155,7 +161,7 @@ class WordBpe:
             ok = self._may_touch(a, b)
         if len(self.pairs) >= MAX_PAIRS:
             self.pairs.clear()
-        self.pairs[a, b] = ok
+        self.pairs[a << 32 | b] = ok
         return ok
 
     def _may_touch(self, a: int, b: int) -> bool:
@@ -194,18 +200,16 @@ class WordBpe:
                 for k in range(i - longest if i > longest else 0, i):
                     t = mid(s[k:i])
                     if t is not None:
-                        key = states[k], t
-                        ok = known(key)
-                        if ok or (ok is None and test(*key)):
+                        ok = known(states[k] << 32 | t)
+                        if ok or (ok is None and test(states[k], t)):
                             states.append(t)
                             break
             path = s[:body]
             for k in range(n - longest_last if n > longest_last else 0, n):
                 t = last(s[k:])
                 if t is not None:
-                    key = states[k], t
-                    ok = known(key)
-                    if ok or (ok is None and test(*key)):
+                    ok = known(states[k] << 32 | t)
+                    if ok or (ok is None and test(states[k], t)):
                         break
             ids, at = [t], n - lens[t]
             while at:
@@ -231,13 +235,11 @@ class Coder:
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
         self.ids: dict[str | int, bytes] = {}
-        self.text: dict[str | int, str] = {}
 
     def learn(self, words: set[str | int]) -> None:
         new = [w for w in words if w not in self.ids]
         if len(self.ids) + len(new) > MAX_WORDS:
             self.ids.clear()
-            self.text.clear()
             new = list(words)
         for w in new:
             if isinstance(w, int):
@@ -247,7 +249,6 @@ class Coder:
 
     def put(self, word: str | int, ids: list[int]) -> None:
         self.ids[word] = array("I", ids).tobytes()
-        self.text[word] = " ".join([self.bpe.token[i] for i in ids])
 
     def code(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
@@ -264,9 +265,10 @@ class Coder:
 
     def _flush(self, block: list[list[str | int]]) -> Iterator[tuple[bytes, str]]:
         self.learn({w for p in block for w in p})
-        ids, text = self.ids.__getitem__, self.text.__getitem__
+        ids, token = self.ids.__getitem__, self.bpe.token.__getitem__
         for p in block:
-            yield b"".join(map(ids, p)), " ".join(map(text, p))
+            found = b"".join(map(ids, p))
+            yield found, " ".join(map(token, array("I", found)))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -278,22 +280,31 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     schema = "doc_id long, n_tokens long, " + (
         "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string")
 
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+
+    def result(ids: pa.Array, out: list) -> pa.RecordBatch:
+        if digest:
+            n = [k for *_, k in out]
+            cols = [pa.array([i for i, *_ in out], pa.string()), pa.array([d for _, d, _ in out], pa.string())]
+        else:
+            n = [len(i) // 4 for i, _ in out]
+            off = np.cumsum([0, *n]).astype(np.int32)
+            flat = pa.Array.from_buffers(pa.int32(), int(off[-1]), [None, pa.py_buffer(b"".join(i for i, _ in out))])
+            cols = [pa.ListArray.from_arrays(pa.array(off), flat), pa.array([d for _, d in out], pa.string())]
+        return pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n, pa.int64()), *cols], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(load(path))
         for b in batches:
-            out = list(coder.code(b.column(1).to_pylist()))
-            n = pa.array([len(i) // 4 for i, _ in out], pa.int64())
-            if digest:
-                cols = [pa.array([hashlib.sha256(i).hexdigest() for i, _ in out], pa.string()),
-                        pa.array([hashlib.sha256(d.encode("utf-8")).hexdigest() for _, d in out], pa.string())]
-            else:
-                off = [0]
-                for i, _ in out:
-                    off.append(off[-1] + len(i) // 4)
-                flat = pa.Array.from_buffers(pa.int32(), off[-1], [None, pa.py_buffer(b"".join(i for i, _ in out))])
-                cols = [pa.ListArray.from_arrays(pa.array(off, pa.int32()), flat), pa.array([d for _, d in out], pa.string())]
-            names = [f.split(" ")[0] for f in schema.split(", ")]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), n, *cols], names)
+            out: list = []
+            at = size = 0
+            for found in coder.code(b.column(1).to_pylist()):
+                out.append((hashlib.sha256(found[0]).hexdigest(), hashlib.sha256(found[1].encode("utf-8")).hexdigest(), len(found[0]) // 4) if digest else found)
+                size += len(found[0])
+                if size >= OUT_BYTES:
+                    yield result(b.column(0).slice(at, len(out)), out)
+                    at, out, size = at + len(out), [], 0
+            yield result(b.column(0).slice(at, len(out)), out)
 
     return rows.mapInArrow(run, schema)
 

@@ -66,3 +66,29 @@ def test_pieces_of_open_segments():
     at = [p for b in out for p in b.column(4).to_pylist()]
     assert len(at) > 2 * PIECE and max(b.num_rows for b in out) < PIECE + 100
     assert at == sorted(set(at)) and {p % 1000 for p in at} <= set(range(60))
+
+
+@pytest.mark.parametrize("digest", [False, True])
+def test_encoded_rows_keep_their_ids(spark, digest):
+    """Results that leave in several batches belong to the documents they came from."""
+    class Docs:
+        class sparkSession:  # noqa: N801
+            class conf:  # noqa: N801
+                getAll = {SIZE: "set"}
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            return run
+
+    texts = ["a b " * (i % 7) * 200 for i in range(1000)] + ["", None]
+    run = bpe.encode(Docs(), bpe.tokenizer_path(), digest=digest)
+    out = list(run(iter([pa.RecordBatch.from_arrays([pa.array(range(1002)), pa.array(texts)], ["doc_id", "text"])])))
+    assert len(out) > 3 and max(sum(b.column(1).to_pylist()) for b in out) * 4 < 2 * bpe.OUT_BYTES
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(1002))
+    assert [r["n_tokens"] for r in rows] == [(t or "").count(" ") for t in texts]
+    if not digest:
+        assert [r["decoded"].count("a") for r in rows] == [(t or "").count("a") for t in texts]
+        assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
