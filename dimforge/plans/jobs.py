@@ -152,28 +152,31 @@ def profile_all(spark: SparkSession, staging_root: str, out_dir: str, log_path:
     """Profile every staged relation (one job per relation, submitted
     concurrently); each profile table (with ``sample_values``) is written
     once under ``out_dir/profile/<relation>``, the JSON documents are built
-    from the written tables, and the written profile is returned.
+    from the written tables, and the written profile is returned.  A relation
+    that cannot be read or profiled does not stop the others, whose profile
+    tables are written and logged; then the job fails with the names of all
+    such relations, and no document of a part of them is written.
     ``exact=False`` trades exact distinct counts (and samples) for one
     aggregate pass without a value shuffle (HyperLogLog counts)."""
     out = out_dir.rstrip("/")
     with T.RunLog(spark, log_path) as log:
         tables = read_staged(spark, staging_root, log)
-        done: list[str] = []
+        failed = {n: "not read" for n in STAGED_NAMES if n not in tables}   # why is in the log
 
         def one(name: str, df: DataFrame) -> None:
             try:   # one row per column: tiny, one file
                 p = profile(df, name, exact=exact, sample_k=sample_k if exact else 0, stored=True)
                 T.write_table(p.coalesce(1), f"{out}/profile/{name}")
-                done.append(name)
                 log.add(step="Profiling", status="Success", source="from Staging", table_name=name)
             except Exception as e:  # noqa: BLE001  (one relation's failure does not stop the others)
                 log.add(step="Profiling", status=f"Failed: {e}", source="from Staging",
                         table_name=name)
+                failed[name] = str(e)
 
         _run_parallel([lambda n=n, d=d: one(n, d) for n, d in tables.items()])
-        if not done:
-            raise RuntimeError("no staged relation could be profiled; see the run log")
-        prof = spark.read.parquet(*[f"{out}/profile/{n}" for n in tables if n in done])
+        if failed:   # the others are profiled and logged
+            raise RuntimeError(f"profiling failed for {', '.join(sorted(failed))}: {failed}")
+        prof = spark.read.parquet(*[f"{out}/profile/{n}" for n in tables])
         T.write_profile_json(prof, f"{out}/json", person=person)
         T.write_profile_json(prof, f"{out}/documents", person=person, per_table=True)
     return prof

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from dimforge.operators.profile import profile, samples
+from dimforge.plans import jobs
 from dimforge.plans.fixtures import fixture
+from dimforge.schemas import staged_schema
 from dimforge.sinks import tables as T
 from dimforge.sources.files import read_csv, read_json_records
 from dimforge.sources.jdbc import extract_all
@@ -161,3 +163,28 @@ def test_profile_orders_few_values(spark, monkeypatch):
     assert p["nothing"].sample_values is None and p["nothing"].unique_count == 1 and p["nothing"].max_value is None
     text = profile(df, "t")._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in text and "ObjectHashAggregate" in text
+
+
+# -- the profile job tells a failure from a result
+def _stage_own_rows(spark, root, *names):
+    for n in names:
+        T.write_table(spark.createDataFrame([], staged_schema(n)), f"{root}/{n}")
+
+
+def test_profile_all_fails_for_a_relation_not_profiled(spark, scratch, monkeypatch):
+    """profile_documents: the others are profiled and logged, but their documents are not the whole report."""
+    _stage_own_rows(spark, f"{scratch}/staging", *jobs.STAGED_NAMES)
+    real = jobs.profile
+    monkeypatch.setattr(jobs, "profile", lambda df, name, **k: 1 // 0 if name == "funds" else real(df, name, **k))
+    with pytest.raises(RuntimeError, match="profiling failed for funds: .*division"):
+        jobs.profile_all(spark, f"{scratch}/staging", f"{scratch}/out", f"{scratch}/log")
+    assert sorted(os.listdir(f"{scratch}/out/profile")) == sorted(set(jobs.STAGED_NAMES) - {"funds"})
+    assert not os.path.exists(f"{scratch}/out/json") and not os.path.exists(f"{scratch}/out/documents")
+    status = {r.table_name: r.status for r in spark.read.parquet(f"{scratch}/log").collect()}
+    assert set(status) == set(jobs.STAGED_NAMES) and status.pop("funds").startswith("Failed") and set(status.values()) == {"Success"}
+    # the run that ends gives them all
+    monkeypatch.undo()
+    whole = jobs.profile_all(spark, f"{scratch}/staging", f"{scratch}/out")
+    read = T.read_profile_json(spark, f"{scratch}/out/documents")
+    for got in (whole, read):
+        assert {r.table_name for r in got.select("table_name").distinct().collect()} == set(jobs.STAGED_NAMES)
