@@ -188,3 +188,12 @@ def test_profile_all_fails_for_a_relation_not_profiled(spark, scratch, monkeypat
     read = T.read_profile_json(spark, f"{scratch}/out/documents")
     for got in (whole, read):
         assert {r.table_name for r in got.select("table_name").distinct().collect()} == set(jobs.STAGED_NAMES)
+
+
+def test_profile_all_fails_for_a_relation_not_staged(spark, scratch):
+    """profile_job: a profile of eight relations is not the profile of the staged nine."""
+    _stage_own_rows(spark, f"{scratch}/staging", *(n for n in jobs.STAGED_NAMES if n != "people"))
+    with pytest.raises(RuntimeError, match="profiling failed for people"):
+        jobs.profile_all(spark, f"{scratch}/staging", f"{scratch}/out", f"{scratch}/log", exact=False)
+    steps = {(r.step, r.table_name) for r in spark.read.parquet(f"{scratch}/log").where("status LIKE 'Failed%'").collect()}
+    assert steps == {("Extract", "people")}
