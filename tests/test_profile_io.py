@@ -197,3 +197,20 @@ def test_profile_all_fails_for_a_relation_not_staged(spark, scratch):
         jobs.profile_all(spark, f"{scratch}/staging", f"{scratch}/out", f"{scratch}/log", exact=False)
     steps = {(r.step, r.table_name) for r in spark.read.parquet(f"{scratch}/log").where("status LIKE 'Failed%'").collect()}
     assert steps == {("Extract", "people")}
+
+
+def test_profile_all_fails_for_a_broken_file(spark, scratch):
+    """profile_json: the documents of an earlier run are not replaced by a part of them."""
+    _stage_own_rows(spark, f"{scratch}/staging", *jobs.STAGED_NAMES)
+    jobs.profile_all(spark, f"{scratch}/staging", f"{scratch}/out", exact=False)
+    before = sorted(os.listdir(f"{scratch}/out/json"))
+    for f in os.listdir(f"{scratch}/staging/ipo"):
+        if f.endswith(".parquet"):
+            with open(f"{scratch}/staging/ipo/{f}", "wb") as out:
+                out.write(b"no parquet")
+            if os.path.exists(f"{scratch}/staging/ipo/.{f}.crc"):
+                os.remove(f"{scratch}/staging/ipo/.{f}.crc")
+    with pytest.raises(RuntimeError, match="profiling failed for ipo"):
+        jobs.profile_all(spark, f"{scratch}/staging", f"{scratch}/out", exact=False)
+    assert sorted(os.listdir(f"{scratch}/out/json")) == before
+    assert spark.read.json(f"{scratch}/out/json").select("profiling_result.table_name").distinct().count() == 9
