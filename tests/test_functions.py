@@ -144,3 +144,23 @@ def test_entity_id_unicode_blanks(spark):
 def test_fix_encoding_alphabets(spark):
     cases = {"Москва": "Moskva", "Щука": "Shchuka", "Ёлка": "Iolka", "Αθήνα": "Athena", "Київ": "Kiyiv", "Łódź": "Lodz", "x\u2028": "x"}
     assert _apply(spark, list(cases), X.fix_encoding) == list(cases.values())
+
+
+def test_ascii_values_take_the_same_rules(spark):
+    """Values in ASCII go another way than the rest; both give what the rules say."""
+    import random
+    r = random.Random(4)
+    values = ["".join(r.choice(pool) for _ in range(r.randint(0, 9))) for pool in (
+        [chr(i) for i in range(128)], list(" \t\n\x0b\x0c\r\x1c\x1f,&/aZ_9"), list("aé ß_٣\u2003\x85,&/")) for _ in range(700)]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = df.select("s", X.normalize_text("s").alias("n"), X.clean_alpha_text("s").alias("a"), X.clean_text("s").alias("c")).collect()
+    assert len(got) == len(values)
+    for row in got:
+        lower = re.sub(r"[/,&]", " ", re.sub(r"[^\w\s,&/]", "", row.s.lower()))
+        assert row.n == (re.sub(r"\s+", " ", lower).strip() if row.s.strip() else None), repr(row.s)
+        assert row.a == (re.sub(r"[^\w\s]", "", row.s).strip() if row.s else None), repr(row.s)
+        if row.s.isascii():
+            assert row.c == row.s.strip(), repr(row.s)
+    keys = ["c:5", "c:05", "c:+5", "c:-5", "c:-0", "c: 5\x85", "c:\x005", "c:5.0", "c:", "c::5", "5", "c:5:6", "c:2147483648", "c:-2147483648"]
+    ids = {x.s: x.i for x in spark.createDataFrame([(k,) for k in keys], "s string").select("s", X.entity_id("s").alias("i")).collect()}
+    assert ids == dict(zip(keys, [5, 5, 5, -5, 0, 5, None, None, None, None, None, 5, None, -2147483648]))

@@ -2,6 +2,7 @@
 
 import decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
@@ -183,3 +184,50 @@ def test_warehouse_writes_shared_dimensions_once(spark):
     from dimforge.plans.operator_queries import _warehouse
     plans = {t: df._jdf.queryExecution().optimizedPlan().toString() for t, df in _warehouse(spark, SF_SMALL).items()}
     assert "nfkd_ascii" not in plans["dim_company"] + plans["fact_acquisition"]
+
+
+def test_packed_keys_give_the_same_flags(spark):
+    """64 neighbouring ids are one row, and each is found as in the plain set."""
+    from dimforge.operators.blocks import MEMBERS
+    from dimforge.operators.refcheck import lookup, packed
+    dense = key_set(spark.range(-3200, 3200).select(F.col("id").cast("int").alias("d")), "d")
+    assert packed(dense).count() == 100 and packed(dense).columns[-1] == MEMBERS
+    fact = spark.createDataFrame([(i,) for i in (None, -2147483648, -3201, -3200, -64, -1, 0, 63, 64, 3199, 3200, 2147483647)], "k int")
+    odd = key_set(spark.createDataFrame([(-2147483648,), (-1,), (64,), (64,), (None,), (2147483647,)], "d int"), "d")
+    for keys in (dense, odd):
+        plain, small = (sorted(map(repr, flag_matches(fact, x, ["k"], "ok").collect())) for x in (keys, packed(keys)))
+        assert plain == small
+    typed = key_set(spark.createDataFrame([("c", 5), ("p", 5), ("c", 6), ("p", 70)], "t string, d int"), "t", "d")
+    rows = spark.createDataFrame([(t, i) for t in ("c", "p", "f", None) for i in (5, 6, 7, 70, None)], "t string, k int")
+    plain, small = (sorted(map(repr, flag_matches(rows, x, ["t", "k"], "ok").collect())) for x in (typed, packed(typed)))
+    assert plain == small
+    table = spark.createDataFrame([(5, True, False), (6, True, True), (900, False, True)], "d int, a boolean, b boolean")
+    ids = spark.createDataFrame([(5,), (6,), (7,), (900,), (None,)], "k int")
+    got = {r.k: (bool(r.a), bool(r.b)) for r in lookup(ids, packed(table, ["a", "b"]), ["k"], ["a", "b"]).collect()}
+    assert got == {5: (True, False), 6: (True, True), 7: (False, False), 900: (False, True), None: (False, False)}
+    words = key_set(spark.createDataFrame([("x",)], "d string"), "d")
+    assert packed(words) is words
+
+
+@pytest.mark.parametrize("limit,join", [("10MB", "BroadcastHashJoin"), ("4000", "BroadcastHashJoin"), ("-1", "ShuffledHashJoin")])
+def test_repeated_records_need_no_sort_merge(spark, limit, join):
+    """Rows of repeated ids are told apart without a sort of all rows, however many ids repeat."""
+    from dimforge.operators.dedupe import keep_one, keep_one_record
+    from dimforge.operators.upsert import split_incoming
+    ids = spark.range(6000)
+    df = (ids.select(F.col("id").cast("string").alias("k"), F.lit(1).alias("at"))
+          .unionByName(ids.where("id % 6 = 0").select(F.col("id").cast("string").alias("k"), F.lit(2).alias("at")))
+          .unionByName(spark.createDataFrame([(None, 1), (None, 3)], "k string, at int")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        got = keep_one_record(df, "k", ["at"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(map(repr, got.collect()))
+        unique, rejected = split_incoming(df, "k")
+        sizes = unique.count(), rejected.where("reason = 'duplicate key'").count(), rejected.where("k IS NULL").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert join in plan and "SortMergeJoin" not in plan
+    assert rows == sorted(map(repr, keep_one(df, ["k"], ["at"]).collect())) and len(rows) == 6001
+    assert sizes == (6000, 1000, 2)
